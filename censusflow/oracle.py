@@ -284,3 +284,159 @@ FROM cells""")
   count(*) FILTER (WHERE background = 'Urban') AS urban
 FROM v""")
     return q
+
+
+# --------------------------------------------------------------------------- #
+# Quality checks on the defect fixture (FIXTURES C3)
+# --------------------------------------------------------------------------- #
+
+DEFECTS_CTE = """,
+d0 AS (
+  SELECT student_id AS k, strftime(submitted_at + INTERVAL 330 MINUTE, '%Y-%m-%d %H:%M:%S') AS ts,
+    student_name AS nm, gender, degree, year_of_study, accommodation, background, work_internship,
+    specialization, CAST(food_expenses AS DOUBLE) AS food, CAST(transport_expenses AS DOUBLE) AS transport,
+    CAST(academic_expenses AS DOUBLE) AS academic, CAST(other_expenses AS DOUBLE) AS other,
+    CAST(total_expenses AS DOUBLE) AS total, CAST(allowance AS DOUBLE) AS allowance,
+    CAST(savings AS DOUBLE) AS savings, usage10 / 10.0 AS usage, preferred_payment, upi_app,
+    track_digitally, budget_plan, study_focus
+  FROM su),
+d1 AS (
+  SELECT k,
+    CASE WHEN k % 127 = 0 THEN 'not a date' WHEN k % 131 = 0 THEN '2999' || substr(ts, 5) ELSE ts END AS ts,
+    CASE WHEN k % 79 = 0 THEN NULL WHEN k % 83 = 0 THEN '   ' ELSE nm END AS nm,
+    gender, CASE WHEN k % 89 = 0 THEN 'Diploma' ELSE degree END AS degree, year_of_study,
+    accommodation, background, work_internship, specialization,
+    (CASE WHEN k % 97 = 0 THEN -food ELSE food END) + (CASE WHEN k % 113 = 0 THEN 0.5 ELSE 0 END) AS food,
+    transport, academic, other,
+    CASE WHEN k % 107 = 0 THEN total + 10 ELSE total END AS total,
+    CASE WHEN k % 109 = 0 THEN NULL ELSE allowance END AS allowance,
+    CASE WHEN k % 103 = 0 THEN savings + 1 ELSE savings END AS savings,
+    usage, preferred_payment, upi_app, track_digitally, budget_plan, study_focus
+  FROM d0),
+dd AS (SELECT * FROM d1 UNION ALL SELECT * FROM d1 WHERE k % 101 = 0),
+tsp AS (SELECT *, try_strptime(ts, '%Y-%m-%d %H:%M:%S') AS tsv FROM dd)
+"""
+
+_DQ_TEXT = {"Timestamp": "ts", "Student Name": "nm", "Gender": "gender", "Degree": "degree",
+            "Year of Study": "year_of_study", "Accommodation": "accommodation",
+            "Preferred Payment": "preferred_payment"}
+_DQ_MONEY = {"Food": "food", "Transport": "transport", "Academic": "academic", "Other": "other",
+             "Allowance": "allowance", "Total Expenses": "total"}
+_DQ_OPTIONAL = {"Specialization": "specialization", "Background": "background",
+                "Work/Internship": "work_internship", "Track Digitally": "track_digitally",
+                "Budget Plan": "budget_plan", "Study Focus": "study_focus", "UPI App": "upi_app"}
+_DQ_DOMAINS = {
+    "Accommodation": ("accommodation", ("Day Scholar", "Hostel", "PG")),
+    "Background": ("background", ("Rural", "Urban")),
+    "Budget Plan": ("budget_plan", ("Yes", "No")),
+    "Degree": ("degree", ("B.Com", "BE / B.Tech", "BSc", "MBA", "ME / M.Tech", "Other")),
+    "Gender": ("gender", ("Male", "Female")),
+    "Preferred Payment": ("preferred_payment", ("UPI", "Cash", "Debit/Credit Card", "Other")),
+    "Track Digitally": ("track_digitally", ("Yes", "No")),
+    "UPI App": ("upi_app", ("GPay", "PhonePe", "SBI Pay", "Amazon Pay", "BHIM UPI",
+                            "Airtel Thanks App", "Other", "Not Applicable")),
+    "Work/Internship": ("work_internship", ("Yes", "No")),
+    "Year of Study": ("year_of_study", ("1st Year", "2nd Year", "3rd Year", "4th Year")),
+}
+_ALL_COLS = ("ts, nm, gender, degree, year_of_study, accommodation, background, work_internship, "
+             "specialization, food, transport, academic, other, total, allowance, savings, usage, "
+             "preferred_payment, upi_app, track_digitally, budget_plan, study_focus")
+
+
+def _res(name: str, category: str, severity: str, passed: str, offending: str, src: str = "dd") -> str:
+    return (f"SELECT '{name}' AS name, '{category}' AS category, {severity} AS severity, "
+            f"CAST({passed} AS BOOLEAN) AS passed, CAST({offending} AS BIGINT) AS offending FROM {src}")
+
+
+def _blank(c: str) -> str:
+    return f"({c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '')"
+
+
+def quality_sql() -> dict[str, str]:
+    g: dict[str, list[str]] = {}
+    g["dq_row_count"] = [_res("row_count_not_empty", "completeness", "'CRITICAL'", "count(*) > 0", "0")]
+    g["dq_columns"] = [_res("mandatory_columns_present", "completeness", "'CRITICAL'", "true", "0",
+                            "(SELECT 1) t")]
+    g["dq_no_nulls"] = [
+        _res(f"no_nulls::{h}", "validity", "'CRITICAL'", f"count(*) FILTER (WHERE {_blank(c)}) = 0",
+             f"count(*) FILTER (WHERE {_blank(c)})")
+        for h, c in list(_DQ_TEXT.items()) + list(_DQ_MONEY.items())]
+    g["dq_populated"] = [
+        _res(f"populated::{h}", "validity", "'WARNING'", f"count(*) FILTER (WHERE {_blank(c)}) = 0",
+             f"count(*) FILTER (WHERE {_blank(c)})") for h, c in _DQ_OPTIONAL.items()]
+    g["dq_money_numeric"] = [_res("money_numeric", "numeric", "'CRITICAL'", "true", "0", "(SELECT 1) t")]
+    g["dq_non_negative"] = [
+        _res(f"non_negative::{h}", "numeric", "'CRITICAL'", f"count(*) FILTER (WHERE {c} < 0) = 0",
+             f"count(*) FILTER (WHERE {c} < 0)") for h, c in _DQ_MONEY.items()]
+    g["dq_integral"] = [
+        _res(f"integral::{h}", "numeric", "'WARNING'", f"count(*) FILTER (WHERE {c} % 1 <> 0) = 0",
+             f"count(*) FILTER (WHERE {c} % 1 <> 0)") for h, c in _DQ_MONEY.items()]
+    tot = "abs(food + transport + academic + other - total) > 0.005"
+    g["dq_total"] = [_res("total_expenses_reconciles", "numeric", "'CRITICAL'",
+                          f"count(*) FILTER (WHERE {tot}) = 0", f"count(*) FILTER (WHERE {tot})")]
+    sav = "abs((allowance - total) - savings) > 0.005"
+    g["dq_savings"] = [_res("savings_consistency", "numeric", "'CRITICAL'",
+                            f"count(*) FILTER (WHERE {sav}) = 0", f"count(*) FILTER (WHERE {sav})")]
+    oor = "usage < 0 OR usage > 10000"
+    g["dq_usage"] = [_res("budget_usage_range", "numeric", "'CRITICAL'",
+                          f"count(*) FILTER (WHERE {oor}) = 0", f"count(*) FILTER (WHERE {oor})")]
+    g["dq_exact_dupes"] = [_res("exact_duplicate_rows", "uniqueness", "'CRITICAL'", "coalesce(sum(c), 0) = 0",
+                                "coalesce(sum(c), 0)",
+                                f"(SELECT count(*) AS c FROM dd GROUP BY {_ALL_COLS} HAVING count(*) > 1) t")]
+    g["dq_name_ts_dupes"] = [_res("duplicate_name_and_timestamp", "uniqueness", "'CRITICAL'",
+                                  "coalesce(sum(c), 0) = 0", "coalesce(sum(c), 0)",
+                                  "(SELECT count(*) AS c FROM dd GROUP BY nm, ts HAVING count(*) > 1) t")]
+    g["dq_repeated_names"] = [_res(
+        "repeated_student_name", "uniqueness", "'WARNING'",
+        "count(*) FILTER (WHERE nm IS NOT NULL AND c > 1 AND v = 1) = 0",
+        "count(*) FILTER (WHERE nm IS NOT NULL AND c > 1 AND v = 1)",
+        f"(SELECT nm, count(*) AS c, count(DISTINCT ({_ALL_COLS})) AS v FROM dd GROUP BY nm) t")]
+    outl = []
+    for h, c in _DQ_MONEY.items():
+        src = (f"(SELECT x, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi, q3 - q1 AS iqr, n FROM "
+               f"(SELECT {c} AS x FROM dd WHERE {c} IS NOT NULL) a, "
+               f"(SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3, count({c}) AS n "
+               f"FROM dd) b) t")
+        skip = "(max(n) < 4 OR max(iqr) <= 0)"
+        cnt = "count(*) FILTER (WHERE x < lo OR x > hi)"
+        outl.append(_res(f"outliers::{h}", "anomaly",
+                         f"CASE WHEN {skip} THEN 'SKIPPED' ELSE 'WARNING' END",
+                         f"CASE WHEN {skip} THEN true ELSE {cnt} = 0 END",
+                         f"CASE WHEN {skip} THEN 0 ELSE {cnt} END", src))
+    g["dq_outliers"] = outl
+    g["dq_censored"] = [_res("censored_values", "anomaly", "CASE WHEN count(*) = 0 THEN 'SKIPPED' ELSE 'INFO' END",
+                             "true", "0")]
+    g["dq_timestamps"] = [
+        _res("timestamp_parseable", "anomaly", "'CRITICAL'",
+             "count(*) FILTER (WHERE tsv IS NULL AND NOT " + _blank("ts") + ") = 0",
+             "count(*) FILTER (WHERE tsv IS NULL AND NOT " + _blank("ts") + ")", "tsp"),
+        _res("timestamp_not_future", "anomaly", "'CRITICAL'",
+             "count(*) FILTER (WHERE tsv > TIMESTAMP '2026-01-01 00:00:00') = 0",
+             "count(*) FILTER (WHERE tsv > TIMESTAMP '2026-01-01 00:00:00')", "tsp"),
+        _res("timestamp_span_sane", "anomaly", "'WARNING'",
+             "coalesce(floor((epoch_us(max(tsv)) - epoch_us(min(tsv))) / 86400000000.0), 0) <= 365", "0", "tsp"),
+    ]
+    xf = "preferred_payment IS DISTINCT FROM 'UPI' AND upi_app IS DISTINCT FROM 'Not Applicable'"
+    g["dq_cross_field"] = [_res("cross_field_consistency::upi_app_matches_payment", "anomaly", "'WARNING'",
+                                f"count(*) FILTER (WHERE {xf}) = 0", f"count(*) FILTER (WHERE {xf})")]
+    doms = []
+    for h, (c, allowed) in sorted(_DQ_DOMAINS.items()):
+        vals = ", ".join("'" + v + "'" for v in allowed)
+        bad = f"{c} IS NULL OR {c} NOT IN ({vals})"
+        doms.append(_res(f"domain::{h}", "validity", "'CRITICAL'",
+                         f"count(DISTINCT coalesce({c}, 'nan')) FILTER (WHERE {bad}) = 0",
+                         f"count(DISTINCT coalesce({c}, 'nan')) FILTER (WHERE {bad})"))
+    g["dq_domains"] = doms
+    g["dq_cardinality"] = [_res("specialization_cardinality", "anomaly", "'INFO'", "true", "0", "(SELECT 1) t")]
+    out = {k: with_view(DEFECTS_CTE + "\n" + "\nUNION ALL\n".join(v)) for k, v in g.items()}
+    every = [x for k, v in g.items() for x in v]
+    report = DEFECTS_CTE + ", rep AS (\n" + "\nUNION ALL\n".join(every) + "\n)\n"
+    out["quality_report"] = with_view(report + "SELECT * FROM rep")
+    out["quality_summary"] = with_view(report + """SELECT count(*) AS total,
+  count(*) FILTER (WHERE passed) AS passed,
+  count(*) FILTER (WHERE severity = 'SKIPPED') AS skipped,
+  count(*) FILTER (WHERE NOT passed AND severity = 'CRITICAL') AS critical,
+  count(*) FILTER (WHERE NOT passed AND severity = 'WARNING') AS warning,
+  count(*) FILTER (WHERE NOT passed AND severity = 'INFO') AS info
+FROM rep""")
+    return out

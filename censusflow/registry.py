@@ -10,10 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle
 from .plans import pipeline
+from .operators import quality
 from .plans.reports import REPORTS
+from .sources.artifacts import materialize
+from .sources.binding import survey_defects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,14 +30,69 @@ def _report(fn) -> Query:
     return run
 
 
+def defect_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage-4 display frame of the bound survey with the key-derived defects applied.
+
+    Written once as the artifact the gate inspects, then read back by every check.
+    """
+    return materialize(survey_defects(pipeline.stage4_display(spark, sf_dir)), "survey_defects", sf_dir)
+
+
+# dq key -> check group of ``run_quality_checks``
+DQ_KEYS = {
+    "dq_row_count": "row_count", "dq_columns": "columns", "dq_no_nulls": "no_nulls",
+    "dq_populated": "populated", "dq_money_numeric": "money_numeric",
+    "dq_non_negative": "non_negative", "dq_integral": "integral", "dq_total": "total",
+    "dq_savings": "savings", "dq_usage": "usage", "dq_outliers": "outliers",
+    "dq_censored": "censored", "dq_timestamps": "timestamps", "dq_cross_field": "cross_field",
+    "dq_domains": "domains", "dq_cardinality": "cardinality",
+}
+DQ_DUPLICATES = {"dq_exact_dupes": "exact_duplicate_rows",
+                 "dq_name_ts_dupes": "duplicate_name_and_timestamp",
+                 "dq_repeated_names": "repeated_student_name"}
+
+
+def _dq(group: str, name: str | None = None) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        r = quality.run_quality_checks(defect_frame(spark, sf_dir), checks=[group], examples=False)
+        if name is not None:
+            r = r.filter(F.col("name") == name)
+        return r.select(*quality.COMPARED_COLUMNS)
+    return run
+
+
+def _quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run_quality_checks(defect_frame(spark, sf_dir), examples=False) \
+        .select(*quality.COMPARED_COLUMNS)
+
+
+def _quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_summary(quality.run_quality_checks(defect_frame(spark, sf_dir), examples=False))
+
+
+def _quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_gate(quality.run_quality_checks(defect_frame(spark, sf_dir)), policy="strict")
+
+
 def registered_queries() -> dict[str, Query]:
     q: dict[str, Query] = {"analysis_view": lambda s, d: pipeline.survey_view(s, d)}
     for name, fn in REPORTS.items():
         q[name] = _report(fn)
+    for key, group in DQ_KEYS.items():
+        q[key] = _dq(group)
+    for key, name in DQ_DUPLICATES.items():
+        q[key] = _dq("duplicates", name)
+    q["quality_report"] = _quality_report
+    q["quality_summary"] = _quality_summary
+    q["quality_gate"] = _quality_gate
     return q
 
 
+ROWS_ONLY = {"dq_columns", "quality_gate"}
+
+
 def oracle_queries() -> dict[str, str]:
-    sql = oracle.report_sql()
+    sql = {**oracle.report_sql(), **oracle.quality_sql()}
+    sql = {k: v for k, v in sql.items() if k not in ROWS_ONLY}
     keys = registered_queries()
     return {k: v for k, v in sql.items() if k in keys}
