@@ -440,3 +440,85 @@ def quality_sql() -> dict[str, str]:
   count(*) FILTER (WHERE NOT passed AND severity = 'INFO') AS info
 FROM rep""")
     return out
+
+
+# --------------------------------------------------------------------------- #
+# Metric layer
+# --------------------------------------------------------------------------- #
+
+def _avg(c: str) -> str:
+    if c == "budget_usage_pct":
+        return "CAST(sum(usage10) AS DOUBLE) / CAST(10 * count(usage10) AS DOUBLE)"
+    return f"CAST(sum({c}) AS DOUBLE) / CAST(count({c}) AS DOUBLE)"
+
+
+_YEAR_ORD = ("CASE year_of_study WHEN '1st Year' THEN 1 WHEN '2nd Year' THEN 2 "
+             "WHEN '3rd Year' THEN 3 WHEN '4th Year' THEN 4 END")
+_CENS = " + ".join(f"count(*) FILTER (WHERE {c} = 6250)" for c in
+                   ("food_expenses", "transport_expenses", "academic_expenses", "other_expenses"))
+
+
+def metric_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+
+    def grouped(key, value_sql, alias, dims, where="", order=None, limit=50, extra=""):
+        dl = ", ".join(dims)
+        order = order or f"{alias} DESC, {dl}"
+        w = f" WHERE {where}" if where else ""
+        q[key] = with_view(f"SELECT {dl}, {value_sql} AS {alias}{extra} FROM v{w} "
+                           f"GROUP BY {dl} ORDER BY {order} LIMIT {limit}")
+
+    grouped("m_avg", _avg("total_expenses"), "avg_total_expenses", ["degree"])
+    grouped("m_sum", "CAST(sum(allowance) AS BIGINT)", "sum_allowance", ["accommodation"])
+    grouped("m_count", "count(*)", "students", ["year_of_study"], order=f"{_YEAR_ORD}, year_of_study")
+    grouped("m_max", "max(total_expenses)", "max_total_expenses", ["preferred_payment"])
+    grouped("m_min", "min(allowance)", "min_allowance", ["background"])
+    grouped("m_median", median("total_expenses"), "median_total_expenses", ["study_focus"])
+    grouped("m_filtered", _avg("academic_expenses"), "avg_academic_expenses", ["accommodation"],
+            where="degree = 'BSc' AND gender = 'Female'")
+    grouped("m_negated", _avg("total_expenses"), "avg_total_expenses", ["degree"],
+            where="accommodation <> 'Hostel'")
+    grouped("m_compare", _avg("allowance"), "avg_allowance", ["accommodation"],
+            where="accommodation IN ('Hostel', 'Day Scholar')")
+    q["m_scalar"] = with_view(f"SELECT {_avg('food_expenses')} AS avg_food_expenses FROM v "
+                              "WHERE background = 'Rural'")
+    grouped("m_grouped", _avg("overspend_amount"), "avg_overspend_amount", ["upi_app"],
+            order="avg_overspend_amount ASC, upi_app", limit=5)
+    grouped("m_two_dims", _avg("total_expenses"), "avg_total_expenses", ["degree", "gender"], limit=8)
+    grouped("m_by_year", _avg("total_expenses"), "avg_total_expenses", ["year_of_study"],
+            order=f"{_YEAR_ORD}, year_of_study")
+    grouped("m_dual_ratio", _avg("budget_usage_pct"), "avg_budget_usage_pct", ["accommodation"],
+            extra=f", {AGG_RATIO} AS aggregate_utilisation_pct")
+    q["m_top_n"] = with_view("SELECT upi_app, count(*) AS students FROM v GROUP BY upi_app "
+                             "ORDER BY students DESC, upi_app LIMIT 5")
+    q["m_extreme"] = with_view("SELECT student_name, degree, year_of_study, accommodation, total_expenses "
+                               "FROM v ORDER BY total_expenses DESC, student_id LIMIT 1")
+    q["m_detail"] = with_view("SELECT student_name, degree, year_of_study, total_expenses FROM v "
+                              "WHERE accommodation = 'PG' ORDER BY total_expenses DESC, student_id LIMIT 10")
+    q["m_drift"] = with_view(f""", a AS (SELECT count(*) AS row_count,
+  {mean2('total_expenses')} AS mean_total_expenses, {mean2('allowance')} AS mean_allowance,
+  {_CENS} AS censored_cells FROM v)
+SELECT row_count, row_count = 213 AS row_count_ok, mean_total_expenses, mean_allowance,
+  abs(mean_total_expenses - 11461.27) <= 0.01 AS mean_total_expenses_ok,
+  abs(mean_allowance - 1578.64) <= 0.01 AS mean_allowance_ok,
+  CAST(censored_cells AS BIGINT) AS censored_cells, censored_cells > 0 AS censored_cells_ok FROM a""")
+    q["i_group_spread"] = with_view(f""", g AS (SELECT degree, {_avg('total_expenses')} AS val FROM v GROUP BY degree)
+SELECT (SELECT count(*) FROM g) AS groups,
+  (SELECT degree FROM g ORDER BY val DESC, degree DESC LIMIT 1) AS top_group,
+  (SELECT max(val) FROM g) AS top_value,
+  (SELECT degree FROM g ORDER BY val ASC, degree ASC LIMIT 1) AS low_group,
+  (SELECT min(val) FROM g) AS low_value,
+  CASE WHEN (SELECT min(val) FROM g) <> 0 THEN (SELECT max(val) FROM g) / (SELECT min(val) FROM g) END AS spread_ratio,
+  CASE WHEN (SELECT max(val) FROM g) / (SELECT min(val) FROM g) >= 1.5 THEN 'wide'
+       WHEN (SELECT max(val) FROM g) / (SELECT min(val) FROM g) < 1.15 THEN 'flat' ELSE 'moderate' END AS verdict""")
+    q["i_share"] = with_view(f"""SELECT count(*) FILTER (WHERE accommodation = 'Hostel') AS students,
+  count(*) AS all_students,
+  {pct("count(*) FILTER (WHERE accommodation = 'Hostel')", 'count(*)')} AS share_pct FROM v""")
+    q["i_savings"] = with_view(f"""SELECT count(*) AS students, count(*) FILTER (WHERE savings >= 0) AS savers,
+  {pct('count(*) FILTER (WHERE savings >= 0)', 'count(*)')} AS savers_pct,
+  count(*) FILTER (WHERE savings >= 0) = 0 AS no_savers,
+  {mean2('overspend_amount')} AS avg_deficit FROM v""")
+    q["i_overview"] = with_view(f"""SELECT count(*) AS students, {mean2('total_expenses')} AS avg_total_expenses,
+  {mean2('allowance')} AS avg_allowance, {MEAN_RATIO} AS mean_of_ratios_pct,
+  {AGG_RATIO} AS aggregate_utilisation_pct, {pct(_CENS, '4 * count(*)')} AS censored_cells_pct FROM v""")
+    return q

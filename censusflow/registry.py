@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from . import oracle
 from .plans import pipeline
 from .operators import quality
+from .plans import metrics as M
 from .plans.reports import REPORTS
 from .sources.artifacts import materialize
 from .sources.binding import survey_defects
@@ -82,17 +83,49 @@ def registered_queries() -> dict[str, Query]:
         q[key] = _dq(group)
     for key, name in DQ_DUPLICATES.items():
         q[key] = _dq("duplicates", name)
+    for key, fn in METRICS.items():
+        q[key] = _report(fn)
     q["quality_report"] = _quality_report
     q["quality_summary"] = _quality_summary
     q["quality_gate"] = _quality_gate
     return q
 
 
+METRICS = {
+    "m_avg": lambda v: M.metric_query(v, "total_expenses", "avg", ["degree"]),
+    "m_sum": lambda v: M.metric_query(v, "allowance", "sum", ["accommodation"]),
+    "m_count": lambda v: M.metric_query(v, "student_count", dimensions=["year_of_study"]),
+    "m_max": lambda v: M.metric_query(v, "total_expenses", "max", ["preferred_payment"]),
+    "m_min": lambda v: M.metric_query(v, "allowance", "min", ["background"]),
+    "m_median": lambda v: M.metric_query(v, "total_expenses", "median", ["study_focus"]),
+    "m_filtered": lambda v: M.metric_query(v, "academic_expenses", "avg", ["accommodation"],
+                                           filters=[("degree", "BSc"), ("gender", "Female")]),
+    "m_negated": lambda v: M.metric_query(v, "total_expenses", "avg", ["degree"],
+                                          filters=[("accommodation", "Hostel", True)]),
+    "m_compare": lambda v: M.metric_query(v, "allowance", "avg",
+                                          compare=("accommodation", ("Hostel", "Day Scholar"))),
+    "m_scalar": lambda v: M.metric_query(v, "food_expenses", "avg", filters=[("background", "Rural")]),
+    "m_grouped": lambda v: M.metric_query(v, "overspend_amount", "avg", ["upi_app"], ranking="asc", limit=5),
+    "m_two_dims": lambda v: M.metric_query(v, "total_expenses", "avg", ["degree", "gender"], limit=8),
+    "m_by_year": lambda v: M.metric_query(v, "total_expenses", "avg", ["year_of_study"]),
+    "m_dual_ratio": lambda v: M.metric_query(v, "budget_usage_pct", "avg", ["accommodation"]),
+    "m_top_n": lambda v: M.top_n(v, "upi_app", 5),
+    "m_extreme": lambda v: M.metric_query(v, "total_expenses", extreme=True),
+    "m_detail": lambda v: M.metric_query(v, "total_expenses", detail=True,
+                                         filters=[("accommodation", "PG")], limit=10),
+    "m_drift": lambda v: M.drift_check(v),
+    "i_group_spread": lambda v: M.group_spread(M.metric_query(v, "total_expenses", "avg", ["degree"]),
+                                               "degree", "avg_total_expenses"),
+    "i_share": lambda v: M.share_of_rows(v, [("accommodation", "Hostel")]),
+    "i_savings": lambda v: M.savings_reading(v),
+    "i_overview": lambda v: M.overview(v),
+}
+
 ROWS_ONLY = {"dq_columns", "quality_gate"}
 
 
 def oracle_queries() -> dict[str, str]:
-    sql = {**oracle.report_sql(), **oracle.quality_sql()}
+    sql = {**oracle.report_sql(), **oracle.quality_sql(), **oracle.metric_sql()}
     sql = {k: v for k, v in sql.items() if k not in ROWS_ONLY}
     keys = registered_queries()
     return {k: v for k, v in sql.items() if k in keys}
