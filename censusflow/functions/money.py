@@ -21,7 +21,7 @@ mapped to ASCII as well, because a Python ``float`` accepts them after NFKC.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import spec
@@ -64,9 +64,32 @@ _LABEL_RE = (
 )
 
 
+def _overlap(a: str, b: str) -> bool:
+    """True when occurrences of ``a`` and ``b`` can overlap without sharing a start."""
+    for k in range(1, min(len(a), len(b))):
+        if a[-k:] == b[:k] or b[-k:] == a[:k]:
+            return True
+    return (b in a and not a.startswith(b)) or (a in b and not b.startswith(a))
+
+
+def _artefact_passes(artefacts) -> list[str]:
+    """Group the ordered artefact list into regex alternations equivalent to replacing
+    each artefact in turn: a pass never holds two artefacts that can overlap (those
+    sharing a start are resolved by alternation order, which is list order)."""
+    passes: list[list[str]] = [[]]
+    for a in artefacts:
+        if any(_overlap(a, b) for b in passes[-1]):
+            passes.append([])
+        passes[-1].append(a)
+    return ["|".join(r"\Q" + a + r"\E" for a in group) for group in passes if group]
+
+
+_ARTEFACT_PASSES = _artefact_passes(spec.CURRENCY_ARTEFACTS)
+
+
 def _drop_artefacts(c: Column) -> Column:
-    for artefact in spec.CURRENCY_ARTEFACTS:
-        c = F.replace(c, F.lit(artefact), F.lit(" "))
+    for pattern in _ARTEFACT_PASSES:
+        c = F.regexp_replace(c, pattern, " ")
     return c
 
 
@@ -93,20 +116,45 @@ def _num(token: Column) -> Column:
     return F.replace(token, F.lit(","), F.lit("")).try_cast("double")
 
 
+def label_groups(clean: Column) -> Column:
+    """The four capture groups of a cleaned label as a struct ('' when absent or no match)."""
+    return F.struct(*[F.regexp_extract(clean, _LABEL_RE, i).alias(f"g{i}") for i in (1, 2, 3, 4)])
+
+
+def midpoint_from_groups(g: Column) -> Column:
+    """``< x`` -> 0.5x, ``> x`` -> 1.25x, ``a - b`` -> (a + b) / 2; NULL when nothing matched."""
+    g1, g2, g3, g4 = (g[f"g{i}"] for i in (1, 2, 3, 4))
+    return (F.when(g1 != "", _num(g1) * F.lit(spec.OPEN_LOW_MULTIPLIER))
+            .when(g2 != "", _num(g2) * F.lit(spec.OPEN_HIGH_MULTIPLIER))
+            .when((g3 != "") & (g4 != ""), (_num(g3) + _num(g4)) / F.lit(2.0)))
+
+
 def parse_midpoint(c: Column, dtype: str = "string") -> Column:
-    """Midpoint (double) of a money label; numbers pass through; anything else is NULL."""
+    """Midpoint (double) of one money label; numbers pass through; anything else is NULL.
+
+    A single-expression form; for whole columns prefer ``with_midpoints``, which
+    evaluates the cleaning chain once per cell.
+    """
     if dtype != "string":
         return c.cast("double")
-    t = strip_currency(c)
-    below = _num(F.regexp_extract(t, _LABEL_RE, 1))
-    above = _num(F.regexp_extract(t, _LABEL_RE, 2))
-    low = _num(F.regexp_extract(t, _LABEL_RE, 3))
-    high = _num(F.regexp_extract(t, _LABEL_RE, 4))
-    g1 = F.regexp_extract(t, _LABEL_RE, 1) != ""
-    g2 = F.regexp_extract(t, _LABEL_RE, 2) != ""
-    return (
-        F.when(c.isNull() | ~t.rlike(_LABEL_RE), F.lit(None).cast("double"))
-        .when(g1, below * F.lit(spec.OPEN_LOW_MULTIPLIER))
-        .when(g2, above * F.lit(spec.OPEN_HIGH_MULTIPLIER))
-        .otherwise((low + high) / F.lit(2.0))
-    )
+    return F.when(c.isNotNull(), midpoint_from_groups(label_groups(strip_currency(c))))
+
+
+def with_midpoints(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add ``out -> midpoint(in)`` columns in three projections: clean, extract, compute.
+
+    Each projection step is materialised once per row (Spark does not inline an
+    expensive expression that a later step references more than once), so the
+    replace/translate/regex chain runs once per cell instead of once per branch.
+    """
+    types = dict(df.dtypes)
+    text = {o: i for o, i in columns.items() if types[i] == "string"}
+    nums = {o: i for o, i in columns.items() if types[i] != "string"}
+    step = df.withColumns({f"__clean_{o}": F.when(F.col(f"`{i}`").isNotNull(), strip_currency(F.col(f"`{i}`")))
+                           for o, i in text.items()})
+    step = step.withColumns({f"__groups_{o}": label_groups(F.col(f"__clean_{o}")) for o in text})
+    out = {o: F.when(F.col(f"__clean_{o}").isNotNull(), midpoint_from_groups(F.col(f"__groups_{o}")))
+           for o in text}
+    out.update({o: F.col(f"`{i}`").cast("double") for o, i in nums.items()})
+    step = step.withColumns(out)
+    return step.drop(*[f"__clean_{o}" for o in text], *[f"__groups_{o}" for o in text])

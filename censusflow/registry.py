@@ -85,6 +85,7 @@ def registered_queries() -> dict[str, Query]:
         q[key] = _dq("duplicates", name)
     for key, fn in METRICS.items():
         q[key] = _report(fn)
+    q.update(_stages())
     q["quality_report"] = _quality_report
     q["quality_summary"] = _quality_summary
     q["quality_gate"] = _quality_gate
@@ -121,11 +122,139 @@ METRICS = {
     "i_overview": lambda v: M.overview(v),
 }
 
-ROWS_ONLY = {"dq_columns", "quality_gate"}
+def _stages() -> dict[str, Query]:
+    """Source, cleaning, transformation and publish keys (each reads the driver tables)."""
+    from .functions.money import strip_currency, with_midpoints
+    from .operators import clean as C
+    from .operators import publish as L
+    from .operators import transform as T
+    from .sources import binding as B
+    from .sources import io
+    from .sources.artifacts import artifact_path
+    from .plans.view import publish_projection
+
+    raw = pipeline.raw_export
+    s3 = pipeline.stage3
+    s4 = pipeline.stage4
+    money = ("food", "transport", "academic", "other", "allowance")
+    long_money = ("food_expenses_monthly", "transport_expenses_monthly", "academic_expenses_monthly",
+                  "other_expenses_monthly", "monthly_allowance")
+
+    def scan_raw(spark, d):
+        r = raw(spark, d)
+        path = io.write_csv(r, artifact_path(spark, "survey_raw_csv"))
+        back = io.read_raw_csv(spark, path, r.columns)
+        return back.withColumn(B.KEY, F.col(B.KEY).cast("long"))
+
+    def scan_csv_strings(spark, d):
+        df = pipeline.stage4_display(spark, d)
+        path = io.write_csv(df, artifact_path(spark, "stage4_csv"))
+        return io.read_raw_csv(spark, path, df.columns, blank_strings=True)
+
+    def write_roundtrip(spark, d):
+        df = s4(spark, d)
+        path = io.write_csv(df, artifact_path(spark, "stage4_canonical_csv"))
+        return io.read_typed_csv(spark, path, df.schema)
+
+    def publish_table(spark, d):
+        return io.publish_table(pipeline.published(spark, d), artifact_path(spark, "students_budget"))
+
+    def append_by_name(spark, d):
+        pub = pipeline.published(spark, d)
+        path = artifact_path(spark, "students_budget_append")
+        pub.filter(F.col("student_id") % 2 == 0).write.mode("overwrite").parquet(path)
+        odd = pub.filter(F.col("student_id") % 2 != 0)
+        io.append_by_name(odd.select(*reversed(odd.columns)), path)
+        return spark.read.parquet(path)
+
+    def missing_cols(spark, d):
+        df = pipeline.stage4_display(spark, d).drop("Background", "Study Focus")
+        return publish_projection(T.fill_missing_columns(df))
+
+    def strip(spark, d):
+        df = s3(spark, d)
+        return df.select(B.KEY, *[strip_currency(F.col(c)).alias(f"{m}_text") for c, m in zip(long_money, money)])
+
+    def parse(spark, d):
+        return with_midpoints(s3(spark, d), dict(zip(money, long_money))).select(B.KEY, *money)
+
+    def coerce(spark, d):
+        return T.coerce_money(T.shorten_names(s3(spark, d))).select(B.KEY, *money)
+
+    def rejects(spark, d):
+        df = T.shorten_names(B.money_defects(s3(spark, d)))
+        return T.money_rejects(df).select(B.KEY, F.array_join("failed_columns", ",").alias("failed_columns"))
+
+    def partial(*steps):
+        def run(spark, d):
+            df = T.coerce_money(T.shorten_names(s3(spark, d)))
+            for st in steps:
+                df = st(df)
+            return df
+        return run
+
+    def loader(spark, d):
+        return L.loader_frame(defect_frame(spark, d))
+
+    def arithmetic(spark, d):
+        df = loader(spark, d)
+        return L.preload_arithmetic(df.filter(F.col("Allowance").rlike(r"^\s*-?\d+(\.\d+)?\s*$")))
+
+    def report_json(spark, d):
+        res = quality.run_quality_checks(defect_frame(spark, d))
+        path = io.write_json(res, artifact_path(spark, "quality_report_json"))
+        return spark.read.json(path)
+
+    return {
+        "scan_raw": scan_raw,
+        "scan_csv_strings": scan_csv_strings,
+        "write_roundtrip": write_roundtrip,
+        "publish_table": publish_table,
+        "publish_frame_missing_cols": missing_cols,
+        "append_by_name": append_by_name,
+        "quality_report_json": report_json,
+        "clean_headers": lambda sp, d: C.clean_headers(raw(sp, d)),
+        "drop_junk_rows": lambda sp, d: C.drop_junk_rows(C.clean_headers(raw(sp, d))),
+        "rename_columns": lambda sp, d: C.rename_columns(C.drop_junk_rows(C.clean_headers(raw(sp, d)))),
+        "fold_specialization": lambda sp, d: C.fold_specialization(
+            C.rename_columns(C.drop_junk_rows(C.clean_headers(raw(sp, d))))).select(B.KEY, "specialization"),
+        "fill_upi_app": lambda sp, d: C.fill_upi_app(
+            C.rename_columns(C.drop_junk_rows(C.clean_headers(raw(sp, d))))).select(B.KEY, "upi_app"),
+        "clean_survey": s3,
+        "strip_currency": strip,
+        "parse_midpoint": parse,
+        "coerce_money": coerce,
+        "money_rejects": rejects,
+        "shorten_names": lambda sp, d: T.shorten_names(s3(sp, d)).select(
+            B.KEY, "accommodation", "background", "work_internship", "study_focus", "track_digitally",
+            "budget_plan"),
+        "add_total": lambda sp, d: partial(T.add_total)(sp, d).select(B.KEY, "total_expenses"),
+        "add_savings": lambda sp, d: partial(T.add_total, T.add_savings)(sp, d).select(B.KEY, "savings"),
+        "add_usage": lambda sp, d: partial(T.add_total, T.add_usage)(sp, d).select(B.KEY, "budget_usage_pct"),
+        "display_frame": pipeline.stage4_display,
+        "transform_survey": s4,
+        "transform_idempotent": lambda sp, d: T.transform_survey(s4(sp, d)),
+        "profile_measures": lambda sp, d: T.profile_measures(s4(sp, d)),
+        "value_counts": lambda sp, d: T.value_counts(s4(sp, d), "degree"),
+        "publish_projection": pipeline.published,
+        "preload_blanks": lambda sp, d: L.preload_blanks(loader(sp, d)),
+        "preload_domains": lambda sp, d: L.preload_domains(loader(sp, d)),
+        "preload_money": lambda sp, d: L.preload_money(loader(sp, d)),
+        "preload_usage": lambda sp, d: L.preload_usage(loader(sp, d)),
+        "preload_name": lambda sp, d: L.preload_name(loader(sp, d)),
+        "preload_arithmetic": arithmetic,
+        "verify_load": lambda sp, d: L.verify_load(pipeline.published(sp, d)),
+        "constraint_violations": lambda sp, d: L.constraint_violations(defect_frame(sp, d)),
+    }
+
+
+ROWS_ONLY = {"dq_columns", "quality_gate", "quality_report_json"}
 
 
 def oracle_queries() -> dict[str, str]:
-    sql = {**oracle.report_sql(), **oracle.quality_sql(), **oracle.metric_sql()}
+    from . import oracle_stages
+    sql = {**oracle.report_sql(), **oracle.quality_sql(), **oracle.metric_sql(),
+           **oracle_stages.stage_sql(), **oracle_stages.loader_sql()}
     sql = {k: v for k, v in sql.items() if k not in ROWS_ONLY}
     keys = registered_queries()
     return {k: v for k, v in sql.items() if k in keys}

@@ -279,3 +279,14 @@ def question_log(spark: SparkSession, sf_dir: str, templates: list[str]) -> Data
     idx = ((F.col("conv_id") * 7 + F.col("turn")) % len(templates)).cast("int")
     return conv.filter(F.col("role") == "user").select(
         "conv_id", "turn", F.element_at(arr, idx + 1).alias("question"))
+
+
+def money_defects(stage3: DataFrame) -> DataFrame:
+    """Stage-3 frame with unparseable money labels: free text, a bare number, a missing answer."""
+    k = F.col(KEY)
+    return stage3.withColumns({
+        "food_expenses_monthly": F.when(k % 37 == 0, F.lit("about 2k")).otherwise(F.col("food_expenses_monthly")),
+        "transport_expenses_monthly": F.when(k % 41 == 0, F.lit("1500"))
+        .otherwise(F.col("transport_expenses_monthly")),
+        "monthly_allowance": F.when(k % 43 == 0, F.lit(None).cast("string")).otherwise(F.col("monthly_allowance")),
+    })
