@@ -522,3 +522,39 @@ SELECT (SELECT count(*) FROM g) AS groups,
   {mean2('allowance')} AS avg_allowance, {MEAN_RATIO} AS mean_of_ratios_pct,
   {AGG_RATIO} AS aggregate_utilisation_pct, {pct(_CENS, '4 * count(*)')} AS censored_cells_pct FROM v""")
     return q
+
+
+# --------------------------------------------------------------------------- #
+# Text jobs: log triage (X1) and finding explanations
+# --------------------------------------------------------------------------- #
+
+def _sq(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def text_sql() -> dict[str, str]:
+    from .operators.text_jobs import CHECK_TITLES, LOG_PATTERNS, LOG_TEMPLATES
+    tmpl = ", ".join(f"({i}, {_sq(t)})" for i, t in enumerate(LOG_TEMPLATES))
+    cls = "CASE " + " ".join(f"WHEN regexp_matches(line, {_sq(p)}, 'i') THEN {i}"
+                              for i, (p, _, _) in enumerate(LOG_PATTERNS)) + " END"
+    title = "CASE pattern_id " + " ".join(f"WHEN {i} THEN {_sq(t)}" for i, (_, t, _) in enumerate(LOG_PATTERNS)) + " END"
+    sev = "CASE pattern_id " + " ".join(f"WHEN {i} THEN {_sq(s)}" for i, (_, _, s) in enumerate(LOG_PATTERNS)) + " END"
+    q = {}
+    q["x_log_triage"] = f"""WITH t(idx, tmpl) AS (VALUES {tmpl}),
+lg AS (SELECT event_id AS line_id, ts,
+         '[' || event_type || '] user=' || CAST(user_id AS VARCHAR) || ' ' || tmpl AS line
+       FROM events JOIN t ON event_id % {len(LOG_TEMPLATES)} = idx),
+c AS (SELECT line_id, ts, trim(line) AS evidence, {cls} AS pattern_id FROM lg),
+r AS (SELECT *, row_number() OVER (PARTITION BY pattern_id ORDER BY ts, line_id) AS rn,
+        count(*) OVER (PARTITION BY pattern_id) AS n FROM c WHERE pattern_id IS NOT NULL)
+SELECT CAST(pattern_id AS BIGINT) AS pattern_id, {title} AS title, {sev} AS severity, CAST(n AS BIGINT) AS lines,
+  ts AS first_ts, CAST(line_id AS BIGINT) AS first_line_id, evidence
+FROM r WHERE rn = 1 ORDER BY pattern_id"""
+    keys = sorted(CHECK_TITLES, key=len, reverse=True)
+    match = "CASE " + " ".join(f"WHEN starts_with(name, {_sq(k)}) THEN {_sq(k)}" for k in keys) + " END"
+    ttl = "CASE matched_key " + " ".join(f"WHEN {_sq(k)} THEN {_sq(v)}" for k, v in CHECK_TITLES.items()) + " END"
+    rep = quality_sql()["quality_report"]
+    q["x_explain_findings"] = rep.replace("SELECT * FROM rep", f"""SELECT name, severity, matched_key,
+  coalesce({ttl}, 'unrecognised check ''' || name || '''') AS title, offending
+FROM (SELECT *, {match} AS matched_key FROM rep WHERE NOT passed AND severity <> 'SKIPPED') p""")
+    return q

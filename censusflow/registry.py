@@ -86,6 +86,7 @@ def registered_queries() -> dict[str, Query]:
     for key, fn in METRICS.items():
         q[key] = _report(fn)
     q.update(_stages())
+    q.update(_text_jobs())
     q["quality_report"] = _quality_report
     q["quality_summary"] = _quality_summary
     q["quality_gate"] = _quality_gate
@@ -248,12 +249,23 @@ def _stages() -> dict[str, Query]:
     }
 
 
+def _text_jobs() -> dict[str, Query]:
+    from .operators import text_jobs as X
+    from .sources import binding as B
+
+    return {
+        "x_log_triage": lambda sp, d: X.log_triage(B.pipeline_log(sp, d, list(X.LOG_TEMPLATES))),
+        "x_explain_findings": lambda sp, d: X.explain_findings(quality.run_quality_checks(defect_frame(sp, d),
+                                                                                          examples=False)),
+    }
+
+
 ROWS_ONLY = {"dq_columns", "quality_gate", "quality_report_json"}
 
 
 def oracle_queries() -> dict[str, str]:
     from . import oracle_stages
-    sql = {**oracle.report_sql(), **oracle.quality_sql(), **oracle.metric_sql(),
+    sql = {**oracle.report_sql(), **oracle.quality_sql(), **oracle.metric_sql(), **oracle.text_sql(),
            **oracle_stages.stage_sql(), **oracle_stages.loader_sql()}
     sql = {k: v for k, v in sql.items() if k not in ROWS_ONLY}
     keys = registered_queries()
