@@ -558,3 +558,54 @@ FROM r WHERE rn = 1 ORDER BY pattern_id"""
   coalesce({ttl}, 'unrecognised check ''' || name || '''') AS title, offending
 FROM (SELECT *, {match} AS matched_key FROM rep WHERE NOT passed AND severity <> 'SKIPPED') p""")
     return q
+
+
+# --------------------------------------------------------------------------- #
+# Question text (N1, N2, N3, N6); RE2 has no lookaround, so boundaries are groups
+# --------------------------------------------------------------------------- #
+
+def _re2(phrase: str) -> str:
+    esc = "".join("\\" + ch if ch in ".+*?()[]{}|^$\\/-%&" else ch for ch in phrase)
+    return "(^|[^a-z0-9])" + esc + "([^a-z0-9]|$)"
+
+
+def question_sql() -> dict[str, str]:
+    from .functions import vocabulary as V
+    qs = ", ".join(f"({i}, {_sq(q)})" for i, q in enumerate(V.QUESTIONS))
+    prot = ", ".join(_sq(w) for w in sorted(V.PROTECTED))
+    stop = ", ".join(_sq(w) for w in sorted(V.STOPWORDS))
+    base = f"""WITH tq(idx, question) AS (VALUES {qs}),
+ql AS (SELECT conv_id, turn, question FROM conversations JOIN tq
+       ON (conv_id * 7 + turn) % {len(V.QUESTIONS)} = idx WHERE role = 'user'),
+n0 AS (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(replace(lower(coalesce(question, '')), '''', ' '),
+         '[^a-z0-9/&+.\\s-]', ' ', 'g'), '\\s+', ' ', 'g')) AS t0 FROM ql),
+nt AS (SELECT conv_id, turn, array_to_string(list_filter(string_split(t0, ' '), lambda x: x <> '' AND
+         (x IN ({prot}) OR regexp_matches(x, '[0-9]') OR x NOT IN ({stop}))), ' ') AS text FROM n0)
+"""
+    ranked = sorted(((len(s), mi, si, key, s) for mi, (key, _, _, syns) in enumerate(V.MEASURES)
+                     for si, s in enumerate(syns)), key=lambda r: (-r[0], r[1], r[2]))
+    meas = "CASE " + " ".join(f"WHEN regexp_matches(text, {_sq(_re2(s))}) THEN {_sq(k)}"
+                              for _, _, _, k, s in ranked) + " END"
+    agg = "CASE " + " ".join(f"WHEN regexp_matches(text, {_sq(_re2(p))}) THEN {_sq(v)}"
+                             for p, v in V.AGGREGATION_SYNONYMS) + " END"
+    dflt = "CASE m " + " ".join(f"WHEN {_sq(k)} THEN {_sq(a)}" for k, _, a, _ in V.MEASURES) + " END"
+    rank = "CASE " + " ".join(f"WHEN regexp_matches(text, {_sq(_re2(p))}) THEN {_sq(v)}"
+                              for p, v in V.RANKING_SYNONYMS) + " END"
+    detail = "(" + " OR ".join(f"regexp_matches(text, {_sq(_re2(p))})" for p in V.DETAIL_SYNONYMS) + ")"
+    comp = "(" + " OR ".join(f"regexp_matches(text, {_sq(_re2(p))})" for p in V.COMPARISON_SYNONYMS) + ")"
+    words = "CASE {raw} " + " ".join(f"WHEN {_sq(k)} THEN {v}" for k, v in V.NUMBER_WORDS.items()) + " END"
+    lim_parts = []
+    for p in V.LIMIT_PATTERNS:
+        raw = f"regexp_extract(text, {_sq(p)}, 1)"
+        lim_parts.append(f"CASE WHEN regexp_matches({raw}, '^[0-9]+$') THEN CAST({raw} AS INTEGER) "
+                         f"ELSE {words.format(raw=raw)} END")
+    lim = "coalesce(" + ", ".join(lim_parts) + ")"
+    q = {}
+    q["n_normalise"] = base + "SELECT conv_id, turn, text FROM nt"
+    q["n_measure"] = base + f"SELECT conv_id, turn, {meas} AS measure FROM nt"
+    q["n_aggregation"] = base + f"""SELECT conv_id, turn,
+  coalesce({agg}, {dflt}, CASE WHEN {detail} THEN '' END) AS aggregation
+FROM (SELECT *, {meas} AS m FROM nt) x"""
+    q["n_flags"] = base + f"""SELECT conv_id, turn, {rank} AS ranking, CAST({lim} AS BIGINT) AS explicit_limit,
+  {detail} AS detail, {comp} AS comparison FROM nt"""
+    return q

@@ -21,7 +21,7 @@ def raw_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     Writing it cuts the lineage to the star-schema join and keeps the fixture's
     label rendering out of the cleaning stage's generated code.
     """
-    return materialize(survey_raw(spark, sf_dir), "survey_raw", sf_dir)
+    return materialize(lambda: survey_raw(spark, sf_dir), "survey_raw", sf_dir, spark=spark)
 
 
 def stage3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,8 @@ def defect_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Written once as the artifact the gate inspects, then read back by every check.
     """
-    return materialize(survey_defects(pipeline.stage4_display(spark, sf_dir)), "survey_defects", sf_dir)
+    return materialize(lambda: survey_defects(pipeline.stage4_display(spark, sf_dir)), "survey_defects", sf_dir,
+                       spark=spark)
 
 
 # dq key -> check group of ``run_quality_checks``
@@ -253,19 +254,70 @@ def _text_jobs() -> dict[str, Query]:
     from .operators import text_jobs as X
     from .sources import binding as B
 
+    from .functions import vocabulary as VOC
+    from .operators import intents as N
+
+    def qlog(sp, d):
+        return B.question_log(sp, d, list(VOC.QUESTIONS))
+
+    def parsed(sp, d):
+        # The intent table is written once and read back by every consumer: it keeps
+        # the large parse expression in one planned stage and cuts the lineage.
+        return materialize(lambda: N.parse_questions(qlog(sp, d)), "question_intents", d, spark=sp)
+
+    def texts(sp, d):
+        return qlog(sp, d).select("conv_id", "turn", N.question_text(F.col("question")).alias("text"))
+
+    def n_measure(sp, d):
+        return texts(sp, d).select("conv_id", "turn", N.measure(F.col("text")).alias("measure"))
+
+    def n_aggregation(sp, d):
+        t = texts(sp, d).withColumn("m", N.measure(F.col("text")))
+        agg = F.coalesce(N.explicit_aggregation(F.col("text")), N.default_aggregation(F.col("m")),
+                         F.when(N.is_detail(F.col("text")), F.lit("")))
+        return t.select("conv_id", "turn", agg.alias("aggregation"))
+
+    def n_flags(sp, d):
+        t = F.col("text")
+        return texts(sp, d).select("conv_id", "turn", N.ranking(t).alias("ranking"),
+                                   N.explicit_limit(t).cast("long").alias("explicit_limit"),
+                                   N.is_detail(t).alias("detail"), N.is_comparison(t).alias("comparison"))
+
+    def n_filters(sp, d):
+        p = parsed(sp, d)
+        return p.select("conv_id", "turn", F.posexplode(F.array_union(
+            F.col("filters"), F.transform(F.coalesce(F.col("compare_values"), F.array().cast("array<string>")),
+                                          lambda v: F.struct(F.col("compare_dim").alias("dim"), v.alias("value"),
+                                                             F.lit(False).alias("negated")))))) \
+            .select("conv_id", "turn", F.col("pos").cast("long").alias("pos"), F.col("col.dim").alias("dimension"),
+                    F.col("col.value").alias("value"), F.col("col.negated").alias("negated"))
+
+    def n_dimensions(sp, d):
+        return parsed(sp, d).select("conv_id", "turn", F.posexplode("dimensions")) \
+            .select("conv_id", "turn", F.col("pos").cast("long").alias("pos"), F.col("col").alias("dimension"))
+
     return {
+        "n_normalise": texts,
+        "n_measure": n_measure,
+        "n_aggregation": n_aggregation,
+        "n_flags": n_flags,
+        "n_filters": n_filters,
+        "n_dimensions": n_dimensions,
+        "n_intents": lambda sp, d: N.intents_flat(parsed(sp, d)),
+        "n_carry_over": lambda sp, d: N.carry_over(parsed(sp, d)),
         "x_log_triage": lambda sp, d: X.log_triage(B.pipeline_log(sp, d, list(X.LOG_TEMPLATES))),
         "x_explain_findings": lambda sp, d: X.explain_findings(quality.run_quality_checks(defect_frame(sp, d),
                                                                                           examples=False)),
     }
 
 
-ROWS_ONLY = {"dq_columns", "quality_gate", "quality_report_json"}
+ROWS_ONLY = {"dq_columns", "quality_gate", "quality_report_json",
+             "n_filters", "n_dimensions", "n_intents", "n_carry_over"}
 
 
 def oracle_queries() -> dict[str, str]:
     from . import oracle_stages
-    sql = {**oracle.report_sql(), **oracle.quality_sql(), **oracle.metric_sql(), **oracle.text_sql(),
+    sql = {**oracle.report_sql(), **oracle.quality_sql(), **oracle.metric_sql(), **oracle.text_sql(), **oracle.question_sql(),
            **oracle_stages.stage_sql(), **oracle_stages.loader_sql()}
     sql = {k: v for k, v in sql.items() if k not in ROWS_ONLY}
     keys = registered_queries()

@@ -25,12 +25,17 @@ def artifact_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     return os.path.join(base, "artifacts", name + suffix)
 
 
-def materialize(df: DataFrame, name: str, key: str = "") -> DataFrame:
-    """Write ``df`` as Parquet once per (name, key) in this application and read it back."""
-    spark = df.sparkSession
+def materialize(df, name: str, key: str = "", spark: SparkSession | None = None) -> DataFrame:
+    """Write a frame as Parquet once per (name, key) in this application and read it back.
+
+    ``df`` may be a DataFrame or a zero-argument builder (then ``spark`` is required),
+    so an already written artifact costs no planning at all.
+    """
+    spark = spark if spark is not None else df.sparkSession
     tag = (spark.sparkContext.applicationId, name + "|" + key)
     path = _WRITTEN.get(tag)
     if path is None:
+        df = df() if callable(df) else df
         digest = hashlib.sha1(tag[1].encode()).hexdigest()[:12]
         path = artifact_path(spark, f"{name}-{digest}")
         df.write.mode("overwrite").parquet(path)
