@@ -41,3 +41,8 @@ def materialize(df, name: str, key: str = "", spark: SparkSession | None = None)
         df.write.mode("overwrite").parquet(path)
         _WRITTEN[tag] = path
     return spark.read.parquet(path)
+
+
+def written_path(spark: SparkSession, name: str, key: str = "") -> str | None:
+    """Location of an artifact written by ``materialize`` in this application, if any."""
+    return _WRITTEN.get((spark.sparkContext.applicationId, name + "|" + key))
