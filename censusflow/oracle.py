@@ -255,6 +255,8 @@ per_student AS (SELECT student_id, count(*) FILTER (WHERE amount = row_max) AS a
 SELECT CAST(areas_tied AS BIGINT) AS categories_tied_for_largest, count(*) AS students,
   {share()} AS share_of_students_pct
 FROM per_student GROUP BY areas_tied ORDER BY areas_tied""")
+    q["r15_rank_join"] = q["r15_top_area"]
+    q["r16_window"] = q["r16_ties"]
     q["r17_focus"] = with_view(f"""SELECT study_focus, count(*) AS students, {share()} AS share_of_students_pct,
   {mean2('total_expenses')} AS avg_total_expenses, {median('total_expenses')} AS median_total_expenses,
   {mean2('academic_expenses')} AS avg_academic_expenses, {AGG_RATIO} AS aggregate_utilisation_pct

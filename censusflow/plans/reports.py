@@ -350,6 +350,42 @@ def r15_top_area(v: DataFrame) -> DataFrame:
     ).orderBy(F.desc("students_naming_it_top"), "top_area"))
 
 
+def _spending(v: DataFrame) -> DataFrame:
+    """Long form (response, area, amount): the four expense columns unpivoted."""
+    return v.select("student_id", *[F.col(c).alias(a) for a, c in AREAS]).unpivot(
+        "student_id", [a for a, _ in AREAS], "area", "amount")
+
+
+def r15_rank_join(v: DataFrame) -> DataFrame:
+    """R15, literal form: rank areas within each response, keep rank 1, count ties, join back.
+
+    Shuffles the long form by the (unique, unskewed) response id; ``r15_top_area``
+    computes the same result row-wise without that shuffle.
+    """
+    w = Window.partitionBy("student_id").orderBy(F.desc("amount"))
+    top = _spending(v).withColumn("area_rank", F.rank().over(w)).filter(F.col("area_rank") == 1) \
+        .select("student_id", "area")
+    ties = top.groupBy("student_id").agg(F.count(F.lit(1)).alias("areas_tied"))
+    g = top.join(ties, "student_id").groupBy(F.col("area").alias("top_area")).agg(
+        F.count(F.lit(1)).alias("students_naming_it_top"),
+        count_if(F.col("areas_tied") == 1).alias("students_with_unique_top"),
+        F.max("areas_tied").cast("long").alias("worst_case_tie_size"))
+    return (g.withColumn("share_of_students_pct", share_of_all("students_naming_it_top"))
+            .select("top_area", "students_naming_it_top", "students_with_unique_top",
+                    "share_of_students_pct", "worst_case_tie_size")
+            .orderBy(F.desc("students_naming_it_top"), "top_area"))
+
+
+def r16_window(v: DataFrame) -> DataFrame:
+    """R16, literal form: ``max(amount) over (partition by response)`` on the long form."""
+    w = Window.partitionBy("student_id")
+    per = (_spending(v).withColumn("row_max", F.max("amount").over(w))
+           .groupBy("student_id").agg(count_if(F.col("amount") == F.col("row_max")).alias("areas_tied")))
+    g = per.groupBy(F.col("areas_tied").cast("long").alias("categories_tied_for_largest")).agg(students())
+    return (g.withColumn("share_of_students_pct", share_of_all("students"))
+            .orderBy("categories_tied_for_largest"))
+
+
 def r16_ties(v: DataFrame) -> DataFrame:
     """Histogram of how many areas tie for a response's largest amount."""
     g = (_row_max_and_ties(v).groupBy(F.col("areas_tied").cast("long").alias("categories_tied_for_largest"))
@@ -435,7 +471,8 @@ REPORTS = {
     "r07_top_apps": r07_top_apps, "r08_upi_integrity": r08_upi_integrity,
     "r09_app_reach": r09_app_reach, "r10_accommodation": r10_accommodation,
     "r11_head_to_head": r11_head_to_head, "r12_mix": r12_mix, "r13_areas": r13_areas,
-    "r14_ceiling_rows": r14_ceiling_rows, "r15_top_area": r15_top_area, "r16_ties": r16_ties,
+    "r14_ceiling_rows": r14_ceiling_rows, "r15_top_area": r15_top_area, "r15_rank_join": r15_rank_join,
+    "r16_ties": r16_ties, "r16_window": r16_window,
     "r17_focus": r17_focus, "r18_verify": r18_verify, "r19_censored_cells": r19_censored_cells,
     "r20_coverage": r20_coverage,
 }
