@@ -33,17 +33,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared, fault-tolerant folder and is used
-    as is.  Only when it is unset (tests, local runs) a fresh scratch folder is
-    created and registered.
+    as is.  Only when it is unset (tests, local runs) a scratch folder is created
+    once per application and registered with ``setCheckpointDir`` (the setting
+    itself cannot be changed at runtime).
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="censusflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        path = _LOCAL_DIRS.get(sc.applicationId)
+        if path is None:
+            path = tempfile.mkdtemp(prefix="censusflow-ckpt-")
+            _LOCAL_DIRS[sc.applicationId] = path
+            sc.setCheckpointDir(path)
     return path
