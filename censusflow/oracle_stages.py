@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 
-from .oracle import SURVEY_CTE, with_view
+from .oracle import with_view
 
 EXPENSE = (("lt", 500, None), ("range", 500, 1000), ("range", 1000, 2000), ("range", 2000, 3000),
            ("range", 3000, 4000), ("range", 4000, 5000), ("gt", 5000, None))

@@ -3,13 +3,12 @@
 Everything in the FIXED VALUES block must equal the survey instrument's own
 labels, otherwise cleaned data would not match the published schema.  The rest
 of the module derives lookups from those lists so that column lists, domains and
-money rules are stated once.
+money rules are stated once; the operators read them from here and take
+overrides (rename map, domains, expectations) as arguments where a rule needs one.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 # --------------------------------------------------------------------------- #
 # FIXED VALUES (survey instrument labels, domains, bucket rules)
 # --------------------------------------------------------------------------- #
@@ -146,7 +145,7 @@ DOMAINS: dict[str, tuple[str, ...]] = {
                 "Airtel Thanks App", "Other", "Not Applicable"),
 }
 
-# Published column -> constraint name suffix for the row-level reject split.
+# Money headers the table requires to be non-negative.
 NON_NEGATIVE_HEADERS: tuple[str, ...] = ("Food", "Transport", "Academic", "Other", "Allowance")
 
 YEAR_ORDINALS: dict[str, int] = {"1st Year": 1, "2nd Year": 2, "3rd Year": 3, "4th Year": 4}
@@ -217,20 +216,3 @@ PUBLISHED_COLUMNS: tuple[str, ...] = ("student_id",) + tuple(PUBLISHED_NAMES.val
 MONEY_SOURCE_COLUMNS: tuple[str, ...] = tuple(
     k for k, v in SHORT_NAMES.items() if v in MONEY_COLUMNS
 )
-
-
-@dataclass(frozen=True)
-class SurveySpec:
-    """Bundle of the survey description; swap one in to reuse the operators."""
-
-    rename: dict[str, str] = field(default_factory=lambda: dict(RAW_RENAME))
-    course_columns: tuple[str, ...] = COURSE_COLUMNS
-    identity_columns: tuple[str, ...] = IDENTITY_COLUMNS
-    cleaned_columns: tuple[str, ...] = CLEANED_COLUMNS
-    short_names: dict[str, str] = field(default_factory=lambda: dict(SHORT_NAMES))
-    display_names: dict[str, str] = field(default_factory=lambda: dict(DISPLAY_NAMES))
-    domains: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(DOMAINS))
-    year_ordinals: dict[str, int] = field(default_factory=lambda: dict(YEAR_ORDINALS))
-
-
-DEFAULT_SPEC = SurveySpec()
