@@ -15,6 +15,10 @@ Spark has no NFKC builtin, so compatibility folding is approximated with one
 * small form variants U+FE50, U+FE52, U+FE63, U+FE64, U+FE65 -> ``, . - < >``;
 * U+20A8 (rupee ligature) -> ``Rs``.
 
+The same ``translate`` maps the dashes U+2010..U+2015 and U+2212 to ``-`` (no
+artefact holds a dash, so mapping them before the second artefact pass is the
+same as mapping them after it).
+
 Decimal digits of other scripts (Arabic-Indic, Devanagari, Bengali, ...) are
 mapped to ASCII as well, because a Python ``float`` accepts them after NFKC.
 """
@@ -25,7 +29,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import spec
-from .columns import ustrip
 
 
 def _build_fold_table() -> tuple[str, str]:
@@ -50,6 +53,8 @@ def _build_fold_table() -> tuple[str, str]:
     for cp, ch in ((0xFE50, ","), (0xFE52, "."), (0xFE63, "-"), (0xFE64, "<"), (0xFE65, ">")):
         add(cp, ch)
     # Zero of each decimal-digit block in other scripts.
+    for cp in (*range(0x2010, 0x2016), 0x2212):  # dashes and the minus sign
+        add(cp, "-")
     for zero in (0x0660, 0x06F0, 0x07C0, 0x0966, 0x09E6, 0x0A66, 0x0AE6, 0x0B66,
                  0x0BE6, 0x0C66, 0x0CE6, 0x0D66, 0x0E50, 0x0ED0, 0x0F20, 0x1040):
         for i in range(10):
@@ -58,7 +63,8 @@ def _build_fold_table() -> tuple[str, str]:
 
 
 _FOLD_SRC, _FOLD_DST = _build_fold_table()
-_DASHES = "[‐-―−]"
+# Any run of characters a label may not keep (whitespace included) becomes one space.
+_DROP_RUN = r"(?U)[^\d<>.,\-]+"
 _LABEL_RE = (
     r"(?U)^\s*(?:<\s*([\d.,]+)|>\s*([\d.,]+)|([\d.,]+)\s*-\s*([\d.,]+))\s*$"
 )
@@ -104,12 +110,12 @@ def strip_currency(c: Column, dtype: str = "string") -> Column:
     if dtype != "string":
         return F.lit("")
     t = _drop_artefacts(c)
-    t = fold_compat(t)
+    t = fold_compat(t)  # also maps dashes to '-'
     t = _drop_artefacts(t)
-    t = F.regexp_replace(t, _DASHES, "-")
-    t = F.regexp_replace(t, r"(?U)[^\d\s<>.,\-]", " ")
-    t = F.regexp_replace(t, r"(?U)\s+", " ")
-    return F.coalesce(ustrip(t), F.lit(""))
+    # "replace every disallowed character by a space, squeeze whitespace, trim" in one
+    # pass: afterwards the only whitespace left is single U+0020, which ``trim`` removes.
+    t = F.regexp_replace(t, _DROP_RUN, " ")
+    return F.coalesce(F.trim(t), F.lit(""))
 
 
 def _num(token: Column) -> Column:
