@@ -72,3 +72,16 @@ def test_carry_over(spark):
     assert out[2]["dimensions"] == "degree"
     assert out[2]["filters"] == "accommodation=Hostel;background=Urban"
     assert 3 not in out  # a confirmation is not a new question
+
+
+def test_carry_over_blocks_match_one_window(spark):
+    # The two-level scan must give what one window over the whole conversation gives,
+    # however the turns are cut into blocks (one long conversation, many blocks).
+    qs = list(dict.fromkeys(V.QUESTIONS + tuple(EXTRA) + ("yes", "ok", "and the urban ones")))
+    rows = [(c, t, qs[(c * 7 + t * 3) % len(qs)]) for c in range(3) for t in range(40 if c == 0 else 6)]
+    parsed = N.parse_questions(spark.createDataFrame(rows, "conv_id long, turn long, question string")).cache()
+    whole = sorted(N.carry_over(parsed, block=1 << 30).collect())
+    assert len(whole) > 30
+    for b in (1, 2, 5, 16):
+        assert sorted(N.carry_over(parsed, block=b).collect()) == whole, b
+    parsed.unpersist()
