@@ -7,16 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import decontaminate
+from .packing import pack_documents
+from .tokenize import tokenizer_path
 from .util import table
 
 
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.drop("text_key")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op9_decontaminate,)
+    f.__name__: f for f in (op6_pack, op9_decontaminate)
 }
 
 SQL: dict[str, str] = {}
