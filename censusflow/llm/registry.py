@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import decontaminate
 from .packing import pack_documents
+from .token_file import read_token_files, write_token_files
 from .tokenize import tokenizer_path
 from .util import table
 
@@ -16,13 +17,17 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_token_files(*write_token_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), "byte", 2))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.drop("text_key")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_pack, op9_decontaminate)
+    f.__name__: f for f in (op6_pack, op7_token_file, op9_decontaminate)
 }
 
 SQL: dict[str, str] = {}
