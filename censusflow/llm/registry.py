@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import licences
 from .decontaminate import decontaminate
 from .packing import pack_documents
 from .token_file import read_token_files, write_token_files
@@ -31,11 +32,16 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text_key")
 
 
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op3_topk, op6_pack, op7_token_file, op9_decontaminate)
 }
 
 SQL: dict[str, str] = {
+    "op10_licences": licences.duckdb_sql(),
     "op3_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
            FROM embeddings
