@@ -18,6 +18,9 @@ from . import kernels as K
 
 #: Distinct pieces that a worker remembers; a full memory is emptied, which only costs time.
 REMEMBERED = 1_500_000
+#: Slots of the hash table (a power of two) and ids in a row of the id matrix.
+_SLOT_BITS, _ROW = 22, 6
+JOINED = 24
 
 
 def tokenizer_path(name: str) -> str:
@@ -34,13 +37,70 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.rule = {"word": self._word, "byte": self._byte}[rule]
+        # pieces that are surely whole beside a mark are encoded JOINED at a time and split at its id
+        self.mark, self.plain = {"word": (" | ", lambda t: "|" not in t), "byte": ("\n", lambda t: t[0] == " " and t[1:].split() == [t[1:]])}[rule]
+        mark = self.tok.encode(self.mark, add_special_tokens=False).ids
+        self.mark_id = mark[0] if len(mark) == 1 else None
         self._forget()
 
     def _forget(self) -> None:
-        self.known = np.empty(0, np.uint64)   # sorted hashes
-        self.place = np.empty(0, np.int64)    # of each hash: its piece
-        self.ids = np.empty(0, np.uint32)     # ids of all pieces
-        self.at = np.zeros(1, np.int64)       # where each piece's ids begin
+        self.slot_hash = np.zeros(1 << _SLOT_BITS, np.uint64)
+        self.slot_piece = np.full(1 << _SLOT_BITS, -1, np.int32)
+        # a piece's ids fill one row or more of the matrix
+        self.row, self.rows, self.size = np.empty(0, np.int32), np.empty(0, np.int32), np.empty(0, np.int32)
+        self.ids = np.empty((0, _ROW), np.uint16 if self.tok.get_vocab_size() < 1 << 16 else np.uint32)
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """The pieces of the hashes; -1 where unknown."""
+        at = (h >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+        piece = self.slot_piece[at]
+        wrong = np.flatnonzero((self.slot_hash[at] != h) & (piece >= 0))
+        while len(wrong):
+            at[wrong] = (at[wrong] + 1) & ((1 << _SLOT_BITS) - 1)
+            piece[wrong] = self.slot_piece[at[wrong]]
+            wrong = wrong[(self.slot_hash[at[wrong]] != h[wrong]) & (piece[wrong] >= 0)]
+        return piece
+
+    def _remember(self, h: np.ndarray, texts: list[str]) -> None:
+        """Encode new pieces with distinct hashes."""
+        if self.mark_id is not None:
+            plain = np.fromiter(map(self.plain, texts), bool, len(texts))
+            for some, join in ((plain, JOINED), (~plain, 1)):
+                at = np.flatnonzero(some)
+                self._encode(h[at], [texts[i] for i in at.tolist()], join)
+        else:
+            self._encode(h, texts, 1)
+
+    def _encode(self, h: np.ndarray, texts: list[str], join: int) -> None:
+        got = [e.ids for e in self.tok.encode_batch_fast([self.mark.join(texts[i:i + join]) for i in range(0, len(texts), join)] if join > 1 else texts,
+                                                         add_special_tokens=False)]
+        size = np.fromiter(map(len, got), np.int32, len(got))
+        flat = np.fromiter(chain.from_iterable(got), self.ids.dtype, int(size.sum()))
+        if join > 1 and len(got):
+            marks = flat == self.mark_id
+            ends = np.cumsum(size)
+            per = np.add.reduceat(np.append(marks, False), ends - size) if (size > 0).all() else np.zeros(1)
+            if marks.sum() != len(texts) - len(got) or (per[:-1] != join - 1).any():
+                return self._encode(h, texts, 1)
+            bounds = np.union1d(np.flatnonzero(marks), ends - 1)  # last id of a group, or the mark behind a piece
+            size = np.diff(np.append(-1, bounds)) - marks[bounds]
+            flat = flat[~marks]
+        rows = np.maximum(-(-size // _ROW), 1).astype(np.int32)
+        matrix = np.zeros((int(rows.sum()), _ROW), self.ids.dtype)
+        first = np.cumsum(rows) - rows
+        matrix.ravel()[np.repeat(first.astype(np.int64) * _ROW - (np.cumsum(size) - size), size) + np.arange(len(flat))] = flat
+        piece = np.arange(len(self.row), len(self.row) + len(h), dtype=np.int32)
+        self.row = np.append(self.row, (len(self.ids) + first).astype(np.int32))
+        self.rows, self.size = np.append(self.rows, rows), np.append(self.size, size)
+        self.ids = np.concatenate([self.ids, matrix])
+        at, left = (h >> np.uint64(64 - _SLOT_BITS)).astype(np.int64), np.arange(len(h))
+        while len(left):
+            _, one = np.unique(at[left], return_index=True)  # one taker for each slot
+            one = one[self.slot_piece[at[left[one]]] < 0]
+            take = left[one]
+            self.slot_hash[at[take]], self.slot_piece[at[take]] = h[take], piece[take]
+            left = np.delete(left, one)
+            at[left] = np.where(self.slot_piece[at[left]] >= 0, (at[left] + 1) & ((1 << _SLOT_BITS) - 1), at[left])
 
     @staticmethod
     def _word(buf: np.ndarray, offsets: np.ndarray):
@@ -65,30 +125,25 @@ class Encoder:
         starts, ends, counts = self.rule(buf, offsets)
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
-        h, first, inverse = np.unique(K.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) > REMEMBERED:
+        h = K.span_hashes(buf, starts, ends)
+        if len(self.row) > REMEMBERED:
             self._forget()
-        spot = np.searchsorted(self.known, h)
-        new = np.ones(len(h), bool)
-        inside = spot < len(self.known)
-        new[inside] = self.known[spot[inside]] != h[inside]
-        if new.any():
+        piece = self._find(h)
+        unknown = np.flatnonzero(piece < 0)
+        if len(unknown):
+            new, one = np.unique(h[unknown], return_index=True)
+            pick = unknown[one]
             raw = buf.tobytes()
-            pick = first[new]
-            got = [e.ids for e in self.tok.encode_batch_fast([raw[a:b].decode() for a, b in zip(starts[pick].tolist(), ends[pick].tolist())], add_special_tokens=False)]
-            lens = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter(chain.from_iterable(got), np.uint32, int(lens.sum()))
-            begin = len(self.at) - 1
-            self.at = np.append(self.at, self.at[-1] + np.cumsum(lens))
-            self.ids = np.append(self.ids, flat)
-            self.place = np.insert(self.place, spot[new], np.arange(begin, begin + len(got)))
-            self.known = np.insert(self.known, spot[new], h[new])
-            spot = np.searchsorted(self.known, h)
-        piece = self.place[spot][inverse]
-        lens = self.at[piece + 1] - self.at[piece]
-        total = np.cumsum(lens)
-        out = self.ids[np.repeat(self.at[piece] - (total - lens), lens) + np.arange(total[-1])]
-        bound = np.append(0, total)[np.append(0, np.cumsum(counts))]
+            self._remember(new, [raw[a:b].decode() for a, b in zip(starts[pick].tolist(), ends[pick].tolist())])
+            piece[unknown] = self._find(h[unknown])
+        size, rows = self.size[piece], self.rows[piece]
+        row = self.row[piece]
+        left = size
+        if (rows > 1).any():
+            nth = np.arange(int(rows.sum()), dtype=np.int32) - np.repeat(np.cumsum(rows, dtype=np.int32) - rows, rows)
+            row, left = np.repeat(row, rows) + nth, np.repeat(size, rows) - nth * _ROW
+        out = self.ids[row][np.arange(_ROW, dtype=np.int32) < left[:, None]]
+        bound = np.append(0, np.cumsum(size, dtype=np.int64))[np.append(0, np.cumsum(counts))]
         return out, np.diff(bound)
 
 
