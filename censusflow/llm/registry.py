@@ -8,17 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import licences
 from .decontaminate import decontaminate
+from .ngram_join import jaccard_components
 from .packing import pack_documents
+from .quality import quality
 from .token_file import read_token_files, write_token_files
 from .tokenize import tokenizer_path
 from .topk import top_k
+from .toxicity import toxicity
 from .util import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -27,6 +38,10 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(*write_token_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), "byte", 2))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.drop("text_key")
@@ -37,7 +52,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_topk, op6_pack, op7_token_file, op9_decontaminate)
+    f.__name__: f for f in (op1_quality, op3_topk, op4_toxicity, op6_pack, op7_token_file, op8_ngram_join, op9_decontaminate, op10_licences)
 }
 
 SQL: dict[str, str] = {
