@@ -40,13 +40,22 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+class Spans:
+    """Hashes of byte spans of one buffer."""
+
+    def __init__(self, buf: np.ndarray):
+        n = len(buf)
+        up, self.down = _powers(n + 1)
+        self.run = np.zeros(n + 1, np.uint64)
+        np.cumsum(_CODES[buf] * up[:n], out=self.run[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Mixed 64-bit hashes of the spans [start, end)."""
+        return mix((self.run[ends] - self.run[starts]) * self.down[starts])
+
+
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Mixed 64-bit hashes of the byte spans [start, end)."""
-    n = len(buf)
-    up, down = _powers(n + 1)
-    run = np.zeros(n + 1, np.uint64)
-    np.cumsum(_CODES[buf] * up[:n], out=run[1:])
-    return mix((run[ends] - run[starts]) * down[starts])
+    return Spans(buf)(starts, ends)
 
 
 def word_bounds(buf: np.ndarray, offsets: np.ndarray, delim: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import licences
 from .decontaminate import decontaminate
+from .line_dedup import dedup_lines
 from .ngram_join import jaccard_components
 from .packing import pack_documents
 from .quality import quality
@@ -30,6 +32,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: how many lines it had and lost, and the digest of the text that is left."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"))
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -52,7 +60,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op3_topk, op4_toxicity, op6_pack, op7_token_file, op8_ngram_join, op9_decontaminate, op10_licences)
+    f.__name__: f for f in (op1_quality, op3_topk, op4_toxicity, op5_line_dedup, op6_pack, op7_token_file, op8_ngram_join, op9_decontaminate, op10_licences)
 }
 
 SQL: dict[str, str] = {
