@@ -12,6 +12,7 @@ from .decontaminate import decontaminate
 from .line_dedup import dedup_lines
 from .ngram_join import jaccard_components
 from .packing import pack_documents
+from .pii import pii
 from .quality import quality
 from .token_file import read_token_files, write_token_files
 from .tokenize import tokenizer_path
@@ -24,6 +25,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii(table(spark, sf_dir, "documents"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
@@ -60,7 +65,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op3_topk, op4_toxicity, op5_line_dedup, op6_pack, op7_token_file, op8_ngram_join, op9_decontaminate, op10_licences)
+    f.__name__: f for f in (op1_quality, op2_pii, op3_topk, op4_toxicity, op5_line_dedup, op6_pack, op7_token_file, op8_ngram_join, op9_decontaminate, op10_licences)
 }
 
 SQL: dict[str, str] = {
