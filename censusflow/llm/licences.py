@@ -81,8 +81,8 @@ def scan(docs: DataFrame, phrases: Sequence[Phrase] = PHRASES, anchors: int = 2)
 
     # at most one row per licence word
     df = seen.select(F.explode("present").alias("word")).groupBy("word").count()
-    n = seen.agg(F.count("*").alias("n"))
-    idf = df.join(F.broadcast(n)).select("word", F.log((F.col("n") + 1) / F.col("count")).alias("idf"))
+    n = seen.count()
+    idf = df.select("word", F.log(F.lit(n + 1) / F.col("count")).alias("idf"))
     postings = spark.createDataFrame([(k, i, w) for k, ws in enumerate(split) for i, w in enumerate(ws)], "phrase int, off int, word string")
     info = spark.createDataFrame([(k, p.label, p.base, len(ws)) for k, (p, ws) in enumerate(zip(phrases, split))], "phrase int, label string, base boolean, size int")
     # as many rows as the templates have words
