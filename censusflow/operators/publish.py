@@ -9,7 +9,7 @@ Every rule returns a small DataFrame of problems: ``rule, column, offending``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import spec
@@ -130,6 +130,23 @@ def _arith_rows(agg: DataFrame) -> DataFrame:
             .filter(F.col("offending") > 0))
 
 
+def problem_examples(df: DataFrame, domains=None, columns=spec.DISPLAY_COLUMNS, key: str = "response_id") -> DataFrame:
+    """L2, L3: at most five examples for each blank or domain problem: rule, column, examples.
+
+    Keys of rows with a blank cell; distinct values outside a domain.  ``row_number`` keeps five per
+    problem, which Spark does before the shuffle as well.
+    """
+    domains = spec.DOMAINS if domains is None else domains
+    blank = [F.when(is_blank(col_of(c)), F.struct(F.lit("blank").alias("rule"), F.lit(c).alias("column"), col_of(key).cast("string").alias("value")))
+             for c in columns if c in df.columns]
+    outside = [F.when(~col_of(c).isin(*allowed), F.struct(F.lit("domain").alias("rule"), F.lit(c).alias("column"), col_of(c).cast("string").alias("value")))
+               for c, allowed in domains.items() if c in df.columns]
+    found = df.select(F.explode(F.filter(F.array(*blank, *outside), lambda x: x.isNotNull())).alias("p")).select("p.*").distinct()
+    first = Window.partitionBy("rule", "column").orderBy(F.length("value"), "value")
+    top = found.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= spec.MAX_EXAMPLES)
+    return top.groupBy("rule", "column").agg(F.array_sort(F.collect_list("value")).alias("examples"))
+
+
 def verify_load(published: DataFrame, expected: dict | None = None) -> DataFrame:
     """The six post-load checks as data, from ONE aggregation, stacked into rows."""
     e = dict(spec.SEED_EXPECTATIONS, **(expected or {}))

@@ -441,6 +441,8 @@ def quality_sql() -> dict[str, str]:
   count(*) FILTER (WHERE NOT passed AND severity = 'WARNING') AS warning,
   count(*) FILTER (WHERE NOT passed AND severity = 'INFO') AS info
 FROM rep""")
+    out["quality_gate"] = with_view(report + """SELECT name, severity, offending, 'strict' AS policy, 'BLOCK' AS decision
+FROM rep WHERE NOT passed AND severity IN ('CRITICAL', 'WARNING')""")
     return out
 
 
@@ -534,30 +536,59 @@ def _sq(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# What the fixture's lines are matched by, written out anew: (regular expression, title, cause, fix, severity).
+_LOG_ORACLE = (
+    ("refusing to drop an existing table", "table kept", "the target exists and replacing it was not allowed", "allow the replacement, or load into another table", "CRITICAL"),
+    ("pipeline . blocked", "run held back", "a precondition of the run was not met", "read the lines above this one and clear the precondition", "CRITICAL"),
+    ("pipeline . failed", "run broken off", "a stage ended with an error", "rerun that stage alone and read its error", "CRITICAL"),
+    ("critical quality failure", "gate closed", "a check of the highest severity failed", "mend the named rows and load again", "CRITICAL"),
+    ("warning +quality finding", "gate finding", "a check failed that does not stop a load", "look at the named rows when convenient", "WARNING"),
+    ("contains drop table", "script replaces a table", "the schema script starts by removing the table", "save the old rows, or take that statement out", "WARNING"),
+    ("pre-load validation problem", "file refused", "the file breaks a rule of the table", "correct the named column and load again", "CRITICAL"),
+    ("could not locate the stage 4 output", "input not there", "transformation has not written its result", "run the transformation first", "CRITICAL"),
+    ("psycopg2 is required", "driver not there", "the client library of the database is not installed", "install it, or write files only", "CRITICAL"),
+    ("connection refused|could not connect", "no connection", "the database is down, elsewhere, or turns this host away", "check host, port and access rules", "CRITICAL"),
+    ("insufficientprivilege|permission denied", "access refused", "the account may not do this", "grant the right, or take another account", "CRITICAL"),
+    ("relation .* does not exist", "object not there", "the table or view was not created or lies in another schema", "create it, or set the search path", "CRITICAL"),
+    ("division by zero", "empty denominator", "a ratio was taken over nothing", "filter such groups, or return null for them", "WARNING"),
+    ("dry run complete", "rehearsal only", "the run was asked not to write", "run it again without that option to load", "INFO"),
+)
+# Titles of the checks that fail on the defect fixture.
+_CHECK_ORACLE = {
+    "no_nulls": "required cell empty", "domain": "answer not on the list", "money_numeric": "amount is text", "non_negative": "amount below zero",
+    "integral": "amount with decimals", "total_expenses_reconciles": "total does not add up", "savings_consistency": "savings do not follow",
+    "budget_usage_range": "usage out of bounds", "exact_duplicate_rows": "row occurs again", "duplicate_name_and_timestamp": "one answer sent twice",
+    "repeated_student_name": "name occurs again", "outliers": "unusual amounts", "timestamp_parseable": "unknown time format",
+    "timestamp_not_future": "time after now", "timestamp_span_sane": "long period", "cross_field_consistency": "answers contradict", "populated": "optional cell empty",
+}
+
+
 def text_sql() -> dict[str, str]:
-    from .operators.text_jobs import CHECK_TITLES, LOG_PATTERNS, LOG_TEMPLATES
+    from .operators.text_jobs import LOG_TEMPLATES
     tmpl = ", ".join(f"({i}, {_sq(t)})" for i, t in enumerate(LOG_TEMPLATES))
-    cls = "CASE " + " ".join(f"WHEN regexp_matches(line, {_sq(p)}, 'i') THEN {i}"
-                              for i, (p, _, _) in enumerate(LOG_PATTERNS)) + " END"
-    title = "CASE pattern_id " + " ".join(f"WHEN {i} THEN {_sq(t)}" for i, (_, t, _) in enumerate(LOG_PATTERNS)) + " END"
-    sev = "CASE pattern_id " + " ".join(f"WHEN {i} THEN {_sq(s)}" for i, (_, _, s) in enumerate(LOG_PATTERNS)) + " END"
+    cls = "CASE " + " ".join(f"WHEN regexp_matches(line, {_sq(r[0])}, 'i') THEN {i}" for i, r in enumerate(_LOG_ORACLE)) + " END"
+    word = lambda k: "CASE pattern_id " + " ".join(f"WHEN {i} THEN {_sq(r[k])}" for i, r in enumerate(_LOG_ORACLE)) + " END"
+    found = f"""c AS (SELECT line_id, ts, trim(line) AS evidence, {cls} AS pattern_id FROM lg),
+r AS (SELECT *, row_number() OVER (PARTITION BY pattern_id ORDER BY ts, line_id) AS rn,
+        count(*) OVER (PARTITION BY pattern_id) AS n FROM c WHERE pattern_id IS NOT NULL)
+SELECT CAST(pattern_id AS BIGINT) AS pattern_id, {word(1)} AS title, {word(2)} AS cause, {word(3)} AS fix, {word(4)} AS severity,
+  CAST(n AS BIGINT) AS lines, ts AS first_ts, CAST(line_id AS BIGINT) AS first_line_id, evidence
+FROM r WHERE rn = 1 ORDER BY pattern_id"""
     q = {}
     q["x_log_triage"] = f"""WITH t(idx, tmpl) AS (VALUES {tmpl}),
 lg AS (SELECT event_id AS line_id, ts,
          '[' || event_type || '] user=' || CAST(user_id AS VARCHAR) || ' ' || tmpl AS line
        FROM events JOIN t ON event_id % {len(LOG_TEMPLATES)} = idx),
-c AS (SELECT line_id, ts, trim(line) AS evidence, {cls} AS pattern_id FROM lg),
-r AS (SELECT *, row_number() OVER (PARTITION BY pattern_id ORDER BY ts, line_id) AS rn,
-        count(*) OVER (PARTITION BY pattern_id) AS n FROM c WHERE pattern_id IS NOT NULL)
-SELECT CAST(pattern_id AS BIGINT) AS pattern_id, {title} AS title, {sev} AS severity, CAST(n AS BIGINT) AS lines,
-  ts AS first_ts, CAST(line_id AS BIGINT) AS first_line_id, evidence
-FROM r WHERE rn = 1 ORDER BY pattern_id"""
-    keys = sorted(CHECK_TITLES, key=len, reverse=True)
+{found}"""
+    q["x_log_triage_texts"] = f"""WITH lg AS (SELECT conv_id * 1000 + turn AS line_id,
+         TIMESTAMP '2024-01-01 00:00:00' + to_seconds(turn) AS ts, text AS line FROM conversations),
+{found}"""
+    keys = sorted(_CHECK_ORACLE, key=len, reverse=True)
     match = "CASE " + " ".join(f"WHEN starts_with(name, {_sq(k)}) THEN {_sq(k)}" for k in keys) + " END"
-    ttl = "CASE matched_key " + " ".join(f"WHEN {_sq(k)} THEN {_sq(v)}" for k, v in CHECK_TITLES.items()) + " END"
+    ttl = "CASE matched_key " + " ".join(f"WHEN {_sq(k)} THEN {_sq(v)}" for k, v in _CHECK_ORACLE.items()) + " END"
     rep = quality_sql()["quality_report"]
     q["x_explain_findings"] = rep.replace("SELECT * FROM rep", f"""SELECT name, severity, matched_key,
-  coalesce({ttl}, 'unrecognised check ''' || name || '''') AS title, offending
+  coalesce({ttl}, 'unrecognised check ' || chr(39) || name || chr(39)) AS title, offending
 FROM (SELECT *, {match} AS matched_key FROM rep WHERE NOT passed AND severity <> 'SKIPPED') p""")
     return q
 
@@ -573,12 +604,13 @@ def _re2(phrase: str) -> str:
 
 def question_sql() -> dict[str, str]:
     from .functions import vocabulary as V
-    qs = ", ".join(f"({i}, {_sq(q)})" for i, q in enumerate(V.QUESTIONS))
+    from .sources.questions import QUESTIONS
+    qs = ", ".join(f"({i}, {_sq(q)})" for i, q in enumerate(QUESTIONS))
     prot = ", ".join(_sq(w) for w in sorted(V.PROTECTED))
     stop = ", ".join(_sq(w) for w in sorted(V.STOPWORDS))
     base = f"""WITH tq(idx, question) AS (VALUES {qs}),
 ql AS (SELECT conv_id, turn, question FROM conversations JOIN tq
-       ON (conv_id * 7 + turn) % {len(V.QUESTIONS)} = idx WHERE role = 'user'),
+       ON (conv_id * 7 + turn) % {len(QUESTIONS)} = idx WHERE role = 'user'),
 n0 AS (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(replace(lower(coalesce(question, '')), '''', ' '),
          '[^a-z0-9/&+.\\s-]', ' ', 'g'), '\\s+', ' ', 'g')) AS t0 FROM ql),
 nt AS (SELECT conv_id, turn, array_to_string(list_filter(string_split(t0, ' '), lambda x: x <> '' AND
@@ -610,4 +642,8 @@ nt AS (SELECT conv_id, turn, array_to_string(list_filter(string_split(t0, ' '),
 FROM (SELECT *, {meas} AS m FROM nt) x"""
     q["n_flags"] = base + f"""SELECT conv_id, turn, {rank} AS ranking, CAST({lim} AS BIGINT) AS explicit_limit,
   {detail} AS detail, {comp} AS comparison FROM nt"""
+    # the same readings of the table's own texts
+    real = "WITH ql AS (SELECT conv_id, turn, text AS question FROM conversations WHERE role = 'user'),\n" + base[base.index("n0 AS"):]
+    for key in ("n_normalise", "n_measure", "n_aggregation", "n_flags"):
+        q[key + "_texts"] = q[key].replace(base, real)
     return q

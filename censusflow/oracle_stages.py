@@ -284,10 +284,17 @@ def stage_sql() -> dict[str, str]:
         f"SELECT '{m}' AS measure, count({e}) AS n, "
         + (f"CAST(sum(usage10) AS DOUBLE) / 10.0" if m == "budget_usage_pct" else f"CAST(sum({e}) AS DOUBLE)")
         + f" AS total, CAST(min({e}) AS DOUBLE) AS min_value, CAST(max({e}) AS DOUBLE) AS max_value, "
-        f"count(DISTINCT {e}) AS distinct_values FROM raw_rows" for m, e in meas))
+        f"count(DISTINCT {e}) AS distinct_values, "
+        + ("round(CAST(sum(usage10) AS DOUBLE) / 10.0 / count(usage10), 4)" if m == "budget_usage_pct" else f"round(CAST(sum({e}) AS DOUBLE) / count({e}), 4)")
+        + f" AS mean_value, round(stddev_samp(CAST({e} AS DOUBLE)), 4) AS std_value, quantile_cont(CAST({e} AS DOUBLE), 0.25) AS q1, "
+        f"quantile_cont(CAST({e} AS DOUBLE), 0.5) AS median, quantile_cont(CAST({e} AS DOUBLE), 0.75) AS q3 FROM raw_rows" for m, e in meas))
     q["value_counts"] = _w('SELECT "Degree" AS value, count(*) AS n FROM raw_rows GROUP BY 1')
     q["publish_projection"] = _w(published())
     q["publish_table"] = _w(published())
+    q["load_accepted"] = "SELECT * FROM (" + _w(published()) + ") WHERE student_id % 37 <> 0 AND student_id % 41 <> 0 AND student_id % 43 <> 0"
+    q["load_rejected"] = "SELECT student_id AS response_id, 'money:' || array_to_string(list_filter([CASE WHEN student_id % 37 = 0 THEN 'food' END, " \
+        "CASE WHEN student_id % 41 = 0 THEN 'transport' END, CASE WHEN student_id % 43 = 0 THEN 'allowance' END], lambda x: x IS NOT NULL), ',') AS reasons FROM (" + _w(published()) + ") " \
+        "WHERE student_id % 37 = 0 OR student_id % 41 = 0 OR student_id % 43 = 0"
     q["append_by_name"] = _w(published())
     q["publish_frame_missing_cols"] = _w(published(blank=("background", "study_focus")))
     return q
@@ -356,12 +363,16 @@ def loader_sql() -> dict[str, str]:
                                  "count(*) FILTER (WHERE usage < 0 OR usage > 10000)"))
     q["preload_name"] = w(_prob("'name_blank'", "Student Name", blank("nm")))
     parts_sum = "(food + transport + academic + other)"
-    src = "(SELECT * FROM dd WHERE allowance IS NOT NULL) x"
-    q["preload_arithmetic"] = w(
-        _prob("'derived_mismatch'", "Total Expenses",
-              f"count(*) FILTER (WHERE abs(total - {parts_sum}) > 0.005)", src) + " UNION ALL " +
-        _prob("'derived_mismatch'", "Savings",
-              f"count(*) FILTER (WHERE abs(savings - (allowance - {parts_sum})) > 0.005)", src))
+    # one unreadable allowance anywhere: the rule says nothing about the whole frame
+    seen = "(SELECT *, count(*) FILTER (WHERE allowance IS NULL) OVER () AS unread FROM dd) x"
+    fixed = "(SELECT * REPLACE (coalesce(allowance, 0) AS allowance) FROM dd) x"
+
+    def arithmetic(src, only):
+        return w(_prob("'derived_mismatch'", "Total Expenses", f"count(*) FILTER (WHERE {only} AND abs(total - {parts_sum}) > 0.005)", src) + " UNION ALL " +
+                 _prob("'derived_mismatch'", "Savings", f"count(*) FILTER (WHERE {only} AND abs(savings - (allowance - {parts_sum})) > 0.005)", src))
+
+    q["preload_arithmetic"] = arithmetic(seen, "unread = 0")
+    q["preload_arithmetic_repaired"] = arithmetic(fixed, "true")
     q["verify_load"] = with_view(""", a AS (SELECT count(*) AS n, min(usage10) / 10.0 AS u0, max(usage10) / 10.0 AS u1,
     CAST(min(savings) AS DOUBLE) AS s0, CAST(max(savings) AS DOUBLE) AS s1,
     CAST(min(total_expenses) AS DOUBLE) AS t0, CAST(max(total_expenses) AS DOUBLE) AS t1,

@@ -85,12 +85,13 @@ VIEW_MONEY = ("food_expenses", "transport_expenses", "academic_expenses", "other
 def analysis_view(published: DataFrame) -> DataFrame:
     """V1-V3: pass-through columns, year ordinal, overspend and UPI flags.
 
-    Money is exposed as whole-rupee ``long`` (the gate guarantees integral
-    amounts) and ``budget_usage_pct`` as ``double``, so every report computes
-    in exact integer arithmetic.
+    Money is exposed as whole-rupee ``long`` and ``budget_usage_pct`` as ``double``, so
+    every report computes in exact integer arithmetic.  Amounts come from bucket
+    midpoints and are whole; one that is not raises instead of losing its decimals.
     """
     p = published
-    money = {c: F.col(c).cast("long") for c in VIEW_MONEY}
+    money = {c: F.when(F.col(c).isNull() | (F.col(c) == F.floor(F.col(c))), F.col(c).cast("long"))
+             .otherwise(F.raise_error(F.concat(F.lit(f"{c} is not a whole amount: "), F.col(c).cast("string"))).cast("long")) for c in VIEW_MONEY}
     cols = {
         "student_id": F.col("student_id").cast("long"),
         "submitted_at": F.col("submitted_at"),

@@ -49,31 +49,35 @@ DQ_KEYS = {
     "dq_censored": "censored", "dq_timestamps": "timestamps", "dq_cross_field": "cross_field",
     "dq_domains": "domains", "dq_cardinality": "cardinality",
 }
-DQ_DUPLICATES = {"dq_exact_dupes": "exact_duplicate_rows",
-                 "dq_name_ts_dupes": "duplicate_name_and_timestamp",
-                 "dq_repeated_names": "repeated_student_name"}
+DQ_KEYS.update({"dq_exact_dupes": "exact_duplicates", "dq_name_ts_dupes": "name_timestamp_duplicates",
+                "dq_repeated_names": "repeated_names"})
 
+# The fixture's moment of checking: its timestamps are fixed, and so must be what counts as the future.
+AS_OF = "2026-01-01 00:00:00"
 
-def _dq(group: str, name: str | None = None) -> Query:
+
+def _dq(group: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        r = quality.run_quality_checks(defect_frame(spark, sf_dir), checks=[group], examples=False)
-        if name is not None:
-            r = r.filter(F.col("name") == name)
-        return r.select(*quality.COMPARED_COLUMNS)
+        return quality.run_quality_checks(defect_frame(spark, sf_dir), as_of=AS_OF, checks=[group], examples=False) \
+            .select(*quality.COMPARED_COLUMNS)
     return run
 
 
+def quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All check results, written once; report, summary, gate, JSON and explanations read them."""
+    return materialize(lambda: quality.run_quality_checks(defect_frame(spark, sf_dir), as_of=AS_OF), "quality_results", sf_dir, spark=spark)
+
+
 def _quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.run_quality_checks(defect_frame(spark, sf_dir), examples=False) \
-        .select(*quality.COMPARED_COLUMNS)
+    return quality_results(spark, sf_dir).select(*quality.COMPARED_COLUMNS)
 
 
 def _quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_summary(quality.run_quality_checks(defect_frame(spark, sf_dir), examples=False))
+    return quality.quality_summary(quality_results(spark, sf_dir))
 
 
 def _quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_gate(quality.run_quality_checks(defect_frame(spark, sf_dir)), policy="strict")
+    return quality.quality_gate(quality_results(spark, sf_dir), policy="strict").drop("seq")
 
 
 def registered_queries() -> dict[str, Query]:
@@ -82,8 +86,6 @@ def registered_queries() -> dict[str, Query]:
         q[name] = _report(fn)
     for key, group in DQ_KEYS.items():
         q[key] = _dq(group)
-    for key, name in DQ_DUPLICATES.items():
-        q[key] = _dq("duplicates", name)
     for key, fn in METRICS.items():
         q[key] = _report(fn)
     q.update(_stages())
@@ -198,13 +200,25 @@ def _stages() -> dict[str, Query]:
     def loader(spark, d):
         return L.loader_frame(defect_frame(spark, d))
 
+    def load_rows(spark, d):
+        """A survey with unreadable labels, split into rows to publish and rejects."""
+        from .plans.load import split_rows
+
+        def part(i):
+            return materialize(lambda: split_rows(B.money_defects(s3(spark, d)))[i], f"load_part_{i}", d, spark=spark)
+        return part
+
     def arithmetic(spark, d):
-        df = loader(spark, d)
-        return L.preload_arithmetic(df.filter(F.col("Allowance").rlike(r"^\s*-?\d+(\.\d+)?\s*$")))
+        return L.preload_arithmetic(loader(spark, d))
+
+    def arithmetic_repaired(spark, d):
+        # every row, with 0 where the allowance cannot be read
+        readable = F.col("Allowance").rlike(r"^\s*-?\d+(\.\d+)?\s*$")
+        return L.preload_arithmetic(loader(spark, d).withColumn("Allowance", F.when(readable, F.col("Allowance")).otherwise("0")))
 
     def report_json(spark, d):
-        res = quality.run_quality_checks(defect_frame(spark, d))
-        path = io.write_json(res, artifact_path(spark, "quality_report_json"))
+        report = io.report_envelope(quality_results(spark, d), defect_frame(spark, d).agg(F.count(F.lit(1)).alias("n")), "strict")
+        path = io.write_json(report, artifact_path(spark, "quality_report_json"))
         return spark.read.json(path)
 
     return {
@@ -245,6 +259,9 @@ def _stages() -> dict[str, Query]:
         "preload_usage": lambda sp, d: L.preload_usage(loader(sp, d)),
         "preload_name": lambda sp, d: L.preload_name(loader(sp, d)),
         "preload_arithmetic": arithmetic,
+        "preload_arithmetic_repaired": arithmetic_repaired,
+        "load_accepted": lambda sp, d: publish_projection(load_rows(sp, d)(0)),
+        "load_rejected": lambda sp, d: load_rows(sp, d)(1),
         "verify_load": lambda sp, d: L.verify_load(pipeline.published(sp, d)),
         "constraint_violations": lambda sp, d: L.constraint_violations(defect_frame(sp, d)),
     }
@@ -254,32 +271,39 @@ def _text_jobs() -> dict[str, Query]:
     from .operators import text_jobs as X
     from .sources import binding as B
 
-    from .functions import vocabulary as VOC
     from .operators import intents as N
+    from .sources.questions import QUESTIONS
 
     def qlog(sp, d):
-        return B.question_log(sp, d, list(VOC.QUESTIONS))
+        return B.question_log(sp, d, list(QUESTIONS))
+
+    def user_texts(sp, d):
+        return B.read_table(sp, d, "conversations", "conv_id", "turn", "role", "text").filter("role = 'user'") \
+            .select("conv_id", "turn", F.col("text").alias("question"))
+
+    def on_texts(fn):
+        return lambda sp, d: fn(sp, d, user_texts)
 
     def parsed(sp, d):
         # The intent table is written once and read back by every consumer: it keeps
         # the large parse expression in one planned stage and cuts the lineage.
         return materialize(lambda: N.parse_questions(qlog(sp, d)), "question_intents", d, spark=sp)
 
-    def texts(sp, d):
-        return qlog(sp, d).select("conv_id", "turn", N.question_text(F.col("question")).alias("text"))
+    def texts(sp, d, log=qlog):
+        return log(sp, d).select("conv_id", "turn", N.question_text(F.col("question")).alias("text"))
 
-    def n_measure(sp, d):
-        return texts(sp, d).select("conv_id", "turn", N.measure(F.col("text")).alias("measure"))
+    def n_measure(sp, d, log=qlog):
+        return texts(sp, d, log).select("conv_id", "turn", N.measure(F.col("text")).alias("measure"))
 
-    def n_aggregation(sp, d):
-        t = texts(sp, d).withColumn("m", N.measure(F.col("text")))
+    def n_aggregation(sp, d, log=qlog):
+        t = texts(sp, d, log).withColumn("m", N.measure(F.col("text")))
         agg = F.coalesce(N.explicit_aggregation(F.col("text")), N.default_aggregation(F.col("m")),
                          F.when(N.is_detail(F.col("text")), F.lit("")))
         return t.select("conv_id", "turn", agg.alias("aggregation"))
 
-    def n_flags(sp, d):
+    def n_flags(sp, d, log=qlog):
         t = F.col("text")
-        return texts(sp, d).select("conv_id", "turn", N.ranking(t).alias("ranking"),
+        return texts(sp, d, log).select("conv_id", "turn", N.ranking(t).alias("ranking"),
                                    N.explicit_limit(t).cast("long").alias("explicit_limit"),
                                    N.is_detail(t).alias("detail"), N.is_comparison(t).alias("comparison"))
 
@@ -305,13 +329,17 @@ def _text_jobs() -> dict[str, Query]:
         "n_dimensions": n_dimensions,
         "n_intents": lambda sp, d: N.intents_flat(parsed(sp, d)),
         "n_carry_over": lambda sp, d: N.carry_over(parsed(sp, d)),
+        "n_normalise_texts": on_texts(texts), "n_measure_texts": on_texts(n_measure),
+        "n_aggregation_texts": on_texts(n_aggregation), "n_flags_texts": on_texts(n_flags),
+        "x_log_triage_texts": lambda sp, d: X.log_triage(B.read_table(sp, d, "conversations", "conv_id", "turn", "text").select(
+            (F.col("conv_id") * 1000 + F.col("turn")).alias("line_id"),
+            (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("turn"))).alias("ts"), F.col("text").alias("line"))),
         "x_log_triage": lambda sp, d: X.log_triage(B.pipeline_log(sp, d, list(X.LOG_TEMPLATES))),
-        "x_explain_findings": lambda sp, d: X.explain_findings(quality.run_quality_checks(defect_frame(sp, d),
-                                                                                          examples=False)),
+        "x_explain_findings": lambda sp, d: X.explain_findings(quality_results(sp, d)).drop("cause", "fix", "evidence"),
     }
 
 
-ROWS_ONLY = {"dq_columns", "quality_gate", "quality_report_json",
+ROWS_ONLY = {"dq_columns", "quality_report_json",
              "n_filters", "n_dimensions", "n_intents", "n_carry_over"}
 
 

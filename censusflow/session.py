@@ -37,19 +37,21 @@ _LOCAL_DIRS: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared, fault-tolerant folder and is used
-    as is.  Only when it is unset (tests, local runs) a scratch folder is created
-    once per application and registered with ``setCheckpointDir`` (the setting
-    itself cannot be changed at runtime).
+    Where it is unset, a ``local`` master gets a scratch folder, once per application
+    (tests, local runs).  Any other master raises: executors of a cluster do not share
+    a machine-local folder.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        path = _LOCAL_DIRS.get(sc.applicationId)
-        if path is None:
-            path = tempfile.mkdtemp(prefix="censusflow-ckpt-")
-            _LOCAL_DIRS[sc.applicationId] = path
-            sc.setCheckpointDir(path)
+    if path:
+        return path
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = _LOCAL_DIRS.get(sc.applicationId)
+    if path is None:
+        path = tempfile.mkdtemp(prefix="censusflow-ckpt-")
+        _LOCAL_DIRS[sc.applicationId] = path
+        sc.setCheckpointDir(path)
     return path

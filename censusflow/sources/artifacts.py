@@ -25,14 +25,30 @@ def artifact_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     return os.path.join(base, "artifacts", name + suffix)
 
 
+def input_identity(spark: SparkSession, folder: str) -> str:
+    """Digest of the paths, sizes and modification times of the files below ``folder`` (listed by Spark's file system)."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return folder
+    files, seen = fs.listFiles(root, True), []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 def materialize(df, name: str, key: str = "", spark: SparkSession | None = None) -> DataFrame:
     """Write a frame as Parquet once per (name, key) in this application and read it back.
 
+    This is an eager step: the write job runs here.  ``key`` is the source folder; the
+    identity of its files is part of the cache key, so changed tables are read anew.
     ``df`` may be a DataFrame or a zero-argument builder (then ``spark`` is required),
     so an already written artifact costs no planning at all.
     """
     spark = spark if spark is not None else df.sparkSession
-    tag = (spark.sparkContext.applicationId, name + "|" + key)
+    tag = (spark.sparkContext.applicationId, name + "|" + key + "|" + (input_identity(spark, key) if key else ""))
     path = _WRITTEN.get(tag)
     if path is None:
         df = df() if callable(df) else df
@@ -41,8 +57,3 @@ def materialize(df, name: str, key: str = "", spark: SparkSession | None = None)
         df.write.mode("overwrite").parquet(path)
         _WRITTEN[tag] = path
     return spark.read.parquet(path)
-
-
-def written_path(spark: SparkSession, name: str, key: str = "") -> str | None:
-    """Location of an artifact written by ``materialize`` in this application, if any."""
-    return _WRITTEN.get((spark.sparkContext.applicationId, name + "|" + key))

