@@ -109,30 +109,33 @@ def strip_currency(c: Column, dtype: str = "string") -> Column:
     """Cleaned label text; a non-text column yields ``''`` as in the reference rule."""
     if dtype != "string":
         return F.lit("")
+    # Plain ASCII (bytes = characters) needs no folding, and of its artefacts only the point of "Rs."
+    # would survive the last pass.
+    plain = F.trim(F.regexp_replace(F.replace(c, F.lit("Rs."), F.lit(" ")), r"[^0-9<>.,\-]+", " "))
     t = _drop_artefacts(c)
     t = fold_compat(t)  # also maps dashes to '-'
     t = _drop_artefacts(t)
     # "replace every disallowed character by a space, squeeze whitespace, trim" in one
     # pass: afterwards the only whitespace left is single U+0020, which ``trim`` removes.
     t = F.regexp_replace(t, _DROP_RUN, " ")
-    return F.coalesce(F.trim(t), F.lit(""))
+    return F.coalesce(F.when(F.octet_length(c) == F.length(c), plain).otherwise(F.trim(t)), F.lit(""))
 
 
 def _num(token: Column) -> Column:
     return F.replace(token, F.lit(","), F.lit("")).try_cast("double")
 
 
-def label_groups(clean: Column) -> Column:
-    """The four capture groups of a cleaned label as a struct ('' when absent or no match)."""
-    return F.struct(*[F.regexp_extract(clean, _LABEL_RE, i).alias(f"g{i}") for i in (1, 2, 3, 4)])
+def label_parts(clean: Column) -> Column:
+    """The label's four possible numbers (after ``<``, after ``>``, from, to) from one match; one entry if none matches."""
+    return F.split(F.regexp_replace(clean, _LABEL_RE, "$1|$2|$3|$4"), "[|]", -1)
 
 
-def midpoint_from_groups(g: Column) -> Column:
+def midpoint_from_parts(p: Column) -> Column:
     """``< x`` -> 0.5x, ``> x`` -> 1.25x, ``a - b`` -> (a + b) / 2; NULL when nothing matched."""
-    g1, g2, g3, g4 = (g[f"g{i}"] for i in (1, 2, 3, 4))
-    return (F.when(g1 != "", _num(g1) * F.lit(spec.OPEN_LOW_MULTIPLIER))
-            .when(g2 != "", _num(g2) * F.lit(spec.OPEN_HIGH_MULTIPLIER))
-            .when((g3 != "") & (g4 != ""), (_num(g3) + _num(g4)) / F.lit(2.0)))
+    g1, g2, g3, g4 = (F.get(p, F.lit(i)) for i in range(4))
+    return F.when(F.size(p) == 4, F.when(g1 != "", _num(g1) * F.lit(spec.OPEN_LOW_MULTIPLIER))
+                  .when(g2 != "", _num(g2) * F.lit(spec.OPEN_HIGH_MULTIPLIER))
+                  .when((g3 != "") & (g4 != ""), (_num(g3) + _num(g4)) / F.lit(2.0)))
 
 
 def parse_midpoint(c: Column, dtype: str = "string") -> Column:
@@ -143,11 +146,11 @@ def parse_midpoint(c: Column, dtype: str = "string") -> Column:
     """
     if dtype != "string":
         return c.cast("double")
-    return F.when(c.isNotNull(), midpoint_from_groups(label_groups(strip_currency(c))))
+    return F.when(c.isNotNull(), midpoint_from_parts(label_parts(strip_currency(c))))
 
 
 def with_midpoints(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Add ``out -> midpoint(in)`` columns in three projections: clean, extract, compute.
+    """Add ``out -> midpoint(in)`` columns in three projections: clean, split, compute.
 
     Each projection step is materialised once per row (Spark does not inline an
     expensive expression that a later step references more than once), so the
@@ -158,9 +161,8 @@ def with_midpoints(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     nums = {o: i for o, i in columns.items() if types[i] != "string"}
     step = df.withColumns({f"__clean_{o}": F.when(F.col(f"`{i}`").isNotNull(), strip_currency(F.col(f"`{i}`")))
                            for o, i in text.items()})
-    step = step.withColumns({f"__groups_{o}": label_groups(F.col(f"__clean_{o}")) for o in text})
-    out = {o: F.when(F.col(f"__clean_{o}").isNotNull(), midpoint_from_groups(F.col(f"__groups_{o}")))
-           for o in text}
+    step = step.withColumns({f"__parts_{o}": label_parts(F.col(f"__clean_{o}")) for o in text})
+    out = {o: F.when(F.col(f"__clean_{o}").isNotNull(), midpoint_from_parts(F.col(f"__parts_{o}"))) for o in text}
     out.update({o: F.col(f"`{i}`").cast("double") for o, i in nums.items()})
     step = step.withColumns(out)
-    return step.drop(*[f"__clean_{o}" for o in text], *[f"__groups_{o}" for o in text])
+    return step.drop(*[f"__clean_{o}" for o in text], *[f"__parts_{o}" for o in text])
