@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .graph import components
-from .util import binary_array, bloom_has, bloom_words, discard, list_array, materialize, row_slices, string_buffer
+from .util import binary_array, bloom_has, bloom_words, discard, list_array, materialize, materialize_narrow, row_slices, string_buffer
 
 TILE, LEAF = 384, 16
 _GROUP_BITS = np.uint64(16)
@@ -197,19 +197,19 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int
 
     seen = materialize(docs.mapInArrow(_over_sets(shingle, first), "doc_id long, n_shingles long, sig long, keys array<long>"), "sets")
     held = seen.filter("n_shingles > 0 and doc_id is not null")
-    classes = materialize(held.groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = materialize_narrow(held.groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
 
     # keys to clusters: every member of a key's bucket is tied to its smallest
     rows = held.select("sig", F.explode("keys").alias("key"))
     pivot = F.min("sig").over(Window.partitionBy("key").orderBy("sig").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ties = rows.select("sig", pivot.alias("a")).filter("a <> sig").select("a", F.col("sig").alias("b")).distinct()
-    clusters = materialize(components(ties, "clusters").withColumnRenamed("node", "sig"), "clusters")
+    clusters = materialize_narrow(components(ties, "clusters").withColumnRenamed("node", "sig"), "clusters")
 
     # tiles of clusters
     sizes = clusters.groupBy("comp").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
-    members = (clusters.join(materialize(sizes, "cluster-sizes"), "comp").join(classes, "sig")
+    members = (clusters.join(materialize_narrow(sizes, "cluster-sizes"), "comp").join(classes, "sig")
                .withColumn("block", F.pmod(F.xxhash64(F.lit(5), "sig"), F.col("blocks")).cast("int")))
-    members = materialize(members, "members")
+    members = materialize_narrow(members, "members")
     wanted = docs.sparkSession.sparkContext.broadcast(bloom_words(members, "sig"))
 
     def again(batch, g, counts, seen):
@@ -231,11 +231,11 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int
         a, b = (np.array(x, np.int64) for x in zip(*links)) if links else (np.empty(0, np.int64), np.empty(0, np.int64))
         return pa.table({"a": sig[a], "b": sig[b]})
 
-    links = materialize(placed.groupBy("comp", "i", "j").applyInArrow(tile, "a long, b long"), "links")
+    links = materialize_narrow(placed.groupBy("comp", "i", "j").applyInArrow(tile, "a long, b long"), "links")
     groups = components(links, "groups").withColumnRenamed("node", "sig").join(classes, "sig")
-    low = materialize(groups.groupBy("comp").agg(F.min("rep").alias("low")), "group-ids")
-    linked = materialize(groups.join(low, "comp").select("sig", "low"), "groups")
-    of = materialize(classes.join(linked, "sig", "left").select("sig", F.coalesce("low", "rep").alias("component_id")), "class-ids")
+    low = materialize_narrow(groups.groupBy("comp").agg(F.min("rep").alias("low")), "group-ids")
+    linked = materialize_narrow(groups.join(low, "comp").select("sig", "low"), "groups")
+    of = materialize_narrow(classes.join(linked, "sig", "left").select("sig", F.coalesce("low", "rep").alias("component_id")), "class-ids")
     for old in (members, links, clusters):
         discard(old)
     whole = held.select("doc_id", "n_shingles", "sig").join(of, "sig").select("doc_id", "n_shingles", "component_id")

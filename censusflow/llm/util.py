@@ -32,6 +32,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_narrow(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` for rows of a few numbers: one file per core is enough. Coalescing never adds tasks."""
+    return materialize(df.coalesce(df.sparkSession.sparkContext.defaultParallelism), name)
+
+
 _FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
