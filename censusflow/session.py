@@ -36,6 +36,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 _LOCAL_DIRS: dict[str, str] = {}
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Needed where the driver found it by its own search path only; on a cluster it is installed or sent
+    along (``--py-files``), and a folder that isn't there does no harm.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -43,6 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (tests, local runs).  Any other master raises: executors of a cluster do not share
     a machine-local folder.
     """
+    share_package(spark)
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if path:
