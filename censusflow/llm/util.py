@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censusflow.session import ensure_checkpoint_dir
+from censusflow.session import ensure_checkpoint_dir, share_package
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -60,6 +60,7 @@ def discard(df: DataFrame) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
