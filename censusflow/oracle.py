@@ -310,10 +310,11 @@ d1 AS (
     accommodation, background, work_internship, specialization,
     (CASE WHEN k % 97 = 0 THEN -food ELSE food END) + (CASE WHEN k % 113 = 0 THEN 0.5 ELSE 0 END) AS food,
     transport, academic, other,
-    CASE WHEN k % 107 = 0 THEN total + 10 ELSE total END AS total,
+    CASE WHEN k % 149 = 0 THEN NULL WHEN k % 107 = 0 THEN total + 10 ELSE total END AS total,
     CASE WHEN k % 109 = 0 THEN NULL ELSE allowance END AS allowance,
     CASE WHEN k % 103 = 0 THEN savings + 1 ELSE savings END AS savings,
-    usage, preferred_payment, upi_app, track_digitally, budget_plan, study_focus
+    CASE WHEN k % 139 = 0 THEN 20000.0 ELSE usage END AS usage, preferred_payment, upi_app, track_digitally, budget_plan,
+    CASE WHEN k % 151 = 0 THEN '' ELSE study_focus END AS study_focus
   FROM d0),
 dd AS (SELECT * FROM d1 UNION ALL SELECT * FROM d1 WHERE k % 101 = 0),
 tsp AS (SELECT *, try_strptime(ts, '%Y-%m-%d %H:%M:%S') AS tsv FROM dd)
@@ -362,11 +363,11 @@ def quality_sql() -> dict[str, str]:
     g["dq_no_nulls"] = [
         _res(f"no_nulls::{h}", "validity", "'CRITICAL'", f"count(*) FILTER (WHERE {_blank(c)}) = 0",
              f"count(*) FILTER (WHERE {_blank(c)})")
-        for h, c in list(_DQ_TEXT.items()) + list(_DQ_MONEY.items())]
+        for h, c in list(_DQ_TEXT.items()) + [(h, "(CASE WHEN k % 149 = 0 THEN 0 ELSE total END)" if c == "total" else c) for h, c in _DQ_MONEY.items()]]
     g["dq_populated"] = [
         _res(f"populated::{h}", "validity", "'WARNING'", f"count(*) FILTER (WHERE {_blank(c)}) = 0",
              f"count(*) FILTER (WHERE {_blank(c)})") for h, c in _DQ_OPTIONAL.items()]
-    g["dq_money_numeric"] = [_res("money_numeric", "numeric", "'CRITICAL'", "true", "0", "(SELECT 1) t")]
+    g["dq_money_numeric"] = [_res("money_numeric", "numeric", "'CRITICAL'", "count(*) FILTER (WHERE k % 149 = 0) = 0", "count(*) FILTER (WHERE k % 149 = 0)")]
     g["dq_non_negative"] = [
         _res(f"non_negative::{h}", "numeric", "'CRITICAL'", f"count(*) FILTER (WHERE {c} < 0) = 0",
              f"count(*) FILTER (WHERE {c} < 0)") for h, c in _DQ_MONEY.items()]
@@ -431,6 +432,15 @@ def quality_sql() -> dict[str, str]:
     g["dq_domains"] = doms
     g["dq_cardinality"] = [_res("specialization_cardinality", "anomaly", "'INFO'", "true", "0", "(SELECT 1) t")]
     out = {k: with_view(DEFECTS_CTE + "\n" + "\nUNION ALL\n".join(v)) for k, v in g.items()}
+    # what these two report is in their message
+    cells = " + ".join(f"count(*) FILTER (WHERE {c} = 6250)" for c in ("food", "transport", "academic", "other"))
+    out["dq_censored"] = with_view(DEFECTS_CTE + f"""
+SELECT 'censored_values' AS name, 'anomaly' AS category, 'INFO' AS severity, true AS passed, CAST(0 AS BIGINT) AS offending,
+  printf('expense cells in the open top bucket: %d of %d (%.1f%%), in %d rows', {cells}, 4 * count(*), ({cells}) * 100.0 / (4 * count(*)),
+         count(*) FILTER (WHERE food = 6250 OR transport = 6250 OR academic = 6250 OR other = 6250)) AS message FROM dd""")
+    out["dq_cardinality"] = with_view(DEFECTS_CTE + """
+SELECT 'specialization_cardinality' AS name, 'anomaly' AS category, 'INFO' AS severity, true AS passed, CAST(0 AS BIGINT) AS offending,
+  printf('different courses: %d in %d rows (%.0f%%)', count(DISTINCT specialization), count(*), count(DISTINCT specialization) * 100.0 / count(*)) AS message FROM dd""")
     every = [x for k, v in g.items() for x in v]
     report = DEFECTS_CTE + ", rep AS (\n" + "\nUNION ALL\n".join(every) + "\n)\n"
     out["quality_report"] = with_view(report + "SELECT * FROM rep")

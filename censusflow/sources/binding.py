@@ -254,6 +254,9 @@ def survey_defects(stage4_display: DataFrame) -> DataFrame:
     df = patch(df, k % 113 == 0, "Food", (F.col("Food").cast("double") + 0.5).cast("string"))
     df = patch(df, k % 127 == 0, "Timestamp", F.lit("not a date"))
     df = patch(df, k % 131 == 0, "Timestamp", F.regexp_replace(F.col("Timestamp"), r"^\d{4}", "2999"))
+    df = patch(df, k % 139 == 0, "Budget Usage %", F.lit("20000"))
+    df = patch(df, k % 149 == 0, "Total Expenses", F.lit("abc"))
+    df = patch(df, k % 151 == 0, "Study Focus", F.lit(""))
     twice = df.filter(k % 101 == 0)
     return df.unionByName(twice)
 
