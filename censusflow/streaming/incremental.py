@@ -20,8 +20,9 @@ def publish_stream(raw_stream: DataFrame, table_path: str, policy: str = "report
 
     ``raw_stream`` is a streaming DataFrame of raw exports (``readStream`` with an
     explicit schema).  A micro-batch that fails the gate raises, so the query
-    stops before anything of that batch is written; batches already appended
-    stay.  Whole-table checks (duplicates, outlier fences, domains) see one
+    stops before anything of that batch is written; batches already written
+    stay.  Each batch has a folder ``epoch=<id>`` of its own and overwrites it, so a
+    batch that is replayed after a failure is there once.  Whole-table checks (duplicates, outlier fences, domains) see one
     micro-batch at a time.  Progress is kept in ``checkpoint`` (default: a folder
     under ``spark.checkpoint.dir``), so a restarted query resumes where it stopped.
     """
@@ -33,7 +34,7 @@ def publish_stream(raw_stream: DataFrame, table_path: str, policy: str = "report
         batch = batch.persist()
         try:
             enforce_gate(run_quality_checks(batch, examples=False), policy)
-            publish_projection(batch).write.mode("append").parquet(table_path)
+            publish_projection(batch).write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/epoch={epoch_id}")
         finally:
             batch.unpersist()
 
