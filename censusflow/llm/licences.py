@@ -48,7 +48,7 @@ PHRASES: tuple[Phrase, ...] = (
     Phrase("epl", "eclipse public license"),
     Phrase("isc", "permission to use copy modify and or distribute this software for any purpose"),
     Phrase("unlicense", "this is free and unencumbered software released into the public domain"),
-    Phrase("proprietary", "all rights reserved"),
+    Phrase("all-rights-reserved", "all rights reserved"),
 )
 
 

@@ -11,8 +11,11 @@ The join is an R-tree over these points, cut so that Spark can deal it out:
 * Inner level: the coordinates of a band are cut into ``T + 1 + E`` slices. Points within distance T agree on
   all counts of ``E + 1`` slices or more, so a slice's counts are a key, and every linked pair shares a key of
   a slice that is not empty, unless both have more than E empty slices (then those are keys, too).
-* Documents connected by shared keys form a cluster: a superset of linked documents. Its members are dealt to
-  tiles of at most ``2 * TILE`` (a large cluster is cut into blocks; each two blocks meet in a tile).
+* Under a key of at most ``FEW`` sets every pair is weighed by the summed minima of its points, folded to few
+  coordinates, and most chance meetings end here. Under a key of more, every set is tied to the smallest one.
+* Sets connected by these ties form a cluster: a superset of linked sets. In a cluster of more than ``TILE``
+  sets all folded points are compared first, in tiles, and it falls apart along the pairs that may link.
+  Members are dealt to tiles of at most ``2 * TILE`` (each two blocks of a large cluster meet in one).
 * Leaves: in a tile an R-tree is packed over the full count vectors; node and point bounds by summed minima
   prune, and the sets of surviving pairs are intersected. Pairs that links already connect are not tested.
 
@@ -30,9 +33,9 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .graph import components
-from .util import binary_array, bloom_has, bloom_words, discard, list_array, materialize, materialize_narrow, row_slices, string_buffer
+from .util import binary_array, bloom_has, bloom_words, discard, list_array, materialize_narrow, row_slices, string_buffer
 
-TILE, LEAF = 384, 16
+TILE, LEAF, FEW, POINT_TILE = 384, 16, 16, 1024
 _GROUP_BITS = np.uint64(16)
 
 
@@ -113,6 +116,64 @@ def slice_keys(g: np.ndarray, counts: np.ndarray, num: int, den: int) -> tuple[n
     return keys[order].view(np.int64), np.bincount(rows, minlength=n)
 
 
+def folded_points(g: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each set's group counts in 64, 256 or 1024 coordinates (by its size) of a byte, and their number by row.
+
+    Where a count is over 255, the row's counts are rounded up to units of a power of two, whose exponent is
+    the last byte: sums of minima then only get larger, and stay a bound.
+    """
+    n = len(counts)
+    dims = np.where(counts <= 1000, 64, np.where(counts <= 5000, 256, 1024))
+    first = np.cumsum(dims) - dims
+    row = np.repeat(np.arange(n), counts)
+    slot = first[row] + ((g >> np.uint64(20)) & (dims[row] - 1).astype(np.uint64)).astype(np.int64)
+    held = np.bincount(slot, minlength=int(dims.sum()))
+    most = np.maximum.reduceat(held, first) if n else held[:0]
+    unit = np.ceil(np.log2(np.maximum(-(-most // 255), 1))).astype(np.int64)
+    small = -(-held // (1 << np.repeat(unit, dims)))
+    out = np.empty(int(dims.sum()) + n, np.uint8)
+    end = np.cumsum(dims + 1) - 1
+    own = np.ones(len(out), bool)
+    own[end] = False
+    out[own], out[end] = small, unit
+    return out, dims + 1
+
+
+def may_link(a: bytes, b: bytes, p: int, q: int, num: int, den: int) -> bool:
+    """Whether sets of sizes p and q with these folded points can reach the similarity."""
+    if p * den < q * num or q * den < p * num:
+        return False
+    x, y = (np.frombuffer(v, np.uint8)[:-1].astype(np.int64) << v[-1] for v in (a, b))
+    if len(x) > len(y):
+        x, y = y, x
+    if len(x) < len(y):
+        y = y.reshape(-1, len(x)).sum(axis=0)
+    return (num + den) * int(np.minimum(x, y).sum()) >= num * (p + q)
+
+
+def point_links(points: list[bytes], size: np.ndarray, num: int, den: int, ask: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs that connect all members whose folded points may link, directly or not (see ``may_link``)."""
+    dims = np.array([len(p) - 1 for p in points])
+    levels = {}
+    for d in np.unique(dims).tolist():  # points folded to d coordinates, of all that have as many
+        rows = np.flatnonzero(dims >= d)
+        levels[d] = np.zeros((len(points), d), np.int32)
+        for k in rows.tolist():
+            levels[d][k] = (np.frombuffer(points[k], np.uint8)[:-1].astype(np.int32) << points[k][-1]).reshape(-1, d).sum(axis=0)
+    comp, links = np.arange(len(points)), []
+    for x in range(len(points)) if ask is None else np.flatnonzero(ask).tolist():
+        p = int(size[x])
+        near = np.flatnonzero((comp != comp[x]) & (size * den >= p * num) & (size * num <= p * den))
+        for d, m in levels.items():
+            y = near[np.minimum(dims[near], dims[x]) == d]
+            y = y[(num + den) * np.minimum(m[y], m[x]).sum(axis=1) >= num * (p + size[y])]
+            y = y[np.unique(comp[y], return_index=True)[1]]  # one of each group
+            if len(y):
+                links += [(x, int(k)) for k in y]
+                comp[np.isin(comp, comp[y])] = comp[x]
+    return links
+
+
 class _Found:
     """Union of linked members of a tile."""
 
@@ -182,7 +243,16 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def first(batch, g, counts, seen):
+    def size(batch, g, counts, seen):
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(set_ids(g, counts)), binary_array(*folded_points(g, counts))],
+                                          ["doc_id", "n_shingles", "sig", "point"])
+
+    seen = materialize_narrow(docs.mapInArrow(_over_sets(shingle, size), "doc_id long, n_shingles long, sig long, point binary"), "sets")
+    held = seen.filter("n_shingles > 0 and doc_id is not null")
+    classes = materialize_narrow(held.groupBy("sig").agg(F.min(F.struct("doc_id", "n_shingles", "point")).alias("r"))
+                                 .select("sig", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), "r.point"), "classes")
+
+    def keyed(batch, g, counts, seen):
         ids = set_ids(g, counts)
         new = np.zeros(len(counts), bool)
         for k, s in enumerate(ids.tolist()):  # a task sends a set's keys once
@@ -190,24 +260,54 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int
             if new[k]:
                 seen.add(s)
         keys, per = slice_keys(g[np.repeat(new, counts)], counts[new], num, den)
-        per_row = np.zeros(len(counts), np.int64)
-        per_row[new] = per
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(ids), list_array(keys, per_row, pa.int64())],
-                                          ["doc_id", "n_shingles", "sig", "keys"])
-
-    seen = materialize(docs.mapInArrow(_over_sets(shingle, first), "doc_id long, n_shingles long, sig long, keys array<long>"), "sets")
-    held = seen.filter("n_shingles > 0 and doc_id is not null")
-    classes = materialize_narrow(held.groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
+        return pa.RecordBatch.from_arrays([pa.array(ids[new]), list_array(keys, per, pa.int64())], ["sig", "keys"])
+
+    # Keys are made anew from the texts and go straight into the shuffle: written, they would take as much
+    # disk as the texts.
+    rows = docs.mapInArrow(_over_sets(shingle, keyed), "sig long, keys array<long>").select("sig", F.explode("keys").alias("key"))
+    under = Window.partitionBy("key").orderBy("sig")
+    rows = rows.withColumn("k", F.count("*").over(under.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).filter("k > 1")
+    pivot = F.min("sig").over(under.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = F.collect_list("sig").over(under.rowsBetween(1 - FEW, -1))
+    met = rows.select("sig", (F.col("k") <= FEW).alias("few"), F.when(F.col("k") <= FEW, before).otherwise(F.array(pivot)).alias("a"))
+    met = met.select(F.explode("a").alias("a"), F.col("sig").alias("b"), "few").filter("a <> b").groupBy("a", "b").agg(F.min("few").alias("few"))
+    met = materialize_narrow(met, "met")
+
+    def weigh(it):
+        for batch in it:
+            cols = [batch.column(c).to_pylist() for c in ("pa", "pb", "na", "nb")]
+            keep = pa.array([may_link(*x, num, den) for x in zip(*cols)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-    # keys to clusters: every member of a key's bucket is tied to its smallest
-    rows = held.select("sig", F.explode("keys").alias("key"))
-    pivot = F.min("sig").over(Window.partitionBy("key").orderBy("sig").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ties = rows.select("sig", pivot.alias("a")).filter("a <> sig").select("a", F.col("sig").alias("b")).distinct()
+    point_of = lambda c: classes.select(F.col("sig").alias(c), F.col("n").alias(f"n{c}"), F.col("point").alias(f"p{c}"))
+    weighed = met.filter("few").join(point_of("a"), "a").join(point_of("b"), "b").select("a", "b", "pa", "pb", "na", "nb").mapInArrow(weigh, "a long, b long")
+    ties = met.filter("not few").select("a", "b").unionByName(weighed)
     clusters = materialize_narrow(components(ties, "clusters").withColumnRenamed("node", "sig"), "clusters")
+    sizes = materialize_narrow(clusters.groupBy("comp").agg(F.count("*").alias("c")), "cluster-sizes")
+
+    # large clusters fall apart along the pairs whose folded points may link
+    large = (clusters.join(sizes.filter(F.col("c") > TILE), "comp").join(classes.select("sig", "n", "point"), "sig")
+             .withColumn("blocks", F.ceil(F.col("c") / POINT_TILE).cast("int")).withColumn("block", F.pmod(F.xxhash64(F.lit(7), "sig"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))))
+    large = large.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sig", "n", "point")
+
+    def apart(key, table):
+        sig, size = table["sig"].to_numpy(), table["n"].to_numpy()
+        ask = None if key[1].as_py() == key[2].as_py() else table["block"].to_numpy() == key[1].as_py()
+        found = point_links(table["point"].to_pylist(), size, num, den, ask)
+        a, b = (np.array(x, np.int64) for x in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
+        return pa.table({"a": sig[a], "b": sig[b]})
+
+    parts = components(materialize_narrow(large.groupBy("comp", "i", "j").applyInArrow(apart, "a long, b long"), "near-points"), "parts")
+    small = clusters.join(sizes.filter(F.col("c") <= TILE).select("comp"), "comp", "left_semi").select("sig", "comp")
+    whole = materialize_narrow(small.unionByName(parts.select(F.col("node").alias("sig"), "comp")), "clusters")
+    for old in (met, clusters, sizes):
+        discard(old)
+    clusters = whole
 
     # tiles of clusters
     sizes = clusters.groupBy("comp").agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
-    members = (clusters.join(materialize_narrow(sizes, "cluster-sizes"), "comp").join(classes, "sig")
+    members = (clusters.join(materialize_narrow(sizes, "cluster-sizes"), "comp").join(classes.select("sig", "rep"), "sig")
                .withColumn("block", F.pmod(F.xxhash64(F.lit(5), "sig"), F.col("blocks")).cast("int")))
     members = materialize_narrow(members, "members")
     wanted = docs.sparkSession.sparkContext.broadcast(bloom_words(members, "sig"))
@@ -232,13 +332,13 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int
         return pa.table({"a": sig[a], "b": sig[b]})
 
     links = materialize_narrow(placed.groupBy("comp", "i", "j").applyInArrow(tile, "a long, b long"), "links")
-    groups = components(links, "groups").withColumnRenamed("node", "sig").join(classes, "sig")
+    groups = components(links, "groups").withColumnRenamed("node", "sig").join(classes.select("sig", "rep"), "sig")
     low = materialize_narrow(groups.groupBy("comp").agg(F.min("rep").alias("low")), "group-ids")
     linked = materialize_narrow(groups.join(low, "comp").select("sig", "low"), "groups")
-    of = materialize_narrow(classes.join(linked, "sig", "left").select("sig", F.coalesce("low", "rep").alias("component_id")), "class-ids")
+    of = materialize_narrow(classes.select("sig", "rep").join(linked, "sig", "left").select("sig", F.coalesce("low", "rep").alias("component_id")), "class-ids")
     for old in (members, links, clusters):
         discard(old)
-    whole = held.select("doc_id", "n_shingles", "sig").join(of, "sig").select("doc_id", "n_shingles", "component_id")
+    linked = held.select("doc_id", "n_shingles", "sig").join(of, "sig").select("doc_id", "n_shingles", "component_id")
     alone = seen.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return whole.unionByName(alone)
+    return linked.unionByName(alone)
 

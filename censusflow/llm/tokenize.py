@@ -17,9 +17,9 @@ import numpy as np
 from . import kernels as K
 
 #: Distinct pieces that a worker remembers; a full memory is emptied, which only costs time.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 #: Slots of the hash table (a power of two) and ids in a row of the id matrix.
-_SLOT_BITS, _ROW = 22, 6
+_SLOT_BITS, _ROW = 21, 6
 JOINED = 24
 
 
@@ -155,3 +155,8 @@ def encoder(path: str, rule: str) -> Encoder:
     if (path, rule) not in _ENCODERS:
         _ENCODERS[path, rule] = Encoder(path, rule)
     return _ENCODERS[path, rule]
+
+
+def forget_encoders() -> None:
+    """Drop what an earlier job left in this worker process; for jobs that don't tokenise."""
+    _ENCODERS.clear()

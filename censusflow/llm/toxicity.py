@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from . import kernels as K
 from .fitting import id_remainder, labelled
+from .tokenize import forget_encoders
 from .util import list_array, materialize, row_slices, string_buffer
 
 #: Training documents per class; entries of a lexicon; training documents that an entry must be in.
@@ -133,11 +134,12 @@ def features(buf: np.ndarray, offs: np.ndarray, lex: Lexicon) -> np.ndarray:
 def _with_features(df: DataFrame, text: str, lex: Lexicon, out: str) -> DataFrame:
     """``df`` with the features of its string column ``text`` as an array column ``out``."""
     def run(it):
+        forget_encoders()
         for batch in it:
             buf, offs = string_buffer(batch.column(text))
-            parts = [features(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], lex) for i, j in row_slices(offs)]
-            x = np.concatenate(parts) if parts else np.empty((0, len(FEATURES)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, list_array(x.ravel(), np.full(len(x), len(FEATURES)), pa.float64())], [*batch.schema.names, out])
+            for i, j in row_slices(offs):
+                x = features(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], lex)
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns, list_array(x.ravel(), np.full(len(x), len(FEATURES)), pa.float64())], [*batch.schema.names, out])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))]))
 
@@ -145,6 +147,7 @@ def _with_features(df: DataFrame, text: str, lex: Lexicon, out: str) -> DataFram
 def learn_lexicon(sample: DataFrame) -> Lexicon:
     """From (text, y): entries in at least SUPPORT toxic texts whose log-odds of toxic are 2 or more."""
     def run(it):
+        forget_encoders()
         for batch in it:
             buf, offs = string_buffer(batch.column("text"))
             y = batch.column("y").to_numpy()

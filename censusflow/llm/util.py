@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -75,7 +76,7 @@ def string_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs - offs[0]
 
 
-def row_slices(offsets: np.ndarray, max_bytes: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def row_slices(offsets: np.ndarray, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``max_bytes`` bytes each (a longer single text is a range of its own)."""
     n, i = len(offsets) - 1, 0
     while i < n:
@@ -83,6 +84,20 @@ def row_slices(offsets: np.ndarray, max_bytes: int = 1 << 21) -> Iterator[tuple[
         j = min(max(j, i + 1), n)
         yield i, j
         i = j
+    _give_back()
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim  # glibc only
+except (OSError, AttributeError):
+    _TRIM = None
 
 
 BLOOM_BITS = 24

@@ -74,6 +74,7 @@ def test_against_brute_force(spark, n, num, den):
 
 def test_hot_cluster_is_cut_into_tiles(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "TILE", 16)
+    monkeypatch.setattr(ngram_join, "POINT_TILE", 24)
     rng = random.Random(3)
     check(spark, [(k, t) for k, t in enumerate(corpus(rng, 120, 150, 5) + corpus(rng, 80, 40, 6))])
 
@@ -126,3 +127,41 @@ def test_components(spark):
             break
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_folded_points_never_hide_a_link():
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(0, 1 << 63, 60_000, dtype=np.uint64))
+    for size in (5, 60, 990, 1010, 4900, 30_000):
+        for _ in range(6):
+            a = np.sort(rng.choice(pool, size, replace=False))
+            b = np.unique(np.concatenate([a[rng.random(size) < 0.93], rng.choice(pool, max(size // 20, 1))]))
+            (raw, n), num, den = ngram_join.folded_points(np.concatenate([a, b]), np.array([len(a), len(b)])), 8, 10
+            pa_, pb = raw[:n[0]].tobytes(), raw[n[0]:].tobytes()
+            both = len(np.intersect1d(a, b))
+            if den * both >= num * (len(a) + len(b) - both):
+                assert ngram_join.may_link(pa_, pb, len(a), len(b), num, den)
+    same = np.full(70_000, pool[0])  # one coordinate holds all: units
+    raw, n = ngram_join.folded_points(same, np.array([len(same)]))
+    assert ngram_join.may_link(raw.tobytes(), raw.tobytes(), len(same), len(same), 9, 10)
+
+
+def test_point_links_keep_what_may_link():
+    rng = np.random.default_rng(6)
+    pool = np.unique(rng.integers(0, 1 << 63, 9000, dtype=np.uint64))
+    sets = [np.sort(rng.choice(pool, n, replace=False)) for n in (30, 200, 990, 1015, 4000)]
+    sets = [np.unique(np.append(s[rng.random(len(s)) < 0.95], rng.choice(pool, 1 + len(s) // 40))) for s in sets for _ in range(8)]
+    size = np.array([len(s) for s in sets])
+    raw, n = ngram_join.folded_points(np.concatenate(sets), size)
+    ends = np.cumsum(n)
+    points = [raw[e - k:e].tobytes() for e, k in zip(ends, n)]
+    for ask in (None, np.arange(len(sets)) % 2 == 0):
+        got = ngram_join.point_links(points, size, 8, 10, ask)
+        group = np.arange(len(sets))
+        for a, b in got:
+            assert ngram_join.may_link(points[a], points[b], int(size[a]), int(size[b]), 8, 10)
+            group[group == group[b]] = group[a]
+        for a in range(len(sets)):
+            for b in range(len(sets)):
+                if a != b and (ask is None or ask[a]) and ngram_join.may_link(points[a], points[b], int(size[a]), int(size[b]), 8, 10):
+                    assert group[a] == group[b]
