@@ -17,7 +17,7 @@ import numpy as np
 from . import kernels as K
 
 #: Distinct pieces that a worker remembers; a full memory is emptied, which only costs time.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_400_000
 #: Slots of the hash table (a power of two) and ids in a row of the id matrix.
 _SLOT_BITS, _ROW = 21, 6
 JOINED = 24
