@@ -35,7 +35,7 @@ from . import kernels as K
 from .graph import components
 from .util import binary_array, bloom_has, bloom_words, discard, list_array, materialize_narrow, row_slices, string_buffer
 
-TILE, LEAF, FEW, POINT_TILE = 384, 16, 16, 1024
+TILE, LEAF, FEW, POINT_TILE = 384, 16, 16, 4096
 _GROUP_BITS = np.uint64(16)
 
 
