@@ -5,6 +5,9 @@ together again, so the ids equal those of encoding the whole text. ``CUTS`` has
 
 * ``word``: white space is dropped and splits words, so ASCII white space is a cut.
 * ``byte``: a space after a character that is not white space always begins a new pre-token.
+
+Special tokens that a text spells out get their own ids, as the library gives them by default; none holds white
+space, so no cut falls into one.
 """
 
 from __future__ import annotations
@@ -35,10 +38,11 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.rule = {"word": self._word, "byte": self._byte}[rule]
         # pieces that are surely whole beside a mark are encoded JOINED at a time and split at its id
-        self.mark, self.plain = {"word": (" | ", lambda t: "|" not in t), "byte": ("\n", lambda t: t[0] == " " and t[1:].split() == [t[1:]])}[rule]
+        self.mark, plain = {"word": (" | ", lambda t: "|" not in t), "byte": ("\n", lambda t: t[0] == " " and t[1:].split() == [t[1:]])}[rule]
+        self.plain = lambda t: plain(t) and not any(x in t for x in special)
         mark = self.tok.encode(self.mark, add_special_tokens=False).ids
         self.mark_id = mark[0] if len(mark) == 1 else None
         self._forget()

@@ -33,6 +33,28 @@ def test_ids_equal_the_library(spark, sf_dir, file, rule):
             assert ids[at[k]:at[k + 1]].tolist() == want, texts[k][:60]
 
 
+SPECIAL = ["<|endoftext|>", "<|startoftext|>", "<|endoftext|><|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|endoftext|>", "< |endoftext|>"]
+
+
+@pytest.mark.parametrize("file,rule", FILES)
+def test_special_tokens_equal_a_fresh_tokenizer(file, rule):
+    from tokenizers import Tokenizer
+    enc, fresh = Encoder(tokenizer_path(file), rule), Tokenizer.from_file(tokenizer_path(file))
+    assert not any(c.isspace() for t in fresh.get_added_tokens_decoder().values() for c in t.content)
+    gaps = ["", " ", "  ", "\n", " \n ", "é", "é ", " é", "|", " | "]
+    texts = [f"one{a}{x}{b}two" for x in SPECIAL for a in gaps for b in gaps] + [f"{a}{x}{b}" for x in SPECIAL for a in gaps for b in gaps]
+    texts += [" ".join([f"w{k}" for k in range(60)] + SPECIAL + [f"v{k}" for k in range(60)]), "one <|endoftext|> two"]
+    rng = random.Random(4)
+    texts += ["".join(rng.choice([*SPECIAL, *gaps, "a", "word", "'s"]) for _ in range(rng.randrange(12))) for _ in range(1500)]
+    for _ in range(2):
+        ids, n = enc.encode(*string_buffer(pa.array(texts)))
+        at = np.append(0, np.cumsum(n))
+        for k, want in enumerate(fresh.encode_batch(texts, add_special_tokens=False)):
+            assert ids[at[k]:at[k + 1]].tolist() == want.ids, texts[k][:60]
+    special = fresh.token_to_id("<|endoftext|>")
+    assert special in ids[at[texts.index("one <|endoftext|> two")]:].tolist()
+
+
 def docs(spark, rows):
     return spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, length int, ids string").repartition(3)
 
