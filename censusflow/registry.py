@@ -286,10 +286,10 @@ def _text_jobs() -> dict[str, Query]:
     def on_texts(fn):
         return lambda sp, d: fn(sp, d, user_texts)
 
-    def parsed(sp, d):
+    def parsed(sp, d, log=qlog):
         # The intent table is written once and read back by every consumer: it keeps
         # the large parse expression in one planned stage and cuts the lineage.
-        return materialize(lambda: N.parse_questions(qlog(sp, d)), "question_intents", d, spark=sp)
+        return materialize(lambda: N.parse_questions(log(sp, d)), "question_intents" if log is qlog else "text_intents", d, spark=sp)
 
     def texts(sp, d, log=qlog):
         return log(sp, d).select("conv_id", "turn", N.question_text(F.col("question")).alias("text"))
@@ -309,8 +309,8 @@ def _text_jobs() -> dict[str, Query]:
                                    N.explicit_limit(t).cast("long").alias("explicit_limit"),
                                    N.is_detail(t).alias("detail"), N.is_comparison(t).alias("comparison"))
 
-    def n_filters(sp, d):
-        p = parsed(sp, d)
+    def n_filters(sp, d, log=qlog):
+        p = parsed(sp, d, log)
         return p.select("conv_id", "turn", F.posexplode(F.array_union(
             F.col("filters"), F.transform(F.coalesce(F.col("compare_values"), F.array().cast("array<string>")),
                                           lambda v: F.struct(F.col("compare_dim").alias("dim"), v.alias("value"),
@@ -318,10 +318,16 @@ def _text_jobs() -> dict[str, Query]:
             .select("conv_id", "turn", F.col("pos").cast("long").alias("pos"), F.col("col.dim").alias("dimension"),
                     F.col("col.value").alias("value"), F.col("col.negated").alias("negated"))
 
-    def n_dimensions(sp, d):
-        return parsed(sp, d).select("conv_id", "turn", F.posexplode("dimensions")) \
+    def n_dimensions(sp, d, log=qlog):
+        return parsed(sp, d, log).select("conv_id", "turn", F.posexplode("dimensions")) \
             .select("conv_id", "turn", F.col("pos").cast("long").alias("pos"), F.col("col").alias("dimension"))
 
+    def n_intents(sp, d, log=qlog):
+        return N.intents_flat(parsed(sp, d, log))
+
+    def n_carry_over(sp, d, log=qlog):
+        return N.carry_over(parsed(sp, d, log))
+
     return {
         "n_normalise": texts,
         "n_measure": n_measure,
@@ -329,10 +335,12 @@ def _text_jobs() -> dict[str, Query]:
         "n_flags": n_flags,
         "n_filters": n_filters,
         "n_dimensions": n_dimensions,
-        "n_intents": lambda sp, d: N.intents_flat(parsed(sp, d)),
-        "n_carry_over": lambda sp, d: N.carry_over(parsed(sp, d)),
+        "n_intents": n_intents,
+        "n_carry_over": n_carry_over,
         "n_normalise_texts": on_texts(texts), "n_measure_texts": on_texts(n_measure),
         "n_aggregation_texts": on_texts(n_aggregation), "n_flags_texts": on_texts(n_flags),
+        "n_filters_texts": on_texts(n_filters), "n_dimensions_texts": on_texts(n_dimensions),
+        "n_intents_texts": on_texts(n_intents), "n_carry_over_texts": on_texts(n_carry_over),
         "x_log_triage_texts": lambda sp, d: X.log_triage(B.read_table(sp, d, "conversations", "conv_id", "turn", "text").select(
             (F.col("conv_id") * 1000 + F.col("turn")).alias("line_id"),
             (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("turn"))).alias("ts"), F.col("text").alias("line"))),
@@ -342,7 +350,8 @@ def _text_jobs() -> dict[str, Query]:
 
 
 ROWS_ONLY = {"dq_columns", "quality_report_json",
-             "n_filters", "n_dimensions", "n_intents", "n_carry_over"}
+             "n_filters", "n_dimensions", "n_intents", "n_carry_over",
+             "n_filters_texts", "n_dimensions_texts", "n_intents_texts", "n_carry_over_texts"}
 
 
 def oracle_queries() -> dict[str, str]:

@@ -75,3 +75,24 @@ def test_conversations_are_apart_and_batches_do_not_matter(spark):
     alone = sorted(N.carry_over(parsed.filter("conv_id = 7")).collect())
     assert [r for r in whole if r["conv_id"] == 7] == alone
     parsed.unpersist()
+
+
+def test_the_tables_own_texts(spark, tmp_path):
+    from censusflow.registry import registered_queries
+    turns = [(1, 0, "user", "mean total expenses per degree"), (1, 1, "assistant", "allowance by gender"), (1, 2, "user", "now only the rural ones"),
+             (2, 0, "user", None), (2, 1, "user", "is it going to rain tomorrow"), (2, 2, "user", "list female students not living in pg"),
+             (3, 0, "user", "so " * 4000 + "what is the median allowance by gender")]
+    turns += [(4, k, "user", "average savings by background" if k == 0 else "qwerty uiop") for k in range(300)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {k: registered_queries()[f"n_{k}_texts"](spark, str(tmp_path)).collect() for k in ("filters", "dimensions", "intents", "carry_over")}
+    intents = {(r.conv_id, r.turn): r for r in got["intents"]}
+    assert set(intents) == {(c, t) for c, t, role, _ in turns if role == "user"}
+    assert (intents[3, 0].measure, intents[3, 0].aggregation, intents[3, 0].dimensions) == ("allowance", "median", "gender")
+    assert [k for k, r in intents.items() if not r.refused and k[0] != 4] and {k for k, r in intents.items() if not r.refused} == {(1, 0), (1, 2), (2, 2), (3, 0), (4, 0)}
+    assert intents[2, 0].refused is True and intents[2, 1].refused is True
+    assert {(r.conv_id, r.turn, r.dimension, r.value, r.negated) for r in got["filters"]} == {
+        (1, 2, "background", "Rural", False), (2, 2, "accommodation", "PG", True), (2, 2, "gender", "Female", False)}
+    assert {(r.conv_id, r.turn, r.dimension) for r in got["dimensions"]} == {(1, 0, "degree"), (3, 0, "gender"), (4, 0, "background")}
+    carried = {(r.conv_id, r.turn): (r.measure, r.dimensions, r.filters, r.carried) for r in got["carry_over"]}
+    assert set(carried) == {(1, 0), (1, 2), (2, 2), (3, 0), (4, 0)}
+    assert carried[1, 2] == ("total_expenses", "degree", "background=Rural", True) and not carried[2, 2][3]
