@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licences
+from . import centroids, lexical, licences, page_text
 from .decontaminate import decontaminate
 from .line_dedup import dedup_lines
 from .ngram_join import jaccard_components
@@ -64,12 +64,28 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op2_pii, op3_topk, op4_toxicity, op5_line_dedup, op6_pack, op7_token_file, op8_ngram_join, op9_decontaminate, op10_licences)
+    f.__name__: f for f in (op1_quality, op2_pii, op3_topk, op4_toxicity, op5_line_dedup, op6_pack, op7_token_file, op8_ngram_join, op9_decontaminate, op10_licences,
+                                op11_lexical_search, op12_page_text, op13_centroids)
 }
 
 SQL: dict[str, str] = {
     "op10_licences": licences.duckdb_sql(),
+    "op11_lexical_search": lexical.duckdb_sql(),
+    "op12_page_text": page_text.duckdb_sql(),
+    "op13_centroids": centroids.duckdb_sql(),
     "op3_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
            FROM embeddings
