@@ -590,8 +590,12 @@ lg AS (SELECT event_id AS line_id, ts,
          '[' || event_type || '] user=' || CAST(user_id AS VARCHAR) || ' ' || tmpl AS line
        FROM events JOIN t ON event_id % {len(LOG_TEMPLATES)} = idx),
 {found}"""
-    q["x_log_triage_texts"] = f"""WITH lg AS (SELECT conv_id * 1000 + turn AS line_id,
-         TIMESTAMP '2024-01-01 00:00:00' + to_seconds(turn) AS ts, text AS line FROM conversations),
+    words, key = "string_split(coalesce(text, ''), ' ')", "(conv_id * 7 + turn)"
+    place = f"(conv_id * 31 + turn * 17) % (len({words}) + 1)"
+    q["x_log_triage_texts"] = f"""WITH t(idx, tmpl) AS (VALUES {tmpl}),
+lg AS (SELECT conv_id * 1000 + turn AS line_id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(turn) AS ts,
+         CASE WHEN {key} % 3 = 0 THEN array_to_string({words}[1:{place}] || [tmpl] || {words}[{place} + 1:], ' ') ELSE text END AS line
+       FROM conversations JOIN t ON {key} % {len(LOG_TEMPLATES)} = idx),
 {found}"""
     keys = sorted(_CHECK_ORACLE, key=len, reverse=True)
     match = "CASE " + " ".join(f"WHEN starts_with(name, {_sq(k)}) THEN {_sq(k)}" for k in keys) + " END"
@@ -621,9 +625,9 @@ def question_sql() -> dict[str, str]:
     base = f"""WITH tq(idx, question) AS (VALUES {qs}),
 ql AS (SELECT conv_id, turn, question FROM conversations JOIN tq
        ON (conv_id * 7 + turn) % {len(QUESTIONS)} = idx WHERE role = 'user'),
-n0 AS (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(replace(lower(coalesce(question, '')), '''', ' '),
+n0 AS (SELECT conv_id, turn, question, trim(regexp_replace(regexp_replace(replace(lower(coalesce(question, '')), '''', ' '),
          '[^a-z0-9/&+.\\s-]', ' ', 'g'), '\\s+', ' ', 'g')) AS t0 FROM ql),
-nt AS (SELECT conv_id, turn, array_to_string(list_filter(string_split(t0, ' '), lambda x: x <> '' AND
+nt AS (SELECT conv_id, turn, question, array_to_string(list_filter(string_split(t0, ' '), lambda x: x <> '' AND
          (x IN ({prot}) OR regexp_matches(x, '[0-9]') OR x NOT IN ({stop}))), ' ') AS text FROM n0)
 """
     ranked = sorted(((len(s), mi, si, key, s) for mi, (key, _, _, syns) in enumerate(V.MEASURES)
@@ -652,8 +656,91 @@ nt AS (SELECT conv_id, turn, array_to_string(list_filter(string_split(t0, ' '),
 FROM (SELECT *, {meas} AS m FROM nt) x"""
     q["n_flags"] = base + f"""SELECT conv_id, turn, {rank} AS ranking, CAST({lim} AS BIGINT) AS explicit_limit,
   {detail} AS detail, {comp} AS comparison FROM nt"""
-    # the same readings of the table's own texts
-    real = "WITH ql AS (SELECT conv_id, turn, text AS question FROM conversations WHERE role = 'user'),\n" + base[base.index("n0 AS"):]
-    for key in ("n_normalise", "n_measure", "n_aggregation", "n_flags"):
-        q[key + "_texts"] = q[key].replace(base, real)
+    parse = base + _parse_sql(lim)
+    named = "array_to_string(list_transform({}, lambda f: f.dim || CASE WHEN f.neg THEN '!=' ELSE '=' END || f.val), ';')"
+    q["n_filters"] = parse + """SELECT conv_id, turn, CAST(k - 1 AS BIGINT) AS pos, f.dim AS dimension, f.val AS value, f.neg AS negated FROM
+(SELECT conv_id, turn, unnest(fs) AS f, generate_subscripts(fs, 1) AS k FROM
+ (SELECT conv_id, turn, filters || coalesce(list_transform(cmp_values, lambda v: {'dim': cmp_dim, 'val': v, 'neg': false}), []) AS fs FROM p))"""
+    q["n_dimensions"] = parse + """SELECT conv_id, turn, CAST(k - 1 AS BIGINT) AS pos, dimension FROM
+(SELECT conv_id, turn, unnest(dims) AS dimension, generate_subscripts(dims, 1) AS k FROM p)"""
+    q["n_intents"] = parse + f"""SELECT conv_id, turn, measure, aggregation, array_to_string(dims, ',') AS dimensions, {named.format('filters')} AS filters,
+  cmp_dim || ':' || array_to_string(cmp_values, '|') AS compare, ranking, row_limit, detail, extreme, list_contains(dims, 'year_of_study') AS sort_ordinal, refused FROM p"""
+    confirm = ", ".join(_sq(w) for w in sorted(V.CONFIRMATIONS))
+    first = "list_filter({0}, lambda x, i: list_position(list_transform({0}, lambda y: y.dim), x.dim) = i)"
+    q["n_carry_over"] = parse.replace("WITH tq", "WITH RECURSIVE tq", 1).replace("WITH ql", "WITH RECURSIVE ql", 1) + f""",
+seq AS (SELECT *, measure IS NULL AND NOT detail AS silent, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, question) AS k
+        FROM p WHERE NOT refused AND lower(trim(coalesce(question, ''))) NOT IN ({confirm})),
+walk AS (SELECT conv_id, k, turn, measure, aggregation, dims, filters, false AS carried FROM seq WHERE k = 1
+UNION ALL SELECT conv_id, k, turn, CASE WHEN carried THEN m1 ELSE m0 END, CASE WHEN carried THEN a1 ELSE a0 END, CASE WHEN carried THEN d1 ELSE d0 END,
+            CASE WHEN carried THEN f1 ELSE f0 END, carried
+ FROM (SELECT *, takes_m OR takes_d OR len(f1) > len(f0) AS carried FROM
+ (SELECT s.conv_id, s.k, s.turn, s.measure AS m0, s.aggregation AS a0, s.dims AS d0, s.filters AS f0,
+    s.silent AND w.measure IS NOT NULL AS takes_m,
+    len(w.dims) > 0 AND ((s.silent AND w.measure IS NULL) OR (len(s.dims) = 0 AND s.cmp_dim IS NULL)) AS takes_d,
+    CASE WHEN s.silent AND w.measure IS NOT NULL THEN w.measure ELSE s.measure END AS m1,
+    CASE WHEN s.silent AND w.measure IS NOT NULL THEN w.aggregation ELSE s.aggregation END AS a1,
+    CASE WHEN (s.silent AND w.measure IS NULL AND (len(w.dims) > 0 OR len(w.filters) > 0)) OR (len(s.dims) = 0 AND s.cmp_dim IS NULL) THEN w.dims ELSE s.dims END AS d1,
+    {first.format('(w.filters || s.filters)')} AS f1
+  FROM walk w JOIN seq s ON s.conv_id = w.conv_id AND s.k = w.k + 1) x) y)
+SELECT conv_id, turn, measure, aggregation, array_to_string(dims, ',') AS dimensions, {named.format('list_sort(filters)')} AS filters, carried FROM walk"""
+    # the same readings of the table's own texts, each with its question put inside
+    words = "string_split(coalesce(c.text, ''), ' ')"
+    place = f"(c.conv_id * 31 + c.turn * 17) % (len({words}) + 1)"
+    inside = f"array_to_string({words}[1:{place}] || [tq.question] || {words}[{place} + 1:], ' ')"
+    real = base[:base.index("ql AS")] + f"""ql AS (SELECT c.conv_id, c.turn, {inside} AS question FROM conversations c JOIN tq
+       ON (c.conv_id * 7 + c.turn) % {len(QUESTIONS)} = idx WHERE role = 'user'),\n""" + base[base.index("n0 AS"):]
+    plain, mixed = base[base.index("ql AS"):base.index("n0 AS")], real[real.index("ql AS"):real.index("n0 AS")]
+    q.update({key + "_texts": sql.replace(plain, mixed) for key, sql in q.items()})
     return q
+
+
+def _parse_sql(limit: str) -> str:
+    """CTEs from ``nt`` to ``p`` (one parsed question a row): every place of every phrase, then the rules in SQL."""
+    from .functions import vocabulary as V
+    order, rows = sorted(((-len(s), mi, si, k, s) for mi, (k, _, _, syns) in enumerate(V.MEASURES) for si, s in enumerate(syns))), []
+    rows += [(s, "measure", i, k, "") for i, (_, _, _, k, s) in enumerate(order)]
+    rows += [(s, "verb", i, v, "") for i, (s, v) in enumerate(V.AGGREGATION_SYNONYMS)] + [(s, "rank", i, v, "") for i, (s, v) in enumerate(V.RANKING_SYNONYMS)]
+    rows += [(s, "detail", 0, "", "") for s in V.DETAIL_SYNONYMS] + [(s, "compare", 0, "", "") for s in V.COMPARISON_SYNONYMS]
+    rows += [(s, "name", 100 * d + i, dim, "") for d, (dim, syns, _) in enumerate(V.DIMENSIONS) for i, s in enumerate(syns)]
+    aliases = [(a, dim, v) for dim, _, al in V.DIMENSIONS if dim not in V.UNFILTERABLE for a, v in al]
+    rows += [(a, "value", i, dim, v) for i, (a, dim, v) in enumerate(aliases)]
+    ph = ",\n".join(f"({_sq(p)}, {_sq(k)}, {o}, {_sq(x)}, {_sq(y)})" for p, k, o, x, y in rows)
+    alnum = "regexp_matches({}, '[a-z0-9]')"
+    lead = lambda n: f"substr(h.text, greatest(0, h.s - {n}) + 1, least(h.s, {n}))"
+    near = lambda n, words: "(" + " OR ".join(f"regexp_matches({lead(n)}, {_sq(_re2(w))})" for w in words) + ")"
+    default = "CASE measure0 " + " ".join(f"WHEN {_sq(k)} THEN {_sq(a)}" for k, _, a, _ in V.MEASURES) + " END"
+    return f""",
+tx AS (SELECT DISTINCT text FROM nt),
+ph(p, kind, o, x, y) AS (VALUES {ph}),
+inn AS (SELECT text, p, kind, o, x, y FROM tx JOIN ph ON contains(text, p)),
+pos AS (SELECT *, unnest(range(0, CAST(length(text) AS BIGINT))) AS s FROM inn),
+h AS (SELECT *, s + length(p) AS e FROM pos WHERE substr(text, s + 1, length(p)) = p AND (s = 0 OR NOT {alnum.format('substr(text, s, 1)')})
+      AND (s + length(p) = length(text) OR NOT {alnum.format('substr(text, s + length(p) + 1, 1)')})),
+one AS (SELECT text, arg_min(x, o) FILTER (WHERE kind = 'measure') AS measure0, arg_min(x, o) FILTER (WHERE kind = 'verb') AS verb,
+          arg_min(x, o) FILTER (WHERE kind = 'rank') AS ranking, coalesce(bool_or(kind = 'detail'), false) AS detail, coalesce(bool_or(kind = 'compare'), false) AS cmp FROM h GROUP BY text),
+cand AS (SELECT text, s, e, o, x, y, {near(V.NEGATION_WINDOW, V.NEGATIONS)} AS neg, row_number() OVER (PARTITION BY text ORDER BY o, s) AS k FROM h WHERE kind = 'value'),
+cl AS (SELECT text, list({{'s': s, 'e': e, 'k': k}} ORDER BY k) AS all_ FROM cand GROUP BY text),
+acc AS (SELECT text, list_reduce(list_transform(all_, lambda c: [c]), lambda a, b: CASE WHEN len(list_filter(a, lambda c: b[1].s < c.e AND c.s < b[1].e)) > 0 THEN a ELSE a || b END) AS got FROM cl),
+ok AS (SELECT c.text, c.x AS dim, c.y AS val, bool_or(c.neg) AS neg, min(c.k) AS k FROM acc JOIN cand c ON c.text = acc.text AND list_contains(list_transform(got, lambda g: g.k), c.k) GROUP BY ALL),
+fl AS (SELECT text, list({{'dim': dim, 'val': val, 'neg': neg}} ORDER BY k) AS found FROM ok GROUP BY text),
+nm AS (SELECT h.text, o // 100 AS d, o % 100 AS i, x AS dim, s, {near(V.GROUPING_WINDOW, V.GROUPING_SYNONYMS)} AS grouped FROM h WHERE kind = 'name'),
+sub AS (SELECT text, d, min({{'i': i, 's': s}}) AS f FROM nm WHERE NOT grouped GROUP BY text, d),
+nd AS (SELECT nm.text, nm.d, nm.dim, bool_or(nm.grouped AND NOT (one.ranking IS NOT NULL AND sub.f IS NOT NULL AND nm.i = sub.f.i AND nm.s > sub.f.s)) AS explicit, any_value(one.ranking) IS NOT NULL AS ranked
+       FROM nm JOIN one ON one.text = nm.text LEFT JOIN sub ON sub.text = nm.text AND sub.d = nm.d
+       WHERE NOT EXISTS (SELECT 1 FROM ok WHERE ok.text = nm.text AND ok.dim = nm.dim) GROUP BY nm.text, nm.d, nm.dim),
+dd AS (SELECT text, list(dim ORDER BY d) FILTER (WHERE explicit) AS ex, list(dim ORDER BY d) FILTER (WHERE ranked) AS ch FROM nd GROUP BY text),
+dn(d, dim) AS (VALUES {", ".join(f"({d}, {_sq(dim)})" for d, (dim, _, _) in enumerate(V.DIMENSIONS))}),
+tw AS (SELECT text, arg_min(dim, d) AS dim FROM (SELECT text, dim, any_value(d) AS d FROM ok JOIN dn USING (dim) GROUP BY text, dim HAVING count(*) > 1) GROUP BY text),
+r AS (SELECT nt.*, measure0, verb, ranking, coalesce(detail, false) AS detail, coalesce(cmp, false) AS cmp, coalesce(found, []) AS found,
+        CASE WHEN len(ex) > 0 THEN ex WHEN len(ch) > 0 THEN ch[1:1] WHEN coalesce(cmp, false) AND tw.dim IS NOT NULL THEN [tw.dim] ELSE [] END AS dims, CAST({limit.replace('text', 'nt.text')} AS BIGINT) AS lim
+      FROM nt LEFT JOIN one ON one.text = nt.text LEFT JOIN fl ON fl.text = nt.text LEFT JOIN dd ON dd.text = nt.text LEFT JOIN tw ON tw.text = nt.text),
+r1 AS (SELECT *, measure0 IS NULL AND len(dims) > 0 AND NOT detail AND verb IS NULL AS counted,
+         CASE WHEN cmp THEN list_filter(dims, lambda d: len(list_filter(found, lambda f: f.dim = d)) > 1)[-1] END AS cmp_dim FROM r),
+r2 AS (SELECT *, CASE WHEN counted THEN 'student_count' ELSE measure0 END AS measure FROM r1),
+p AS (SELECT conv_id, turn, question, measure, CASE WHEN counted THEN 'count' WHEN verb IS NOT NULL THEN verb WHEN measure0 IS NOT NULL THEN {default} WHEN detail THEN '' END AS aggregation,
+        dims, CASE WHEN cmp_dim IS NULL THEN found ELSE list_filter(found, lambda f: f.dim <> cmp_dim) END AS filters, cmp_dim,
+        CASE WHEN cmp_dim IS NOT NULL THEN list_sort(list_transform(list_filter(found, lambda f: f.dim = cmp_dim), lambda f: f.val)) END AS cmp_values, ranking, detail,
+        CASE WHEN lim IS NOT NULL THEN least(greatest(lim, 1), {V.MAX_LIMIT}) WHEN ranking IS NOT NULL AND len(dims) = 0 AND NOT detail THEN 1 ELSE {V.DEFAULT_LIMIT} END AS row_limit,
+        ranking IS NOT NULL AND len(dims) = 0 AND NOT detail AND verb IS NULL AND measure IS NOT NULL AND measure <> 'student_count' AS extreme,
+        coalesce(trim(question) = '', true) OR NOT (measure IS NOT NULL OR len(dims) > 0 OR len(found) > 0 OR detail) AS refused FROM r2)
+"""

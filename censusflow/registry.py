@@ -274,42 +274,36 @@ def _text_jobs() -> dict[str, Query]:
     from .sources import binding as B
 
     from .operators import intents as N
+    from .operators.carry_over import carry_over
     from .sources.questions import QUESTIONS
 
     def qlog(sp, d):
         return B.question_log(sp, d, list(QUESTIONS))
 
-    def user_texts(sp, d):
-        return B.read_table(sp, d, "conversations", "conv_id", "turn", "role", "text").filter("role = 'user'") \
-            .select("conv_id", "turn", F.col("text").alias("question"))
+    def mixed(sp, d):
+        return B.mixed_questions(sp, d, list(QUESTIONS))
 
-    def on_texts(fn):
-        return lambda sp, d: fn(sp, d, user_texts)
+    def parsed(sp, d, log):
+        # The intent table is written once and read back by every consumer.
+        return materialize(lambda: N.parse_questions(log(sp, d)), f"intents_{log.__name__}", d, spark=sp)
 
-    def parsed(sp, d, log=qlog):
-        # The intent table is written once and read back by every consumer: it keeps
-        # the large parse expression in one planned stage and cuts the lineage.
-        return materialize(lambda: N.parse_questions(log(sp, d)), "question_intents" if log is qlog else "text_intents", d, spark=sp)
-
-    def texts(sp, d, log=qlog):
+    def texts(sp, d, log):
         return log(sp, d).select("conv_id", "turn", N.question_text(F.col("question")).alias("text"))
 
-    def n_measure(sp, d, log=qlog):
-        return texts(sp, d, log).select("conv_id", "turn", N.measure(F.col("text")).alias("measure"))
+    def readings(sp, d, log):
+        return N.with_readings(N.read_phrases(log(sp, d)))
+
+    def n_measure(sp, d, log):
+        return readings(sp, d, log).select("conv_id", "turn", "measure")
 
-    def n_aggregation(sp, d, log=qlog):
-        t = texts(sp, d, log).withColumn("m", N.measure(F.col("text")))
-        agg = F.coalesce(N.explicit_aggregation(F.col("text")), N.default_aggregation(F.col("m")),
-                         F.when(N.is_detail(F.col("text")), F.lit("")))
-        return t.select("conv_id", "turn", agg.alias("aggregation"))
+    def n_aggregation(sp, d, log):
+        agg = F.coalesce("verb", N.default_aggregation(F.col("measure")), F.when(F.col("detail"), F.lit("")))
+        return readings(sp, d, log).select("conv_id", "turn", agg.alias("aggregation"))
 
-    def n_flags(sp, d, log=qlog):
-        t = F.col("text")
-        return texts(sp, d, log).select("conv_id", "turn", N.ranking(t).alias("ranking"),
-                                   N.explicit_limit(t).cast("long").alias("explicit_limit"),
-                                   N.is_detail(t).alias("detail"), N.is_comparison(t).alias("comparison"))
+    def n_flags(sp, d, log):
+        return readings(sp, d, log).select("conv_id", "turn", "ranking", "explicit_limit", "detail", "comparison")
 
-    def n_filters(sp, d, log=qlog):
+    def n_filters(sp, d, log):
         p = parsed(sp, d, log)
         return p.select("conv_id", "turn", F.posexplode(F.array_union(
             F.col("filters"), F.transform(F.coalesce(F.col("compare_values"), F.array().cast("array<string>")),
@@ -318,40 +312,33 @@ def _text_jobs() -> dict[str, Query]:
             .select("conv_id", "turn", F.col("pos").cast("long").alias("pos"), F.col("col.dim").alias("dimension"),
                     F.col("col.value").alias("value"), F.col("col.negated").alias("negated"))
 
-    def n_dimensions(sp, d, log=qlog):
+    def n_dimensions(sp, d, log):
         return parsed(sp, d, log).select("conv_id", "turn", F.posexplode("dimensions")) \
             .select("conv_id", "turn", F.col("pos").cast("long").alias("pos"), F.col("col").alias("dimension"))
 
-    def n_intents(sp, d, log=qlog):
+    def n_intents(sp, d, log):
         return N.intents_flat(parsed(sp, d, log))
 
-    def n_carry_over(sp, d, log=qlog):
-        return N.carry_over(parsed(sp, d, log))
+    def n_carry_over(sp, d, log):
+        return carry_over(parsed(sp, d, log))
+
+    jobs = {"n_normalise": texts, "n_measure": n_measure, "n_aggregation": n_aggregation, "n_flags": n_flags, "n_filters": n_filters,
+            "n_dimensions": n_dimensions, "n_intents": n_intents, "n_carry_over": n_carry_over}
+
+    def on(fn, log):
+        return lambda sp, d: fn(sp, d, log)
 
     return {
-        "n_normalise": texts,
-        "n_measure": n_measure,
-        "n_aggregation": n_aggregation,
-        "n_flags": n_flags,
-        "n_filters": n_filters,
-        "n_dimensions": n_dimensions,
-        "n_intents": n_intents,
-        "n_carry_over": n_carry_over,
-        "n_normalise_texts": on_texts(texts), "n_measure_texts": on_texts(n_measure),
-        "n_aggregation_texts": on_texts(n_aggregation), "n_flags_texts": on_texts(n_flags),
-        "n_filters_texts": on_texts(n_filters), "n_dimensions_texts": on_texts(n_dimensions),
-        "n_intents_texts": on_texts(n_intents), "n_carry_over_texts": on_texts(n_carry_over),
-        "x_log_triage_texts": lambda sp, d: X.log_triage(B.read_table(sp, d, "conversations", "conv_id", "turn", "text").select(
-            (F.col("conv_id") * 1000 + F.col("turn")).alias("line_id"),
-            (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("turn"))).alias("ts"), F.col("text").alias("line"))),
+        **{key: on(fn, qlog) for key, fn in jobs.items()},
+        # the same over the table's own texts, each with a question somewhere inside
+        **{f"{key}_texts": on(fn, mixed) for key, fn in jobs.items()},
+        "x_log_triage_texts": lambda sp, d: X.log_triage(B.mixed_log(sp, d, list(X.LOG_TEMPLATES))),
         "x_log_triage": lambda sp, d: X.log_triage(B.pipeline_log(sp, d, list(X.LOG_TEMPLATES))),
-        "x_explain_findings": lambda sp, d: X.explain_findings(quality_results(sp, d)).drop("cause", "fix", "evidence"),
+        "x_explain_findings": lambda sp, d: X.explain_findings(quality_results(sp, d)),
     }
 
 
-ROWS_ONLY = {"dq_columns", "quality_report_json",
-             "n_filters", "n_dimensions", "n_intents", "n_carry_over",
-             "n_filters_texts", "n_dimensions_texts", "n_intents_texts", "n_carry_over_texts"}
+ROWS_ONLY = {"dq_columns", "quality_report_json"}
 
 
 def oracle_queries() -> dict[str, str]:

@@ -57,3 +57,10 @@ def materialize(df, name: str, key: str = "", spark: SparkSession | None = None)
         df.write.mode("overwrite").parquet(path)
         _WRITTEN[tag] = path
     return spark.read.parquet(path)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate in a folder of its own and read it back: values that must not change are fixed, lineage ends."""
+    path = artifact_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

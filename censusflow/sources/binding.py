@@ -284,6 +284,33 @@ def question_log(spark: SparkSession, sf_dir: str, templates: list[str]) -> Data
         "conv_id", "turn", F.element_at(arr, idx + 1).alias("question"))
 
 
+def _inside(text: Column, phrase: Column, place: Column) -> Column:
+    """``text`` with ``phrase`` put between two of its words (cut at single spaces), at ``place`` modulo their number."""
+    words = F.split(F.coalesce(text, F.lit("")), " ", -1)
+    at = (place % (F.size(words) + 1)).cast("int")
+    return F.array_join(F.concat(F.slice(words, 1, at), F.array(phrase), F.slice(words, at + 1, F.size(words))), " ")
+
+
+def mixed_questions(spark: SparkSession, sf_dir: str, templates: list[str]) -> DataFrame:
+    """User turns of ``conversations``: their own text with the question of ``question_log`` at a hashed place inside."""
+    conv = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    arr = F.array(*[F.lit(t) for t in templates])
+    idx = ((F.col("conv_id") * 7 + F.col("turn")) % len(templates)).cast("int")
+    return conv.filter(F.col("role") == "user").select(
+        "conv_id", "turn", _inside(F.col("text"), F.element_at(arr, idx + 1), F.col("conv_id") * 31 + F.col("turn") * 17).alias("question"))
+
+
+def mixed_log(spark: SparkSession, sf_dir: str, templates: list[str]) -> DataFrame:
+    """Turns of ``conversations`` as log lines; every third holds a log message at a hashed place inside its text."""
+    conv = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    key = F.col("conv_id") * 7 + F.col("turn")
+    arr = F.array(*[F.lit(t) for t in templates])
+    message = F.element_at(arr, (key % len(templates)).cast("int") + 1)
+    line = F.when(key % 3 == 0, _inside(F.col("text"), message, F.col("conv_id") * 31 + F.col("turn") * 17)).otherwise(F.col("text"))
+    return conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("line_id"),
+                       (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("turn"))).alias("ts"), line.alias("line"))
+
+
 def money_defects(stage3: DataFrame) -> DataFrame:
     """Stage-3 frame with unparseable money labels: free text, a bare number, a missing answer."""
     k = F.col(KEY)
