@@ -683,6 +683,7 @@ UNION ALL SELECT conv_id, k, turn, CASE WHEN carried THEN m1 ELSE m0 END, CASE W
     {first.format('(w.filters || s.filters)')} AS f1
   FROM walk w JOIN seq s ON s.conv_id = w.conv_id AND s.k = w.k + 1) x) y)
 SELECT conv_id, turn, measure, aggregation, array_to_string(dims, ',') AS dimensions, {named.format('list_sort(filters)')} AS filters, carried FROM walk"""
+    q["n_answers"] = _answer_sql(base)
     # the same readings of the table's own texts, each with its question put inside
     words = "string_split(coalesce(c.text, ''), ' ')"
     place = f"(c.conv_id * 31 + c.turn * 17) % (len({words}) + 1)"
@@ -690,10 +691,60 @@ SELECT conv_id, turn, measure, aggregation, array_to_string(dims, ',') AS dimens
     real = base[:base.index("ql AS")] + f"""ql AS (SELECT c.conv_id, c.turn, {inside} AS question FROM conversations c JOIN tq
        ON (c.conv_id * 7 + c.turn) % {len(QUESTIONS)} = idx WHERE role = 'user'),\n""" + base[base.index("n0 AS"):]
     plain, mixed = base[base.index("ql AS"):base.index("n0 AS")], real[real.index("ql AS"):real.index("n0 AS")]
-    q.update({key + "_texts": sql.replace(plain, mixed) for key, sql in q.items()})
+    q.update({key + "_texts": sql.replace(plain, mixed) for key, sql in q.items() if key != "n_answers"})
     return q
 
 
+# What the questions of the log ask, read by hand: kind, measure, aggregation, grouping, SQL condition, direction, limit. Others are refused.
+_ASKED = {
+    "mean total expenses per degree": ("group", "total_expenses", "avg", ["degree"], "true", "desc", 50),
+    "what is the median allowance by gender": ("group", "allowance", "median", ["gender"], "true", "desc", 50),
+    "show the ten biggest spenders in hostel": ("count", "", "count", [], "accommodation = 'Hostel'", "desc", 1),
+    "which accommodation has the lowest average food expenses": ("group", "food_expenses", "avg", ["accommodation"], "true", "asc", 50),
+    "number of students by preferred payment": ("group", "", "count", ["preferred_payment"], "true", "desc", 50),
+    "compare food expenses of urban versus rural students": ("group", "food_expenses", "avg", ["background"], "background IN ('Rural', 'Urban')", "desc", 50),
+    "top 4 upi apps": ("group", "", "count", ["upi_app"], "preferred_payment = 'UPI'", "desc", 4),
+    "maximum transport expenses for 2nd year students": ("extreme", "transport_expenses", "", [], "year_of_study = '2nd Year'", "desc", 1),
+    "sum of academic expenses by study focus": ("group", "academic_expenses", "avg", ["study_focus"], "true", "desc", 50),
+    "budget usage for day scholars by year of study": ("group", "budget_usage_pct", "avg", ["year_of_study"], "accommodation = 'Day Scholar'", "desc", 50),
+    "list female students not living in pg": ("listing", "total_expenses", "", [], "gender = 'Female' AND accommodation <> 'PG'", "desc", 50),
+    "how many mba students track digitally": ("count", "", "count", [], "degree = 'MBA' AND track_digitally = 'Yes'", "desc", 1),
+    "least allowance among rural students": ("extreme", "allowance", "", [], "background = 'Rural'", "asc", 1),
+    "average savings by background": ("group", "savings", "avg", ["background"], "true", "desc", 50),
+    "other expenses by degree and gender": ("group", "other_expenses", "avg", ["degree", "gender"], "true", "desc", 50),
+    "top three degrees by total spend": ("extreme", "total_expenses", "", [], "true", "desc", 1),
+    "now only the rural ones": ("count", "", "count", [], "background = 'Rural'", "desc", 1),
+    "just those paying cash": ("count", "", "count", [], "preferred_payment = 'Cash'", "desc", 1),
+    "highest allowance": ("extreme", "allowance", "", [], "true", "desc", 1),
+}
+
+
+def _answer_sql(base: str) -> str:
+    from .sources.questions import QUESTIONS
+    parts = []
+    for idx, question in enumerate(QUESTIONS):
+        if question not in _ASKED:
+            continue
+        kind, measure, agg, dims, where, way, limit = _ASKED[question]
+        empty = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in ("student_name", "degree", "year_of_study", "accommodation"))
+        if kind in ("listing", "extreme"):
+            home = "accommodation" if kind == "extreme" else "CAST(NULL AS VARCHAR) AS accommodation"
+            body = (f"row_number() OVER (ORDER BY {measure} {way}, student_id) AS rank, '' AS groups, '{measure}' AS value_name, CAST({measure} AS DOUBLE) AS value, "
+                    f"CAST(NULL AS DOUBLE) AS aggregate_utilisation_pct, student_name, degree, year_of_study, {home} FROM v WHERE {where}")
+        else:
+            value = "count(*)" if agg == "count" else median(measure) if agg == "median" else _avg(measure)
+            name = "students" if agg == "count" else f"{agg}_{measure}"
+            order = _YEAR_ORD if dims == ["year_of_study"] else ", ".join([f"{value} {way}", *dims])
+            ratio = AGG_RATIO if measure == "budget_usage_pct" else "CAST(NULL AS DOUBLE)"
+            body = (f"{f'row_number() OVER (ORDER BY {order})' if dims else 1} AS rank, {' || chr(124) || '.join(dims) or chr(39) * 2} AS groups, '{name}' AS value_name, CAST({value} AS DOUBLE) AS value, "
+                    f"{ratio} AS aggregate_utilisation_pct, {empty} FROM v WHERE {where}" + (f" GROUP BY {', '.join(dims)}" if dims else ""))
+        parts.append(f"SELECT * FROM (SELECT {idx} AS idx, '{kind}' AS kind, {body}) x WHERE rank <= {limit}")
+    log = base[:base.index("n0 AS")].replace("SELECT conv_id, turn, question FROM", "SELECT conv_id, turn, idx FROM").rstrip().rstrip(",")
+    union = "\nUNION ALL ".join(parts)
+    return with_view(f"""SELECT conv_id, turn, kind, CAST(rank AS INTEGER) AS rank, groups, value_name, value, aggregate_utilisation_pct, student_name, degree, year_of_study, accommodation
+FROM ({log} SELECT * FROM ql) l JOIN ({union}) a USING (idx)""")
+
+
 def _parse_sql(limit: str) -> str:
     """CTEs from ``nt`` to ``p`` (one parsed question a row): every place of every phrase, then the rules in SQL."""
     from .functions import vocabulary as V

@@ -275,6 +275,7 @@ def _text_jobs() -> dict[str, Query]:
 
     from .operators import intents as N
     from .operators.carry_over import carry_over
+    from .plans.answers import answer
     from .sources.questions import QUESTIONS
 
     def qlog(sp, d):
@@ -322,6 +323,9 @@ def _text_jobs() -> dict[str, Query]:
     def n_carry_over(sp, d, log):
         return carry_over(parsed(sp, d, log))
 
+    def n_answers(sp, d, log):
+        return answer(parsed(sp, d, log), pipeline.survey_view(sp, d))
+
     jobs = {"n_normalise": texts, "n_measure": n_measure, "n_aggregation": n_aggregation, "n_flags": n_flags, "n_filters": n_filters,
             "n_dimensions": n_dimensions, "n_intents": n_intents, "n_carry_over": n_carry_over}
 
@@ -332,6 +336,7 @@ def _text_jobs() -> dict[str, Query]:
         **{key: on(fn, qlog) for key, fn in jobs.items()},
         # the same over the table's own texts, each with a question somewhere inside
         **{f"{key}_texts": on(fn, mixed) for key, fn in jobs.items()},
+        "n_answers": on(n_answers, qlog),
         "x_log_triage_texts": lambda sp, d: X.log_triage(B.mixed_log(sp, d, list(X.LOG_TEMPLATES))),
         "x_log_triage": lambda sp, d: X.log_triage(B.pipeline_log(sp, d, list(X.LOG_TEMPLATES))),
         "x_explain_findings": lambda sp, d: X.explain_findings(quality_results(sp, d)),
