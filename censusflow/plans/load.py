@@ -3,7 +3,8 @@
 Rows that cannot be stored never reach the table: a money label that does not convert, or a broken table
 constraint, sends the row to the reject table with its reasons. The rest is checked by the pre-load rules
 and the quality gate; a blocking finding raises before anything is published. Nothing is dropped silently:
-accepted and rejected rows must add up to the cleaned ones.
+accepted and rejected rows must add up to the cleaned ones. The table changes in one step, after the written rows were
+counted and verified.
 
 ``load_survey`` is eager: every step writes its rows, so a lost executor re-reads files, and the gate sees
 exactly what is published.
@@ -20,18 +21,18 @@ from ..operators import publish as L
 from ..operators import quality as Q
 from ..operators.clean import clean_survey
 from ..operators.transform import display_frame, flag_money, shorten_names, transform_survey
-from ..sources.artifacts import artifact_path
-from ..sources.io import publish_table
+from ..sources.artifacts import written
+from ..sources.versions import LoadCountMismatch, publish_version
 from .view import publish_projection
 
 KEY = "response_id"
 
 
 class LoadRefused(RuntimeError):
-    """The frame as a whole breaks a pre-load rule; ``problems`` has (rule, column, offending)."""
+    """The frame as a whole breaks a pre-load rule; ``problems`` has (rule, column, offending, up to five examples)."""
 
     def __init__(self, problems: list[tuple]):
-        super().__init__("the load was refused: " + "; ".join(f"{r} {c} ({n})" for r, c, n in problems))
+        super().__init__("the load was refused: " + "; ".join(f"{r} {c} ({n}{', such as ' + repr(e) if e else ''})" for r, c, n, e in problems))
         self.problems = problems
 
 
@@ -44,26 +45,32 @@ class Load:
     checks: DataFrame     # post-load verification
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = artifact_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+class VerificationFailed(RuntimeError):
+    """The table as it would be fails a check of the post-load verification; ``checks`` has their names."""
+
+    def __init__(self, checks: list[str]):
+        super().__init__(f"the written table fails: {checks}")
+        self.checks = checks
+
+
+ROW = "load_row"
 
 
 def split_rows(cleaned: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
     """(accepted display frame, rejects with ``key`` and ``reasons``) of a cleaned survey.
 
-    The parsed rows are written once, so neither side evaluates the label parser again.
+    Rows are told apart by a number that they get at the start, so repeated and null keys are split like any other. The
+    parsed rows are written once: their numbers don't change, and neither side evaluates the label parser again.
     """
-    parsed = _written(flag_money(shorten_names(cleaned)), "load-parsed")
+    parsed = written(flag_money(shorten_names(cleaned)).withColumn(ROW, F.monotonically_increasing_id()), "load-parsed")
     readable = parsed.filter("failed_columns = ''").drop("failed_columns")
-    staged = _written(display_frame(transform_survey(readable)), "load-staged")
-    broken = L.constraint_violations(L.loader_frame(staged, key), key)
-    unread = parsed.filter("failed_columns <> ''").select(key, F.concat(F.lit("money:"), "failed_columns").alias("reasons"))
-    rejected = _written(unread.unionByName(broken.select(key, F.col("violations").alias("reasons"))), "load-rejected")
-    # the key is the export's own; a null key joins nothing and stays accepted
-    accepted = staged.join(rejected.select(key).distinct(), key, "left_anti")
-    return accepted, rejected
+    staged = written(display_frame(transform_survey(readable), passthrough=(key, ROW)), "load-staged")
+    broken = L.constraint_violations(L.loader_frame(staged, ROW), ROW).select(ROW, F.col("violations").alias("reasons"))
+    broken = staged.select(key, ROW).join(broken, ROW)
+    unread = parsed.filter("failed_columns <> ''").select(key, ROW, F.concat(F.lit("money:"), "failed_columns").alias("reasons"))
+    rejected = written(unread.unionByName(broken.select(key, ROW, "reasons")), "load-rejected")
+    accepted = staged.join(rejected.select(ROW), ROW, "left_anti")
+    return accepted.drop(ROW), rejected.select(key, "reasons")
 
 
 def preload_problems(display: DataFrame, key: str = KEY) -> DataFrame:
@@ -77,30 +84,44 @@ def preload_problems(display: DataFrame, key: str = KEY) -> DataFrame:
     return out
 
 
-def load_survey(raw: DataFrame, path: str, policy: str = "report", as_of: str | None = None, expected: dict | None = None, key: str = KEY) -> Load:
-    """Load a raw export into the table at ``path``.
+def verify_with(expected: dict | None):
+    """A verification for ``publish_version``: derived columns must be consistent, and what ``expected`` names must hold."""
+    stated = {"row_count": "row_count", "usage_range": "budget_usage_pct_range", "savings_range": "savings_range", "total_range": "total_expenses_range"}
+    must = {"generated_columns_consistent", *(stated[k] for k in expected or {} if k in stated)}
+
+    def verify(table: DataFrame) -> None:
+        failed = [r["name"] for r in L.verify_load(table, expected).collect() if not r["ok"] and r["name"] in must]
+        if failed:
+            raise VerificationFailed(failed)
+    return verify
+
+
+def load_survey(raw: DataFrame, path: str, policy: str = "report", as_of: str | None = None, expected: dict | None = None, key: str = KEY,
+                append: bool = False) -> Load:
+    """Load a raw export into the table at ``path`` (``sources.versions``), replacing it or, with ``append``, adding to it.
 
     Raises ``KeyError`` for missing columns, ``LoadRefused`` for pre-load problems other than blanks in
-    optional columns (those are the gate's business), ``QualityCheckFailed`` where the gate blocks, and
-    ``LoadCountMismatch`` where rows go missing.
+    optional columns (those are the gate's business), ``QualityCheckFailed`` where the gate blocks,
+    ``LoadCountMismatch`` where rows go missing and ``VerificationFailed`` where the table as it would be is not what
+    ``expected`` says. Whatever raises, the table stays as it was.
     """
-    cleaned = _written(clean_survey(raw), "load-cleaned")
+    cleaned = written(clean_survey(raw), "load-cleaned")
     accepted, rejected = split_rows(cleaned, key)
-    accepted = _written(accepted, "load-accepted")
+    accepted = written(accepted, "load-accepted")
     absent = [c for rule, c in L.preload_columns(accepted) if rule == "missing"]
     if absent:
         raise KeyError(f"the table needs columns {absent}")
+    n_clean, n_in, n_bad = cleaned.count(), accepted.count(), rejected.count()
+    if n_in + n_bad != n_clean:
+        raise LoadCountMismatch(f"{n_clean} rows were cleaned, {n_in} accepted and {n_bad} rejected")
     # at most one row per rule and column
     problems = [tuple(r) for r in preload_problems(accepted, key).filter("rule <> 'blank'").collect()]
     if problems:
-        raise LoadRefused(problems)
-    results = _written(Q.run_quality_checks(accepted, as_of=as_of, key=key), "load-quality")
+        examples = {(r["rule"], r["column"]): r["examples"] for r in L.problem_examples(accepted, key=key).collect()}
+        raise LoadRefused([(*p, examples.get(p[:2], [])) for p in problems])
+    results = written(Q.run_quality_checks(accepted, as_of=as_of, key=key), "load-quality")
     Q.enforce_gate(results, policy)
     blocking = ["CRITICAL", "WARNING"] if policy == "strict" else ["CRITICAL"]
     alerts = [r["name"] for r in results.filter(~F.col("passed") & ~F.col("severity").isin(*blocking) & (F.col("severity") != "INFO")).select("name").collect()]
-    published = publish_table(publish_projection(accepted, key), path)
-    n_clean, n_out, n_bad = cleaned.count(), published.count(), rejected.select(key).distinct().count()
-    if n_out + n_bad != n_clean:
-        from ..sources.io import LoadCountMismatch
-        raise LoadCountMismatch(f"{n_clean} rows were cleaned, {n_out} published and {n_bad} rejected")
+    published = publish_version(publish_projection(accepted, key), path, append=append, verify=verify_with(expected), expected_rows=n_in)
     return Load(published, rejected, results, alerts, L.verify_load(published, expected))

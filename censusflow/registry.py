@@ -168,10 +168,9 @@ def _stages() -> dict[str, Query]:
     def append_by_name(spark, d):
         pub = pipeline.published(spark, d)
         path = artifact_path(spark, "students_budget_append")
-        pub.filter(F.col("student_id") % 2 == 0).write.mode("overwrite").parquet(path)
+        io.publish_table(pub.filter(F.col("student_id") % 2 == 0), path)
         odd = pub.filter(F.col("student_id") % 2 != 0)
-        io.append_by_name(odd.select(*reversed(odd.columns)), path)
-        return spark.read.parquet(path)
+        return io.append_by_name(odd.select(*reversed(odd.columns)), path)
 
     def missing_cols(spark, d):
         df = pipeline.stage4_display(spark, d).drop("Background", "Study Focus")

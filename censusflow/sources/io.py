@@ -5,20 +5,21 @@
   field into ``''`` (the loader reads blanks as text, not missing values).
 * ``write_csv``         - S4: distributed CSV write; whitespace is kept (Spark's
   writer trims by default), nothing is coalesced to one file.
-* ``publish_table``     - S5: write the typed table and verify the written row
-  count against the staged count, observed during the same write (no extra scan).
-* ``append_by_name``    - S7: append a frame into an existing table by the
-  table's own column list.
+* ``publish_table``     - S5: publish the typed table as a new version; the written row
+  count is held against the staged count, observed during the same write (no extra scan).
+* ``append_by_name``    - S7: append a frame to a published table by the
+  table's own column list, as a new version.
 * ``write_json``        - S8: JSON sink for the quality report.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col_of
+from .versions import publish_version
 
 _CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false",
               "ignoreTrailingWhiteSpace": "false", "escape": '"'}
@@ -71,35 +72,14 @@ def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return _by_header(spark, path, schema)
 
 
-class LoadCountMismatch(RuntimeError):
-    pass
-
-
 def publish_table(df: DataFrame, path: str) -> DataFrame:
-    """Write the published table; the staged row count is observed during the write.
+    """Publish ``df`` as the table at ``path``; readers see the old table until the rows are written and counted."""
+    return publish_version(df, path)
 
-    The written count is read back from the Parquet footers (no data scan); a
-    difference raises, as a partial load must never pass silently.
-    """
-    obs = Observation("publish")
-    df.observe(obs, F.count(F.lit(1)).alias("staged")).write.mode("overwrite").parquet(path)
-    staged = obs.get["staged"]
-    out = df.sparkSession.read.parquet(path)
-    written = out.count()
-    if staged != written:
-        raise LoadCountMismatch(f"staged {staged} rows but {written} were written")
-    return out
-
-
-def append_by_name(df: DataFrame, path: str) -> None:
-    """Append into an existing Parquet table using the table's column list and types."""
-    spark = df.sparkSession
-    target = spark.read.parquet(path).schema
-    missing = [f.name for f in target.fields if f.name not in df.columns]
-    if missing:
-        raise KeyError(f"frame lacks table columns: {missing}")
-    df.select(*[col_of(f.name).cast(f.dataType).alias(f.name) for f in target.fields]) \
-        .write.mode("append").parquet(path)
+
+def append_by_name(df: DataFrame, path: str, verify=None) -> DataFrame:
+    """Append to the table at ``path`` by its own column list and types; ``verify`` sees the whole table before readers do."""
+    return publish_version(df, path, append=True, verify=verify)
 
 
 def write_json(df: DataFrame, path: str) -> str:

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from censusflow.operators import quality as Q
 from censusflow.plans import pipeline
-from censusflow.plans.load import LoadRefused, load_survey, preload_problems
+from censusflow.plans.load import LoadRefused, VerificationFailed, load_survey, preload_problems, verify_with
 from censusflow.plans.view import analysis_view
 from censusflow.sources import io
+from censusflow.sources import versions as V
 from censusflow.sources.artifacts import artifact_path, materialize
 
 
@@ -43,6 +44,67 @@ def test_critical_finding_blocks(spark, raw):
     assert not os.path.exists(path)
 
 
+def _load(raw, path, **kw):
+    return load_survey(raw, path, policy="off", as_of="2026-01-01 00:00:00", **kw)
+
+
+def test_repeated_and_null_keys_are_split_by_row(spark, raw):
+    good = raw.filter("response_id >= 0").orderBy("response_id").limit(40)
+    ids = [r[0] for r in good.select("response_id").collect()]
+    label = next(c for c in raw.columns if c.strip() == "Monthly Allowance")
+    again = good.filter(F.col("response_id") == ids[0])
+    rows = good.unionByName(again).unionByName(again.withColumn(label, F.lit("about 2k"))).unionByName(
+        good.filter(F.col("response_id") == ids[1]).withColumn("response_id", F.lit(None).cast("long")).withColumn("Degree", F.lit("Diploma"))).unionByName(
+        good.filter(F.col("response_id") == ids[2]).withColumn("response_id", F.lit(None).cast("long")))
+    out = _load(rows, artifact_path(spark, "load-keys"))
+    got = sorted((r["student_id"] for r in out.published.collect()), key=lambda x: (x is None, x))
+    assert got == sorted([*ids, ids[0]]) + [None]
+    assert sorted((str(r["response_id"]), r["reasons"]) for r in out.rejected.collect()) == sorted([(str(ids[0]), "money:allowance"), ("None", "ck_students_budget_degree")])
+
+
+def test_a_failed_load_leaves_the_old_table(spark, sf_dir, raw, monkeypatch):
+    path, table = artifact_path(spark, "load-atomic"), pipeline.published_table(spark, sf_dir)
+    n = V.publish_version(table.limit(30), path).count()
+    with pytest.raises(VerificationFailed) as e:
+        _load(raw.limit(50), path, expected={"row_count": 7})
+    assert e.value.checks == ["row_count"]
+    assert V.current_version(spark, path) == 1 and V.read_version(spark, path).count() == n == 30
+    monkeypatch.setattr(V, "Observation", type("Lost", (V.Observation,), {"get": {"staged": -1}}))
+    with pytest.raises(V.LoadCountMismatch):
+        V.publish_version(table, path)
+    monkeypatch.undo()
+    with pytest.raises(V.LoadCountMismatch):
+        V.publish_version(table.limit(5), path, expected_rows=6)
+    assert V.read_version(spark, path).count() == n
+    assert V.publish_version(table.limit(20), path, append=True, verify=verify_with(None)).count() == V.manifest(spark, path)["rows"] == 50
+    broken = table.limit(5).withColumn("savings", F.col("savings") + 1)
+    with pytest.raises(VerificationFailed):
+        V.publish_version(broken, path, append=True, verify=verify_with(None))
+    assert V.rollback(spark, path, 1).count() == n and V.current_version(spark, path) == 3
+    assert V.vacuum(spark, path, keep=1) == 5 and V.read_version(spark, path).count() == n
+
+
+def test_of_two_loads_at_once_one_is_refused(spark):
+    path = artifact_path(spark, "versions")
+    V.publish_version(spark.range(3), path)
+
+    def meanwhile(_):
+        V.publish_version(spark.range(5), path)
+    with pytest.raises(V.VersionConflict):
+        V.publish_version(spark.range(9), path, verify=meanwhile)
+    assert V.read_version(spark, path).count() == 5
+    with pytest.raises(KeyError):
+        io.append_by_name(spark.range(1).withColumnRenamed("id", "x"), path)
+    assert V.read_version(spark, path, 1).count() == 3 and V.publish_version(spark.range(0), path).count() == 0
+    with pytest.raises(FileNotFoundError):
+        V.read_version(spark, artifact_path(spark, "no-such-table"))
+
+
+def test_refusals_name_examples():
+    e = LoadRefused([("domain", "Degree", 2, ["Diploma", "PhD"]), ("negative", "Food", 1, [])])
+    assert "such as ['Diploma', 'PhD']" in str(e) and "negative Food (1)" in str(e)
+
+
 def test_preload_problems_are_found(spark, sf_dir):
     from censusflow.registry import defect_frame
     rules = {r["rule"] for r in preload_problems(defect_frame(spark, sf_dir)).collect()}
