@@ -13,34 +13,38 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_class: int, salt: int) -> DataFrame:
-    """(doc_id, text, y, part): at most ``per_class`` training documents of each class, by a hash of the id.
+    """(doc_id, text, y, part, w): at most ``per_class`` training documents of each class, by a hash of the id.
 
-    ``allowed`` is a condition on doc_id. ``part`` is a second hash, to split the sample. Null labels, ids and
+    ``allowed`` is a condition on doc_id. ``part`` is a second hash, to split the sample. ``w`` is the number of allowed labels
+    that a row stands for: the sample has more of the rarer class than the table, and the weights undo that. Null labels, ids and
     texts are no training rows; an id with several labels or texts gives several rows. The ids (a proven
     bound of 2 * per_class rows) are broadcast, so the texts are scanned once and only sampled ones move.
     """
     rows = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & allowed)
     order = F.xxhash64(F.lit(salt), F.col("doc_id"))
-    pick = [rows.filter(F.col("y") == y).orderBy(order, "doc_id").limit(per_class) for y in (0, 1)]
+    total = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    weight = lambda y: F.lit(max(1.0, total.get(y, 0) / per_class))
+    pick = [rows.filter(F.col("y") == y).orderBy(order, "doc_id").limit(per_class).withColumn("w", weight(y)) for y in (0, 1)]
     ids = pick[0].unionByName(pick[1]).withColumn("part", F.pmod(F.xxhash64(F.lit(salt + 1), "doc_id"), F.lit(1000)).cast("int"))
     return docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(ids), "doc_id")
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
-    """Weights of a ridge-penalised logistic regression by damped Newton steps; x has a column of ones."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
+    """Coefficients of a ridge-penalised logistic regression of weighted rows by damped Newton steps; x has a column of ones."""
     w = np.zeros(x.shape[1])
+    share = weight / weight.mean()
     penalty = np.full(x.shape[1], ridge)
     penalty[0] = 1e-6
 
     def loss(v: np.ndarray) -> float:
         z = x @ v
-        return float((np.logaddexp(0, z) - y * z).sum() + (penalty * v * v).sum() / 2)
+        return float((share * (np.logaddexp(0, z) - y * z)).sum() + (penalty * v * v).sum() / 2)
 
     now = loss(w)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + penalty * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        grad = x.T @ (share * (p - y)) + penalty * w
+        hess = (x * (share * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(hess + 1e-9 * np.eye(len(w)), grad)
         size = 1.0
         while size > 1e-6 and loss(w - size * step) > now:

@@ -41,13 +41,13 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Spans:
-    """Hashes of byte spans of one buffer."""
+    """Hashes of spans of one sequence: of bytes, or of words given by their 64-bit hashes."""
 
-    def __init__(self, buf: np.ndarray):
-        n = len(buf)
+    def __init__(self, items: np.ndarray):
+        n = len(items)
         up, self.down = _powers(n + 1)
         self.run = np.zeros(n + 1, np.uint64)
-        np.cumsum(_CODES[buf] * up[:n], out=self.run[1:])
+        np.cumsum((_CODES[items] if items.dtype == np.uint8 else items) * up[:n], out=self.run[1:])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Mixed 64-bit hashes of the spans [start, end)."""

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .graph import components
-from .util import binary_array, bloom_has, bloom_words, discard, list_array, materialize_narrow, row_slices, string_buffer
+from .util import binary_array, bloom_has, bloom_words, discard, list_array, materialize, materialize_narrow, row_slices, string_buffer
 
 TILE, LEAF, FEW, POINT_TILE = 384, 16, 16, 4096
 _GROUP_BITS = np.uint64(16)
@@ -233,21 +233,24 @@ def _over_sets(n: int, run):
     return over
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int = 10) -> DataFrame:
+def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int = 10, row_keys: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row: rows link when ``den * |a & b| >= num * |a | b|``.
 
+    With ``row_keys`` also text_key, the text's xxhash64, and group_key, one value for each component: ids may repeat with other texts.
+
     Words are split at ASCII white space and A-Z is lower-cased. component_id is the smallest doc_id that
     links reach, the row's own included. A null or empty text has no shingles and links with nothing; a null
     doc_id is no partner and has a null component_id. Rows that repeat a doc_id are one document each with
-    that id. Other columns are not read.
+    that id. Very long texts are read whole, in slices of their own; a text's set is one row. An empty table gives no
+    rows. Other columns are not read.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
 
     def size(batch, g, counts, seen):
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(set_ids(g, counts)), binary_array(*folded_points(g, counts))],
-                                          ["doc_id", "n_shingles", "sig", "point"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(set_ids(g, counts)), binary_array(*folded_points(g, counts)), batch.column("text_key")],
+                                          ["doc_id", "n_shingles", "sig", "point", "text_key"])
 
-    seen = materialize_narrow(docs.mapInArrow(_over_sets(shingle, size), "doc_id long, n_shingles long, sig long, point binary"), "sets")
+    seen = materialize(docs.mapInArrow(_over_sets(shingle, size), "doc_id long, n_shingles long, sig long, point binary, text_key long"), "sets")
     held = seen.filter("n_shingles > 0 and doc_id is not null")
     classes = materialize_narrow(held.groupBy("sig").agg(F.min(F.struct("doc_id", "n_shingles", "point")).alias("r"))
                                  .select("sig", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), "r.point"), "classes")
@@ -271,7 +274,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int
     before = F.collect_list("sig").over(under.rowsBetween(1 - FEW, -1))
     met = rows.select("sig", (F.col("k") <= FEW).alias("few"), F.when(F.col("k") <= FEW, before).otherwise(F.array(pivot)).alias("a"))
     met = met.select(F.explode("a").alias("a"), F.col("sig").alias("b"), "few").filter("a <> b").groupBy("a", "b").agg(F.min("few").alias("few"))
-    met = materialize_narrow(met, "met")
+    met = materialize(met, "met")
 
     def weigh(it):
         for batch in it:
@@ -298,7 +301,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int
         a, b = (np.array(x, np.int64) for x in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
         return pa.table({"a": sig[a], "b": sig[b]})
 
-    parts = components(materialize_narrow(large.groupBy("comp", "i", "j").applyInArrow(apart, "a long, b long"), "near-points"), "parts")
+    parts = components(materialize(large.groupBy("comp", "i", "j").applyInArrow(apart, "a long, b long"), "near-points"), "parts")
     small = clusters.join(sizes.filter(F.col("c") <= TILE).select("comp"), "comp", "left_semi").select("sig", "comp")
     whole = materialize_narrow(small.unionByName(parts.select(F.col("node").alias("sig"), "comp")), "clusters")
     for old in (met, clusters, sizes):
@@ -331,14 +334,15 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int
         a, b = (np.array(x, np.int64) for x in zip(*links)) if links else (np.empty(0, np.int64), np.empty(0, np.int64))
         return pa.table({"a": sig[a], "b": sig[b]})
 
-    links = materialize_narrow(placed.groupBy("comp", "i", "j").applyInArrow(tile, "a long, b long"), "links")
+    links = materialize(placed.groupBy("comp", "i", "j").applyInArrow(tile, "a long, b long"), "links")
     groups = components(links, "groups").withColumnRenamed("node", "sig").join(classes.select("sig", "rep"), "sig")
     low = materialize_narrow(groups.groupBy("comp").agg(F.min("rep").alias("low")), "group-ids")
-    linked = materialize_narrow(groups.join(low, "comp").select("sig", "low"), "groups")
-    of = materialize_narrow(classes.select("sig", "rep").join(linked, "sig", "left").select("sig", F.coalesce("low", "rep").alias("component_id")), "class-ids")
+    linked = materialize_narrow(groups.join(low, "comp").select("sig", "low", "comp"), "groups")
+    of = materialize_narrow(classes.select("sig", "rep").join(linked, "sig", "left").select(
+        "sig", F.coalesce("low", "rep").alias("component_id"), F.coalesce("comp", "sig").alias("group_key")), "class-ids")
     for old in (members, links, clusters):
         discard(old)
-    linked = held.select("doc_id", "n_shingles", "sig").join(of, "sig").select("doc_id", "n_shingles", "component_id")
-    alone = seen.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone)
+    columns = ["doc_id", "n_shingles", "component_id", *(["text_key", "group_key"] if row_keys else [])]
+    alone = seen.filter("n_shingles = 0 or doc_id is null").withColumns({"component_id": F.col("doc_id"), "group_key": F.lit(None).cast("long")})
+    return held.join(of, "sig").select(columns).unionByName(alone.select(columns))
 

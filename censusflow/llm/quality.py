@@ -69,7 +69,10 @@ def _dictionary(pieces: list[bytes]) -> bytes:
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "quality", per_class: int = SAMPLE) -> QualityModel:
-    """Fit on labelled rows whose doc_id meets ``allowed``. Without a class's texts its dictionary is empty."""
+    """Fit on labelled rows whose doc_id meets ``allowed``. Without a class's texts its dictionary is empty.
+
+    The calibration weights the sample's rows by the counted totals of the classes, so that 0.5 means the same at any size.
+    """
     sample = materialize(labelled(docs, labels, label, allowed, per_class, 11), "quality-sample")
 
     def cut(it):
@@ -94,13 +97,13 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "quali
         sizes = _Sizes(good, bad)
         for batch in it:
             s = sizes(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("y"), *(pa.array(s[:, k]) for k in range(3))], ["y", "n", "good", "bad"])
+            yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("w"), *(pa.array(s[:, k]) for k in range(3))], ["y", "w", "n", "good", "bad"])
 
-    rows = sample.filter("part >= 600").select("y", "text").mapInArrow(measure, "y int, n long, good long, bad long").collect()
+    rows = sample.filter("part >= 600").select("y", "w", "text").mapInArrow(measure, "y int, w double, n long, good long, bad long").collect()
     rows.sort()
-    x, y = _features(np.array([r[1:] for r in rows], float).reshape(-1, 3)), np.array([r[0] for r in rows], float)
+    x, y, w = _features(np.array([r[2:] for r in rows], float).reshape(-1, 3)), np.array([r[0] for r in rows], float), np.array([r[1] for r in rows], float)
     mean, scale = (x.mean(axis=0), x.std(axis=0) + 1e-9) if len(x) else (np.zeros(8), np.ones(8))
-    weights = logistic(np.c_[np.ones(len(x)), (x - mean) / scale], y) if len(x) else np.zeros(9)
+    weights = logistic(np.c_[np.ones(len(x)), (x - mean) / scale], y, w) if len(x) else np.zeros(9)
     return QualityModel(good, bad, mean, scale, weights)
 
 
@@ -118,7 +121,11 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted): rows with crc32(doc_id) mod 3 = 1 are held out of the fit."""
+    """(doc_id, held_out, score, predicted): rows with crc32(doc_id) mod 3 = 1 are held out of the fit.
+
+    Null and empty texts are scored as empty ones; a null id counts as the empty text in the fold; repeated rows each get a row;
+    texts of any length are compressed whole; an empty table gives no rows. Other columns are not read.
+    """
     model = fit(docs, labels, id_remainder(F.col("doc_id"), 3) != 1)
     return score(docs, model).select(
         "doc_id", (id_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -1,7 +1,8 @@
 """Toxicity: gradient-boosted trees over dense text features, calibrated by isotonic regression.
 
-The lexicon (words and word beginnings with their log-odds) is learned from one part of a bounded sample of
-the training rows, the trees from a second and the calibration from a third. Features: lexicon densities
+The lexicon (words and word beginnings with their log-odds), the trees and the calibration are learned from a bounded
+sample of the training rows, weighted by the counted totals of the classes; two folds keep the features and scores that the next
+step learns from apart from the labels behind them. Features: lexicon densities
 (as written and after undoing look-alike characters), the nearness of second-person words to lexicon words,
 and the rates of capitals, punctuation and obfuscated words. Trees and calibration are Spark ML's.
 """
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,31 +196,44 @@ class ToxicityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "toxic", per_class: int = SAMPLE) -> ToxicityModel:
-    """Fit on labelled rows whose doc_id meets ``allowed``; with one class only, the score is its rate."""
-    sample = materialize(labelled(docs, labels, label, allowed, per_class, 29), "toxicity-sample")
-    n = {(r["k"], r["y"]): r["count"] for r in sample.groupBy((F.col("part") >= 500).cast("int").alias("k"), "y").count().collect()}
-    per_y = [n.get((0, y), 0) + n.get((1, y), 0) for y in (0, 1)]
-    if not all(per_y):
-        return ToxicityModel(Lexicon(), None, None, per_y[1] / max(sum(per_y), 1))
-    # too few rows to divide: all parts see all of them
-    few = min(per_y) < 200
-    part = lambda a, b: sample if few else sample.filter(F.col("part").between(a, b))
-    lexicon = learn_lexicon(part(0, 499))
-    rows = _with_features(part(500, 999).select("text", "part", F.col("y").cast("double").alias("y")), "text", lexicon, "f").drop("text")
+    """Fit on labelled rows whose doc_id meets ``allowed``; with fewer than two rows of a class, the score is the class's share.
+
+    The sample is dealt into two folds, each with half of either class. A fold's features use the lexicon of the other one,
+    and its rows are scored for the calibration by trees fitted on the other one: nothing is calibrated on rows that it
+    was fitted on, whatever the size. The final lexicon and trees see both folds. Rows weigh what they stand for.
+    """
+    sample = labelled(docs, labels, label, allowed, per_class, 29)
+    fold = F.row_number().over(Window.partitionBy("y").orderBy("part", "doc_id", F.xxhash64("text"))) % 2
+    sample = materialize(sample.withColumn("fold", fold.cast("int")), "toxicity-sample")
+    counts = {r["y"]: r for r in sample.groupBy("y").agg(F.count("*").alias("n"), F.sum("w").alias("w")).collect()}
+    if any(y not in counts or counts[y]["n"] < 2 for y in (0, 1)):
+        total = sum(r["w"] for r in counts.values())
+        return ToxicityModel(Lexicon(), None, None, counts[1]["w"] / total if 1 in counts else 0.0)
+    other = [learn_lexicon(sample.filter(F.col("fold") == 1 - k)) for k in (0, 1)]
+    rows = None
+    for k in (0, 1):
+        part = sample.filter(F.col("fold") == k).select("text", "fold", "w", F.col("y").cast("double").alias("y"))
+        part = _with_features(part, "text", other[k], "f").drop("text")
+        rows = part if rows is None else rows.unionByName(part)
     rows = materialize(rows.coalesce(4).withColumn("_tox_x", array_to_vector("f")).drop("f"), "toxicity-rows")
-    trees = GBTClassifier(featuresCol="_tox_x", labelCol="y", predictionCol="_tox_k", maxIter=20, maxDepth=4, maxBins=32, stepSize=0.2, seed=7, checkpointInterval=-1)
-    trees = trees.setProbabilityCol("_tox_y").setRawPredictionCol("_tox_r").fit(rows if few else rows.filter("part < 800"))
-    calibration = None
-    if not few:
-        held = trees.transform(rows.filter("part >= 800")).withColumn("_tox_p", vector_to_array("_tox_y")[1])
-        calibration = IsotonicRegression(featuresCol="_tox_p", labelCol="y", predictionCol="_tox_s").fit(held)
-    return ToxicityModel(lexicon, trees, calibration, 0.0)
+
+    def trees(df: DataFrame) -> GBTClassificationModel:
+        g = GBTClassifier(featuresCol="_tox_x", labelCol="y", predictionCol="_tox_k", weightCol="w", maxIter=20, maxDepth=4, maxBins=32, stepSize=0.2, seed=7, checkpointInterval=-1)
+        return g.setProbabilityCol("_tox_y").setRawPredictionCol("_tox_r").fit(df)
+
+    held = None
+    for k in (0, 1):
+        part = trees(rows.filter(F.col("fold") != k)).transform(rows.filter(F.col("fold") == k)).select("y", "w", vector_to_array("_tox_y")[1].alias("_tox_p"))
+        held = part if held is None else held.unionByName(part)
+    calibration = IsotonicRegression(featuresCol="_tox_p", labelCol="y", weightCol="w", predictionCol="_tox_s").fit(held)
+    return ToxicityModel(learn_lexicon(sample), trees(rows), calibration, 0.0)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row: rows with crc32(doc_id) mod 5 = 0 are held out of the fit.
 
-    Null and empty texts are scored as texts without words; repeated rows each get a row.
+    Null and empty texts are scored as texts without words; repeated rows each get a row; texts of any length are read
+    whole, in slices of their own; an empty table gives no rows. Other columns are not read.
     """
     model = fit(docs, labels, id_remainder(F.col("doc_id"), 5) != 0)
     out = model.transform(docs.select("doc_id", "text"), "text", "score")

@@ -30,12 +30,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
     with _shuffles_freed(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
 
 
 def materialize_narrow(df: DataFrame, name: str) -> DataFrame:
-    """``materialize`` for rows of a few numbers: one file per core is enough. Coalescing never adds tasks."""
-    return materialize(df.coalesce(df.sparkSession.sparkContext.defaultParallelism), name)
+    """``materialize`` for what a join or aggregation makes of rows of a few numbers: files for a quarter of the session's
+    shuffle partitions, which grow with the data. Not for what stands behind a pass over texts or tiles: a coalesce
+    takes everything up to the last shuffle into its tasks. Coalescing never adds tasks."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) // 4
+    return materialize(df.coalesce(max(parts, spark.sparkContext.defaultParallelism)), name)
 
 
 _FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -54,10 +60,8 @@ def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
 
 def discard(df: DataFrame) -> None:
     """Delete a materialized intermediate that no later step reads."""
-    jvm = df.sparkSession._jvm
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+    at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+    at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,15 +104,22 @@ except (OSError, AttributeError):
     _TRIM = None
 
 
-BLOOM_BITS = 24
+#: Bits of a Bloom filter: at least and at most (128 MB).
+BLOOM_LEAST, BLOOM_MOST = 20, 30
+
+
+def bloom_bits(n: int) -> int:
+    """Eight bits or more for each of ``n`` values, up to ``BLOOM_MOST``."""
+    return min(max((8 * n - 1).bit_length() if n else 0, BLOOM_LEAST), BLOOM_MOST)
 
 
-def bloom_words(df: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray:
-    """A one-hash Bloom filter of the long column: 2**bits bits, whatever the number of rows.
+def bloom_words(df: DataFrame, column: str) -> np.ndarray:
+    """A one-hash Bloom filter of the long column, sized by the number of rows.
 
-    Built by a distributed bitwise OR; at most 2**(bits - 6) words (2 MB at 24 bits) reach the driver.
-    A full filter only lets more rows through; the join behind it stays exact.
+    Built by a distributed bitwise OR; an eighth of its bits in bytes reach the driver (``BLOOM_MOST`` bounds them).
+    Beyond that it fills and lets more rows through; the join behind it stays exact.
     """
+    bits = bloom_bits(df.count())
     rows = df.select(F.expr(f"shiftrightunsigned({column}, {64 - bits + 6})").alias("w"),
                      F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - bits}) & 63 as int))").alias("b"))
     got = rows.groupBy("w").agg(F.bit_or("b").alias("b")).collect()
@@ -118,7 +129,8 @@ def bloom_words(df: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarra
     return out
 
 
-def bloom_has(words: np.ndarray, h: np.ndarray, bits: int = BLOOM_BITS) -> np.ndarray:
+def bloom_has(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    bits = len(words).bit_length() + 5
     pos = h.view(np.uint64) >> np.uint64(64 - bits)
     return ((words[pos >> np.uint64(6)] >> (pos & np.uint64(63))) & np.uint64(1)).astype(bool)
 

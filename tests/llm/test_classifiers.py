@@ -70,5 +70,11 @@ def test_isotonic_and_logistic():
     assert (np.diff(means) > 0).all() and means[0] == 0 and means[-1] == 1
     rng = np.random.default_rng(0)
     z = rng.normal(size=(2000, 1))
-    w = logistic(np.c_[np.ones(2000), z], (rng.random(2000) < 1 / (1 + np.exp(-2 * z[:, 0]))).astype(float))
+    w = logistic(np.c_[np.ones(2000), z], (rng.random(2000) < 1 / (1 + np.exp(-2 * z[:, 0]))).astype(float), np.ones(2000))
     assert abs(w[1] - 2) < 0.3
+    # a sample with every tenth row of a class, weighted by ten, has the whole table's intercept
+    y = (rng.random(2000) < 1 / (1 + np.exp(-z[:, 0] + 1))).astype(float)
+    rare = (y == 1) | (np.arange(2000) % 10 == 0)
+    full = logistic(np.c_[np.ones(2000), z], y, np.ones(2000))
+    part = logistic(np.c_[np.ones(rare.sum()), z[rare]], y[rare], np.where(y[rare] == 1, 1.0, 10.0))
+    assert abs(part[0] - full[0]) < 0.5 < abs(logistic(np.c_[np.ones(rare.sum()), z[rare]], y[rare], np.ones(rare.sum()))[0] - full[0])

@@ -33,6 +33,7 @@ def test_run_is_the_stages_in_order(spark):
 
 def test_toxic_documents_go(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    d = d.unionByName(spark.createDataFrame([(10**6, None, "en", "s", 0), (10**6 + 1, "", "en", "s", 0), (10**6 + 1, "", "en", "s", 0)], d.schema))
     labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
     kept = set(texts(P.drop_toxic(spark, d, "/root/testdata/sf0.01")))
     toxic, clean = [i for i, y in labels.items() if y], [i for i, y in labels.items() if not y]
@@ -73,3 +74,19 @@ def test_packing_keeps_all_ids(spark):
     rows = [(i, "some words " * (i * 50)) for i in range(20)] + [(99, None)]
     out = P.packed(spark, docs(spark, rows), DATA).collect()
     assert sum(r.length for r in out) == sum(len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows)
+
+
+def test_a_row_is_its_id_and_its_text(spark):
+    """Of equal rows one stays; another text under a copy's id stays; ids of copies may repeat."""
+    base = [f"w{k * 31 % 997}" for k in range(200)]
+    text, near, other = " ".join(base), " ".join(base[:-1] + ["changed"]), "a text of its own that nobody else has written down"
+    rows = [(1, text), (1, text), (5, near), (5, other), (7, other + " but longer by quite a few words than the one before it"), (None, text), (None, text), (8, None), (8, None)]
+    out = sorted(((r.doc_id, r.text) for r in P.drop_near_copies(spark, docs(spark, rows), DATA).collect()), key=repr)
+    assert out == sorted([(1, text), (5, other), rows[4], (None, text), (None, text), (8, None), (8, None)], key=repr)
+
+
+def test_empty_tables_and_own_columns(spark):
+    none = docs(spark, []).withColumn("_row", P.F.lit(1)).withColumn("score", P.F.lit("x"))
+    for name, stage in P.STAGES[1:-1]:
+        out = stage(spark, none, DATA)
+        assert out.columns == none.columns and out.count() == 0, name
