@@ -563,13 +563,25 @@ _LOG_ORACLE = (
     ("division by zero", "empty denominator", "a ratio was taken over nothing", "filter such groups, or return null for them", "WARNING"),
     ("dry run complete", "rehearsal only", "the run was asked not to write", "run it again without that option to load", "INFO"),
 )
-# Titles of the checks that fail on the defect fixture.
+# Title, cause and fix of the checks that fail on the defect fixture.
 _CHECK_ORACLE = {
-    "no_nulls": "required cell empty", "domain": "answer not on the list", "money_numeric": "amount is text", "non_negative": "amount below zero",
-    "integral": "amount with decimals", "total_expenses_reconciles": "total does not add up", "savings_consistency": "savings do not follow",
-    "budget_usage_range": "usage out of bounds", "exact_duplicate_rows": "row occurs again", "duplicate_name_and_timestamp": "one answer sent twice",
-    "repeated_student_name": "name occurs again", "outliers": "unusual amounts", "timestamp_parseable": "unknown time format",
-    "timestamp_not_future": "time after now", "timestamp_span_sane": "long period", "cross_field_consistency": "answers contradict", "populated": "optional cell empty",
+    "no_nulls": ("required cell empty", "an answer was skipped or cleared", "fill it from the form or reject the row"),
+    "populated": ("optional cell empty", "the question may be skipped", "nothing, unless a report needs the column"),
+    "domain": ("answer not on the list", "a new option or a spelling", "map it to an option or extend the list"),
+    "money_numeric": ("amount is text", "a label was not converted", "teach the converter that label"),
+    "non_negative": ("amount below zero", "a sign slipped in", "correct the amount"),
+    "integral": ("amount with decimals", "the value is not a bucket midpoint", "trace where it came from"),
+    "total_expenses_reconciles": ("total does not add up", "a part was changed afterwards", "derive the total again"),
+    "savings_consistency": ("savings do not follow", "allowance or total was changed afterwards", "derive the savings again"),
+    "budget_usage_range": ("usage out of bounds", "the ratio was taken of wrong amounts", "derive the usage again"),
+    "exact_duplicate_rows": ("row occurs again", "a file was read twice", "drop the repeated rows"),
+    "duplicate_name_and_timestamp": ("one answer sent twice", "the form was submitted again at once", "keep one of the rows"),
+    "repeated_student_name": ("name occurs again", "namesakes or repeated answers", "compare the other columns"),
+    "outliers": ("unusual amounts", "real extremes or typing errors", "look at the largest and smallest"),
+    "timestamp_parseable": ("unknown time format", "the export's locale differs", "add the format or reformat the column"),
+    "timestamp_not_future": ("time after now", "a clock or a year is wrong", "correct the time"),
+    "timestamp_span_sane": ("long period", "answers of two surveys are mixed", "separate them by date"),
+    "cross_field_consistency": ("answers contradict", "the app question is asked of everybody", "decide which answer counts"),
 }
 
 
@@ -599,10 +611,10 @@ lg AS (SELECT conv_id * 1000 + turn AS line_id, TIMESTAMP '2024-01-01 00:00:00'
 {found}"""
     keys = sorted(_CHECK_ORACLE, key=len, reverse=True)
     match = "CASE " + " ".join(f"WHEN starts_with(name, {_sq(k)}) THEN {_sq(k)}" for k in keys) + " END"
-    ttl = "CASE matched_key " + " ".join(f"WHEN {_sq(k)} THEN {_sq(v)}" for k, v in _CHECK_ORACLE.items()) + " END"
+    note = lambda i: "CASE matched_key " + " ".join(f"WHEN {_sq(k)} THEN {_sq(v[i])}" for k, v in _CHECK_ORACLE.items()) + " END"
     rep = quality_sql()["quality_report"]
     q["x_explain_findings"] = rep.replace("SELECT * FROM rep", f"""SELECT name, severity, matched_key,
-  coalesce({ttl}, 'unrecognised check ' || chr(39) || name || chr(39)) AS title, offending
+  {note(1)} AS cause, {note(2)} AS fix, coalesce({note(0)}, 'unrecognised check ' || chr(39) || name || chr(39)) AS title, offending
 FROM (SELECT *, {match} AS matched_key FROM rep WHERE NOT passed AND severity <> 'SKIPPED') p""")
     return q
 

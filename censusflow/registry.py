@@ -338,7 +338,7 @@ def _text_jobs() -> dict[str, Query]:
         "n_answers": on(n_answers, qlog),
         "x_log_triage_texts": lambda sp, d: X.log_triage(B.mixed_log(sp, d, list(X.LOG_TEMPLATES))),
         "x_log_triage": lambda sp, d: X.log_triage(B.pipeline_log(sp, d, list(X.LOG_TEMPLATES))),
-        "x_explain_findings": lambda sp, d: X.explain_findings(quality_results(sp, d)),
+        "x_explain_findings": lambda sp, d: X.explain_findings(quality_results(sp, d)).drop("evidence"),
     }
 
 
