@@ -444,6 +444,17 @@ SELECT 'specialization_cardinality' AS name, 'anomaly' AS category, 'INFO' AS se
     every = [x for k, v in g.items() for x in v]
     report = DEFECTS_CTE + ", rep AS (\n" + "\nUNION ALL\n".join(every) + "\n)\n"
     out["quality_report"] = with_view(report + "SELECT * FROM rep")
+    out["quality_report_merged"] = out["quality_report"]
+    own = DEFECTS_CTE + ", rep AS (\n" + "\nUNION ALL\n".join(g["dq_row_count"] + g["dq_no_nulls"]) + "\n)\n"
+    beyond = "count(*) FILTER (WHERE food > allowance)"
+    out["quality_report_own"] = with_view(own + f"""SELECT name, category, severity, passed, offending FROM rep UNION ALL
+""" + _res("food_beyond_allowance", "own", "'WARNING'", f"{beyond} = 0", beyond))
+    out["quality_report_json"] = with_view(report + """, s AS (SELECT (SELECT count(*) FROM dd) AS row_count,
+  count(*) FILTER (WHERE NOT passed AND severity IN ('CRITICAL', 'WARNING')) = 0 AS report_passed, count(*) AS results,
+  count(*) FILTER (WHERE NOT passed AND severity = 'CRITICAL') AS critical, count(*) FILTER (WHERE NOT passed AND severity = 'WARNING') AS warning,
+  count(*) FILTER (WHERE NOT passed AND severity = 'INFO') AS info, count(*) FILTER (WHERE severity = 'SKIPPED') AS skipped FROM rep)
+SELECT s.row_count, 'strict' AS policy, s.report_passed, s.results, s.critical, s.warning, s.info, s.skipped,
+  rep.name, rep.category, rep.severity, rep.passed, rep.offending FROM rep, s""")
     out["quality_summary"] = with_view(report + """SELECT count(*) AS total,
   count(*) FILTER (WHERE passed) AS passed,
   count(*) FILTER (WHERE severity = 'SKIPPED') AS skipped,

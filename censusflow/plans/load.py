@@ -12,17 +12,20 @@ exactly what is published.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import gate_state as G
 from ..operators import publish as L
 from ..operators import quality as Q
 from ..operators.clean import clean_survey
 from ..operators.transform import display_frame, flag_money, shorten_names, transform_survey
-from ..sources.artifacts import written
-from ..sources.versions import LoadCountMismatch, publish_version
+from ..sources.artifacts import artifact_path, written
+from ..sources.versions import LoadCountMismatch, current_version, manifest, publish_version
 from .view import publish_projection
 
 KEY = "response_id"
@@ -54,6 +57,8 @@ class VerificationFailed(RuntimeError):
 
 
 ROW = "load_row"
+#: Folder beside a table's parts, and name in its manifests, of the states of its loads' checks.
+GATE = "gate"
 
 
 def split_rows(cleaned: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
@@ -97,14 +102,19 @@ def verify_with(expected: dict | None):
 
 
 def load_survey(raw: DataFrame, path: str, policy: str = "report", as_of: str | None = None, expected: dict | None = None, key: str = KEY,
-                append: bool = False) -> Load:
+                append: bool = False, own: Iterable[Q.OwnCheck] = ()) -> Load:
     """Load a raw export into the table at ``path`` (``sources.versions``), replacing it or, with ``append``, adding to it.
 
     Raises ``KeyError`` for missing columns, ``LoadRefused`` for pre-load problems other than blanks in
     optional columns (those are the gate's business), ``QualityCheckFailed`` where the gate blocks,
     ``LoadCountMismatch`` where rows go missing and ``VerificationFailed`` where the table as it would be is not what
     ``expected`` says. Whatever raises, the table stays as it was.
+
+    Each load leaves the state of its checks (``operators.gate_state``) beside the table, and the gate judges an append
+    over all rows by the states of the table's loads. Rows that came into the table otherwise have no state and are not seen. ``own`` are the
+    caller's checks; all loads of a table must have the same.
     """
+    own = tuple(own)
     cleaned = written(clean_survey(raw), "load-cleaned")
     accepted, rejected = split_rows(cleaned, key)
     accepted = written(accepted, "load-accepted")
@@ -119,9 +129,16 @@ def load_survey(raw: DataFrame, path: str, policy: str = "report", as_of: str |
     if problems:
         examples = {(r["rule"], r["column"]): r["examples"] for r in L.problem_examples(accepted, key=key).collect()}
         raise LoadRefused([(*p, examples.get(p[:2], [])) for p in problems])
-    results = written(Q.run_quality_checks(accepted, as_of=as_of, key=key), "load-quality")
+    spark = accepted.sparkSession
+    state = G.read_states(spark, [G.write_state(G.gate_state(accepted, as_of, key=key, own=own), artifact_path(spark, "load-gate"))])
+    number = current_version(spark, path) if append else 0
+    before = manifest(spark, path, number).get("notes", {}).get(GATE, []) if number else []
+    every = G.union_states([G.read_states(spark, [f"{path.rstrip('/')}/{x}" for x in before]), state]) if before else state
+    results = written(G.state_findings(every, as_of, own=own), "load-quality")
     Q.enforce_gate(results, policy)
     blocking = ["CRITICAL", "WARNING"] if policy == "strict" else ["CRITICAL"]
     alerts = [r["name"] for r in results.filter(~F.col("passed") & ~F.col("severity").isin(*blocking) & (F.col("severity") != "INFO")).select("name").collect()]
-    published = publish_version(publish_projection(accepted, key), path, append=append, verify=verify_with(expected), expected_rows=n_in)
+    kept = f"{GATE}/{uuid.uuid4().hex}"
+    G.write_state(state, f"{path.rstrip('/')}/{kept}")
+    published = publish_version(publish_projection(accepted, key), path, append=append, verify=verify_with(expected), expected_rows=n_in, notes={GATE: [kept]})
     return Load(published, rejected, results, alerts, L.verify_load(published, expected))

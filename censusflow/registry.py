@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from . import oracle
 from .plans import pipeline
-from .operators import quality
+from .operators import gate_state, quality
 from .plans import metrics as M
 from .plans.reports import REPORTS
-from .sources.artifacts import materialize
+from .sources.artifacts import artifact_path, materialize
 from .sources.binding import survey_defects
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,29 @@ def quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(lambda: quality.run_quality_checks(defect_frame(spark, sf_dir), as_of=AS_OF), "quality_results", sf_dir, spark=spark)
 
 
+def food_beyond_allowance() -> quality.OwnCheck:
+    """A caller's check: food alone costs more than the allowance."""
+    def states(f: DataFrame):
+        food, allowance = (F.col(c).try_cast("double") for c in ("Food", "Allowance"))
+        return {"n": (F.count(F.when(food > allowance, 1)), "sum"), "most": (F.max(F.when(food > allowance, food - allowance)), "max")}
+
+    def findings(s):
+        yield quality.Finding("food_beyond_allowance", "own", "WARNING", s["n"] == 0, F.format_string("rows: %d, by up to %s", s["n"], s["most"].cast("string")), s["n"])
+    return quality.OwnCheck("food_beyond_allowance", states, findings)
+
+
+def _own_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run_quality_checks(defect_frame(spark, sf_dir), as_of=AS_OF, checks=["row_count", "no_nulls"], examples=False,
+                                      own=[food_beyond_allowance()]).select(*quality.COMPARED_COLUMNS)
+
+
+def _merged_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from the written states of three loads (dealt by a hash of the key)."""
+    df, part = defect_frame(spark, sf_dir), F.pmod(F.xxhash64("response_id"), F.lit(3))
+    paths = [gate_state.write_state(gate_state.gate_state(df.filter(part == i), AS_OF), artifact_path(spark, "gate-state")) for i in range(3)]
+    return gate_state.state_findings(gate_state.read_states(spark, paths), AS_OF, examples=False).select(*quality.COMPARED_COLUMNS)
+
+
 def _quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_results(spark, sf_dir).select(*quality.COMPARED_COLUMNS)
 
@@ -93,6 +116,8 @@ def registered_queries() -> dict[str, Query]:
     q.update(_stages())
     q.update(_text_jobs())
     q["quality_report"] = _quality_report
+    q["quality_report_own"] = _own_report
+    q["quality_report_merged"] = _merged_report
     q["quality_summary"] = _quality_summary
     q["quality_gate"] = _quality_gate
     return q
@@ -220,7 +245,9 @@ def _stages() -> dict[str, Query]:
     def report_json(spark, d):
         report = io.report_envelope(quality_results(spark, d), defect_frame(spark, d).agg(F.count(F.lit(1)).alias("n")), "strict")
         path = io.write_json(report, artifact_path(spark, "quality_report_json"))
-        return spark.read.json(path)
+        back = spark.read.json(path).select("row_count", "policy", F.col("passed").alias("report_passed"), "summary.*", F.explode("results").alias("r"))
+        return back.select("row_count", "policy", "report_passed", F.col("total").alias("results"), "critical", "warning", "info", "skipped",
+                           *[f"r.{c}" for c in quality.COMPARED_COLUMNS])
 
     return {
         "scan_raw": scan_raw,
@@ -342,7 +369,7 @@ def _text_jobs() -> dict[str, Query]:
     }
 
 
-ROWS_ONLY = {"dq_columns", "quality_report_json"}
+ROWS_ONLY = {"dq_columns"}
 
 
 def oracle_queries() -> dict[str, str]:

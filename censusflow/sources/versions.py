@@ -83,12 +83,13 @@ def read_version(spark: SparkSession, path: str, number: int | None = None) -> D
 
 
 def publish_version(df: DataFrame, path: str, append: bool = False, verify: Callable[[DataFrame], None] | None = None,
-                    expected_rows: int | None = None) -> DataFrame:
+                    expected_rows: int | None = None, notes: dict[str, list] | None = None) -> DataFrame:
     """Write ``df`` as the next version of the table (with ``append``: after the current parts) and return that version.
 
     The rows are counted while they are written and again in the part's footers; ``expected_rows`` is compared with both.
     ``verify`` gets the whole table as it would be and raises to refuse it. An append takes the table's columns by
-    name and casts them to its types. Nothing that raises changes what readers see.
+    name and casts them to its types. ``notes`` are lists kept in the manifest under their names; an append's follow the
+    table's. Nothing that raises changes what readers see.
     """
     spark, base = df.sparkSession, current_version(df.sparkSession, path)
     before = manifest(spark, path, base) if base else {"parts": [], "rows": 0}
@@ -109,7 +110,9 @@ def publish_version(df: DataFrame, path: str, append: bool = False, verify: Call
     schema = df.schema
     if verify is not None:
         verify(spark.read.schema(schema).parquet(*[f"{path.rstrip('/')}/{p}" for p in parts]))
-    _commit(spark, path, base + 1, {"version": base + 1, "parent": base, "rows": rows, "parts": parts, "schema": json.loads(schema.json())})
+    noted = dict(before.get("notes", {})) if append else {}
+    noted |= {k: noted.get(k, []) + v for k, v in (notes or {}).items()}
+    _commit(spark, path, base + 1, {"version": base + 1, "parent": base, "rows": rows, "parts": parts, "schema": json.loads(schema.json()), "notes": noted})
     return read_version(spark, path, base + 1)
 
 
@@ -121,11 +124,14 @@ def rollback(spark: SparkSession, path: str, number: int) -> DataFrame:
 
 
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
-    """Delete the parts that none of the newest ``keep`` versions names; how many. Not to be run beside a load."""
+    """Delete the parts (and noted folders) that none of the newest ``keep`` versions names; how many. Not to be run beside a load."""
     newest = current_version(spark, path)
-    named = {p for n in range(max(1, newest - keep + 1), newest + 1) for p in manifest(spark, path, n)["parts"]}
-    at, fs = _fs(spark, f"{path.rstrip('/')}/parts")
-    gone = [f.getPath() for f in fs.listStatus(at) if f"parts/{f.getPath().getName()}" not in named]
+    kept = [manifest(spark, path, n) for n in range(max(1, newest - keep + 1), newest + 1)]
+    named = {p for m in kept for p in (*m["parts"], *(x for note in m.get("notes", {}).values() for x in note))}
+    gone = []
+    for folder in {"parts", *(p.split("/")[0] for p in named)}:
+        at, fs = _fs(spark, f"{path.rstrip('/')}/{folder}")
+        gone += [f.getPath() for f in fs.listStatus(at) if f"{folder}/{f.getPath().getName()}" not in named]
     for p in gone:
         fs.delete(p, True)
     return len(gone)

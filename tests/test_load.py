@@ -149,3 +149,38 @@ def test_view_refuses_fractions(spark, sf_dir):
     pub = pipeline.published(spark, sf_dir).limit(3).withColumn("allowance", F.lit("1000.75").cast("decimal(12,2)"))
     with pytest.raises(Exception, match="not a whole amount"):
         analysis_view(pub).collect()
+
+
+def test_an_append_is_judged_against_all_rows(spark, raw):
+    path, good = artifact_path(spark, "load-merged"), raw.filter("response_id >= 0").orderBy("response_id").limit(60)
+    first, second = good.filter("response_id % 2 = 0"), good.filter("response_id % 2 = 1")
+    _load(first, path)
+    both = _load(second, path, append=True)
+    alone = _load(good, artifact_path(spark, "load-whole"))
+    key = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    assert key(both.results) == key(alone.results)
+    assert len(V.manifest(spark, path)["notes"]["gate"]) == 2
+    # a row of the first load again: no duplicate within the append, but one in the table
+    with pytest.raises(Q.QualityCheckFailed) as e:
+        load_survey(first.limit(1), path, policy="report", as_of="2026-01-01 00:00:00", append=True)
+    assert "exact_duplicate_rows" in e.value.blocking
+    assert V.current_version(spark, path) == 2
+    # replaced as a whole, the table's earlier rows no longer count; a rollback brings their states back
+    _load(first, path)
+    assert len(V.manifest(spark, path)["notes"]["gate"]) == 1
+    V.rollback(spark, path, 2)
+    assert len(V.manifest(spark, path)["notes"]["gate"]) == 2
+    with pytest.raises(Q.QualityCheckFailed):
+        load_survey(second.limit(1), path, policy="report", as_of="2026-01-01 00:00:00", append=True)
+
+
+def test_loads_with_own_checks(spark, raw):
+    check = Q.OwnCheck("some_rows", lambda f: {"n": (F.count(F.lit(1)), "sum")},
+                       lambda s: [Q.Finding("some_rows", "own", "CRITICAL", s["n"] > 50, F.format_string("rows: %d", s["n"]), F.lit(0))])
+    path, rows = artifact_path(spark, "load-own"), raw.filter("response_id >= 0").orderBy("response_id").limit(60)
+    out = _load(rows.filter("response_id % 2 = 0"), path, own=[check])
+    assert not out.results.filter("name = 'some_rows'").first()["passed"]
+    out = _load(rows.filter("response_id % 2 = 1"), path, own=[check], append=True)
+    assert out.results.filter("name = 'some_rows'").first()["passed"]
+    with pytest.raises(ValueError):
+        _load(rows, path, append=True)
