@@ -5,64 +5,61 @@ compatibility characters, normalises dashes and keeps only what a range label
 may contain.  ``parse_midpoint`` turns ``< x`` into ``0.5x``, ``> x`` into
 ``1.25x`` and ``a - b`` into the mean of the (possibly reversed) bounds.
 
-Spark has no NFKC builtin, so compatibility folding is approximated with one
-``translate`` over the code points that occur in number labels:
-
-* full-width forms U+FF01..U+FF5E -> ASCII U+0021..U+007E (digits, letters, ``< > , . -``);
-* spaces U+00A0, U+2000..U+200A, U+202F, U+205F, U+3000 -> U+0020;
-* superscript and subscript digits (U+00B2, U+00B3, U+00B9, U+2070, U+2074..U+2079,
-  U+2080..U+2089) and circled digits U+2460..U+2468 -> ASCII digits;
-* small form variants U+FE50, U+FE52, U+FE63, U+FE64, U+FE65 -> ``, . - < >``;
-* U+20A8 (rupee ligature) -> ``Rs``.
-
-The same ``translate`` maps the dashes U+2010..U+2015 and U+2212 to ``-`` (no
-artefact holds a dash, so mapping them before the second artefact pass is the
-same as mapping them after it).
-
-Decimal digits of other scripts (Arabic-Indic, Devanagari, Bengali, ...) are
-mapped to ASCII as well, because a Python ``float`` accepts them after NFKC.
+Spark has no NFKC builtin. What it does to number labels is two tables, built from the
+Unicode data at import: every code point whose compatibility form holds a character that
+a label may keep, or that a currency artefact is made of.
+
+* One character to one (full-width and mathematical digits, superscripts, no-break
+  spaces, ...): one ``translate``. It also maps the dashes U+2010..U+2015 and U+2212 to
+  ``-`` (no artefact holds a dash, so before the second artefact pass is as good as after
+  it) and the decimal digits of all scripts to ASCII, because a Python ``float`` accepts
+  them after NFKC.
+* One character to several (two-digit circled numbers, fractions, digits with a point or
+  in parentheses, ellipses, the rupee ligature): the table is appended to the text as a
+  dictionary, and one pass replaces each such character by what a lookahead finds there.
+  Only texts that hold one take this path.
+
+Sequences that compose to another character (``<`` and U+0338) are left as they are.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import spec
 
 
-def _build_fold_table() -> tuple[str, str]:
-    src, dst = [], []
-
-    def add(a: int, b: str) -> None:
-        src.append(chr(a))
-        dst.append(b)
-
-    for cp in range(0xFF01, 0xFF5F):  # full-width ASCII block
-        add(cp, chr(cp - 0xFF01 + 0x21))
-    for cp in (0x00A0, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000):
-        add(cp, " ")
-    for cp, d in ((0x00B9, "1"), (0x00B2, "2"), (0x00B3, "3"), (0x2070, "0")):
-        add(cp, d)
-    for i in range(4, 10):
-        add(0x2070 + i, str(i))
-    for i in range(10):
-        add(0x2080 + i, str(i))
-    for i in range(9):
-        add(0x2460 + i, str(i + 1))
-    for cp, ch in ((0xFE50, ","), (0xFE52, "."), (0xFE63, "-"), (0xFE64, "<"), (0xFE65, ">")):
-        add(cp, ch)
-    # Zero of each decimal-digit block in other scripts.
-    for cp in (*range(0x2010, 0x2016), 0x2212):  # dashes and the minus sign
-        add(cp, "-")
-    for zero in (0x0660, 0x06F0, 0x07C0, 0x0966, 0x09E6, 0x0A66, 0x0AE6, 0x0B66,
-                 0x0BE6, 0x0C66, 0x0CE6, 0x0D66, 0x0E50, 0x0ED0, 0x0F20, 0x1040):
-        for i in range(10):
-            add(zero + i, str(i))
-    return "".join(src), "".join(dst)
-
-
-_FOLD_SRC, _FOLD_DST = _build_fold_table()
+_DASHES = {chr(cp) for cp in (*range(0x2010, 0x2016), 0x2212)}
+_SEP = "\x01"
+
+
+def _build_fold_tables() -> tuple[dict[str, str], dict[str, str]]:
+    wanted = set("<>.,- ") | _DASHES | set("".join(spec.CURRENCY_ARTEFACTS))
+    one, many = {}, {}
+    for cp in range(0x80, sys.maxunicode + 1):
+        if 0xD800 <= cp <= 0xDFFF:
+            continue
+        ch = chr(cp)
+        folded = "".join("-" if x in _DASHES else str(unicodedata.decimal(x, x)) for x in unicodedata.normalize("NFKC", ch))
+        if folded == ch or not any(x in wanted or x.isdecimal() for x in folded):
+            continue
+        if len(folded) == 1:
+            one[ch] = folded
+        elif folded.strip(" ") and any(x in wanted - {" "} or x.isdecimal() for x in folded):
+            many[ch] = folded
+    return one, many
+
+
+_FOLD_ONE, _FOLD_MANY = _build_fold_tables()
+_FOLD_SRC, _FOLD_DST = "".join(_FOLD_ONE), "".join(_FOLD_ONE.values())
+_MANY_CLASS = "[" + "".join(_FOLD_MANY) + "]"
+_MANY_DICT = "".join(_SEP + ch + folded for ch, folded in _FOLD_MANY.items())
+# The dictionary's own entries find no later entry of their character and stay.
+_MANY_RE = rf"(?s)({_MANY_CLASS})(?=.*{_SEP}\1([^{_SEP}]*))"
 # Any run of characters a label may not keep (whitespace included) becomes one space.
 _DROP_RUN = r"(?U)[^\d<>.,\-]+"
 _LABEL_RE = (
@@ -100,9 +97,10 @@ def _drop_artefacts(c: Column) -> Column:
 
 
 def fold_compat(c: Column) -> Column:
-    """Approximate NFKC for number labels (see module docstring)."""
-    c = F.replace(c, F.lit("₨"), F.lit("Rs"))
-    return F.translate(c, _FOLD_SRC, _FOLD_DST)
+    """NFKC for number labels (see module docstring)."""
+    folded = F.regexp_replace(F.concat(c, F.lit(_MANY_DICT)), F.lit(_MANY_RE), F.lit("$2"))
+    several = F.substring(folded, F.lit(1), F.length(folded) - F.lit(len(_MANY_DICT)))
+    return F.translate(F.when(F.regexp_like(c, F.lit(_MANY_CLASS)), several).otherwise(c), _FOLD_SRC, _FOLD_DST)
 
 
 def strip_currency(c: Column, dtype: str = "string") -> Column:

@@ -82,3 +82,20 @@ def test_strip_matches_sequential_rule_on_random_labels(spark):
     got = [r[0] for r in df.select(strip_currency(F.col("label"))).collect()]
     bad = [(x, g, strip_label(x)) for x, g in zip(labels, got) if g != strip_label(x)]
     assert not bad, bad[:5]
+
+
+def test_every_code_point_that_folds_to_kept_characters(spark):
+    import sys
+    import unicodedata
+    keep = lambda s: any(x.isdecimal() or x in "<>.,-\u2010\u2011\u2012\u2013\u2014\u2015\u2212" for x in s)
+    points = [chr(cp) for cp in range(0x80, sys.maxunicode + 1)
+              if not 0xD800 <= cp <= 0xDFFF and keep(unicodedata.normalize("NFKC", chr(cp)))]
+    assert len(points) > 700 and {"\u2469", "\u00bd", "\U0001d7d8", "\u2488"} <= set(points)
+    labels = [form.format(ch) for ch in points for form in ("{0}", "< 1{0}", "{0}{0} - 2{0}5", "\x01{0}7")]
+    labels += ["\U0001d411\U0001d42c. 500 - 1000", "\u24c7\u24e2. 5", "\u2460\u24ea\u246a\u00bd \u2026 9"]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in labels], "label string").select(strip_currency(F.col("label"))).collect()]
+    ascii_digits = lambda s: "".join(str(unicodedata.decimal(x, x)) for x in s)
+    bad = [(x, g, strip_label(x)) for x, g in zip(labels, got) if g != ascii_digits(strip_label(x))]
+    assert not bad, (len(bad), bad[:5])
+    mid = spark.createDataFrame([("\u2469\u24ea - \u2473\u24ea",)], "label string").select(parse_midpoint(F.col("label"))).first()[0]
+    assert mid == 150.0
