@@ -520,6 +520,17 @@ def metric_sql() -> dict[str, str]:
                                "FROM v ORDER BY total_expenses DESC, student_id LIMIT 1")
     q["m_detail"] = with_view("SELECT student_name, degree, year_of_study, total_expenses FROM v "
                               "WHERE accommodation = 'PG' ORDER BY total_expenses DESC, student_id LIMIT 10")
+    high = "the top answer has no upper end: its midpoint is a floor, so means and totals are too low"
+    four = ["food_expenses", "transport_expenses", "academic_expenses", "other_expenses"]
+    notes = [("total_expenses", high, " OR ".join(f"{c} = 6250" for c in four)), *[(c, high, f"{c} = 6250") for c in four],
+             ("allowance", "its answers are coarser and lower than those on expenses", "total_expenses > allowance"),
+             ("overspend_amount", "above zero means more spent than received", "overspend_amount > 0"),
+             ("budget_usage_pct", "a ratio, not a share: the mean of ratios differs from the ratio of the sums", "usage10 > 1000"),
+             ("savings", "below zero where expenses exceed the allowance: a ranking of savers then says little", "savings < 0")]
+    q["m_caveats"] = with_view(" UNION ALL ".join(
+        f"SELECT '{m}' AS measure, '{text}' AS caveat, count(*) FILTER (WHERE {cond}) AS affected, count({m}) AS answered, "
+        f"{pct(f'count(*) FILTER (WHERE {cond})', f'count({m})')} AS share_pct, count(*) FILTER (WHERE {cond}) > 0 AS applies FROM v"
+        for m, text, cond in notes))
     q["m_drift"] = with_view(f""", a AS (SELECT count(*) AS row_count,
   {mean2('total_expenses')} AS mean_total_expenses, {mean2('allowance')} AS mean_allowance,
   {_CENS} AS censored_cells FROM v)

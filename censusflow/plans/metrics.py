@@ -12,7 +12,7 @@ as tiebreak; listings break ties on ``student_id``, so ``limit`` is deterministi
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,49 +26,28 @@ MAX_LIMIT = 500
 CENSORED = spec.CENSORED_EXPENSE
 
 
-@dataclass(frozen=True)
-class Measure:
-    name: str          # allowlist key
-    column: str        # view column
-    default_aggregation: str = "avg"
-    aggregateable: bool = True
-
-
-@dataclass(frozen=True)
-class Dimension:
-    name: str
-    values: tuple[str, ...] = ()
-    filterable: bool = True
-
-
-MEASURES: dict[str, Measure] = {m.name: m for m in (
-    Measure("total_expenses", "total_expenses"),
-    Measure("allowance", "allowance"),
-    Measure("overspend_amount", "overspend_amount"),
-    Measure("budget_usage_pct", "budget_usage_pct"),
-    Measure("savings", "savings"),
-    Measure("food_expenses", "food_expenses"),
-    Measure("transport_expenses", "transport_expenses"),
-    Measure("academic_expenses", "academic_expenses"),
-    Measure("other_expenses", "other_expenses"),
-    Measure("student_count", "student_id", "count", aggregateable=False),
-)}
-
-DIMENSIONS: dict[str, Dimension] = {d.name: d for d in (
-    Dimension("degree", spec.DOMAINS["Degree"]),
-    Dimension("year_of_study", spec.DOMAINS["Year of Study"]),
-    Dimension("accommodation", spec.DOMAINS["Accommodation"]),
-    Dimension("preferred_payment", spec.DOMAINS["Preferred Payment"]),
-    Dimension("upi_app", spec.DOMAINS["UPI App"]),
-    Dimension("gender", spec.DOMAINS["Gender"]),
-    Dimension("background", spec.DOMAINS["Background"]),
-    Dimension("work_internship", spec.DOMAINS["Work/Internship"]),
-    Dimension("track_digitally", spec.DOMAINS["Track Digitally"]),
-    Dimension("budget_plan", spec.DOMAINS["Budget Plan"]),
-    Dimension("study_focus", ("Online Learning Platforms", "Books & Study Materials",
-                              "Internet & Data Packs", "Software Tools", "Other")),
-    Dimension("specialization", (), filterable=False),  # free text: groupable, never filtered
-)}
+EXPENSES = ("food_expenses", "transport_expenses", "academic_expenses", "other_expenses")
+
+
+class Measure(NamedTuple):
+    """What can be asked for. A head count has no amount: only rows are counted."""
+    name: str    # allowlist key
+    column: str  # view column
+
+    @property
+    def counts_rows(self) -> bool:
+        return self.column == "student_id"
+
+
+MEASURES: dict[str, Measure] = {
+    **{c: Measure(c, c) for c in ("total_expenses", "allowance", "overspend_amount", "budget_usage_pct", "savings", *EXPENSES)},
+    "student_count": Measure("student_count", "student_id")}
+
+# dimension -> closed domain; None is free text: groupable, never filtered
+DIMENSIONS: dict[str, tuple[str, ...] | None] = {
+    **{spec.PUBLISHED_NAMES[h]: tuple(values) for h, values in spec.DOMAINS.items()},
+    "study_focus": ("Online Learning Platforms", "Books & Study Materials", "Internet & Data Packs", "Software Tools", "Other"),
+    "specialization": None}
 
 AGGREGATIONS = ("avg", "sum", "count", "max", "min", "median")
 
@@ -84,18 +63,18 @@ def _measure(name: str) -> Measure:
     return m
 
 
-def _dimension(name: str) -> Dimension:
-    d = DIMENSIONS.get(name)
-    if d is None:
+def _dimension(name: str) -> str:
+    if name not in DIMENSIONS:
         raise MetricError(f"unknown dimension {name!r}")
-    return d
+    return name
 
 
-def _check_value(d: Dimension, value: str) -> None:
-    if not d.filterable:
-        raise MetricError(f"dimension {d.name!r} is free text and cannot be filtered")
-    if value not in d.values:
-        raise MetricError(f"value {value!r} is not in the domain of {d.name!r}")
+def _check_value(dim: str, value: str) -> None:
+    domain = DIMENSIONS[dim]
+    if domain is None:
+        raise MetricError(f"dimension {dim!r} is free text and cannot be filtered")
+    if value not in domain:
+        raise MetricError(f"value {value!r} is not in the domain of {dim!r}")
 
 
 def clamp_limit(limit: int | None) -> int:
@@ -113,7 +92,7 @@ def aggregate(agg: str, m: Measure) -> Column:
     """M3: one aggregate over a measure; exact sums, one division for means."""
     if agg not in AGGREGATIONS:
         raise MetricError(f"unknown aggregation {agg!r}")
-    if agg == "count" or not m.aggregateable:
+    if agg == "count" or m.counts_rows:
         return F.count(F.lit(1))
     c = m.column
     if c == "budget_usage_pct":
@@ -133,7 +112,7 @@ def aggregate(agg: str, m: Measure) -> Column:
 
 
 def value_name(agg: str, m: Measure) -> str:
-    return "students" if (agg == "count" or not m.aggregateable) else f"{agg}_{m.name}"
+    return "students" if (agg == "count" or m.counts_rows) else f"{agg}_{m.name}"
 
 
 def _where(df: DataFrame, filters, compare) -> DataFrame:
@@ -141,14 +120,14 @@ def _where(df: DataFrame, filters, compare) -> DataFrame:
     for dim, value, *neg in filters:
         d = _dimension(dim)
         _check_value(d, value)
-        cond = (F.col(d.name) != value) if (neg and neg[0]) else (F.col(d.name) == value)
+        cond = (F.col(d) != value) if (neg and neg[0]) else (F.col(d) == value)
         df = df.filter(cond)
     if compare is not None:
         dim, values = compare
         d = _dimension(dim)
         for v in values:
             _check_value(d, v)
-        df = df.filter(F.col(d.name).isin(*values))
+        df = df.filter(F.col(d).isin(*values))
     return df
 
 
@@ -158,12 +137,12 @@ def metric_query(view: DataFrame, measure: str = "student_count", agg: str | Non
                  extreme: bool = False) -> DataFrame:
     """Build the DataFrame for one allowlisted metric request."""
     m = _measure(measure)
-    agg = agg or m.default_aggregation
+    agg = agg or ("count" if m.counts_rows else "avg")
     if ranking not in ("asc", "desc"):
         raise MetricError(f"unknown ranking {ranking!r}")
-    dims = [_dimension(d).name for d in dimensions]
+    dims = [_dimension(d) for d in dimensions]
     if compare is not None and compare[0] not in dims:
-        dims = dims + [_dimension(compare[0]).name]
+        dims = dims + [_dimension(compare[0])]
     lim = clamp_limit(limit)
     df = _where(view, filters, compare)
     desc = ranking == "desc"
@@ -177,7 +156,7 @@ def metric_query(view: DataFrame, measure: str = "student_count", agg: str | Non
         if col not in cols:
             cols.append(col)
         return df.orderBy(order(col), "student_id").limit(lim).select(*cols)
-    if not dims and (agg == "count" or not m.aggregateable):  # M6: bare count
+    if not dims and (agg == "count" or m.counts_rows):  # M6: bare count
         return df.agg(F.count(F.lit(1)).alias("students"))
     if extreme:  # M11: the extreme row itself
         cols = ["student_name", "degree", "year_of_study", "accommodation", m.column]
@@ -202,16 +181,15 @@ def top_n(view: DataFrame, dimension: str, n: int = 5, filters=()) -> DataFrame:
     """The N most frequent values of a dimension."""
     d = _dimension(dimension)
     df = _where(view, filters, None)
-    return (df.groupBy(d.name).agg(F.count(F.lit(1)).alias("students"))
-            .orderBy(F.desc("students"), d.name).limit(clamp_limit(n)))
+    return (df.groupBy(d).agg(F.count(F.lit(1)).alias("students"))
+            .orderBy(F.desc("students"), d).limit(clamp_limit(n)))
 
 
 def drift_check(view: DataFrame, expected_rows: int = 213, expected_means=None,
                 tolerance: float = 0.01) -> DataFrame:
     """One aggregation compared with the recorded facts (parameters)."""
     means = expected_means or {"total_expenses": 11461.27, "allowance": 1578.64}
-    cells = sum((count_if(F.col(c) == CENSORED) for c in
-                 ("food_expenses", "transport_expenses", "academic_expenses", "other_expenses")), F.lit(0))
+    cells = sum((count_if(F.col(c) == CENSORED) for c in EXPENSES), F.lit(0))
     a = view.agg(F.count(F.lit(1)).alias("row_count"),
                  *[round_half_up_ratio(F.sum(c), F.count(c), 2).alias(f"mean_{c}") for c in means],
                  cells.alias("censored_cells"))
@@ -245,7 +223,7 @@ def share_of_rows(view: DataFrame, filters=()) -> DataFrame:
     for dim, value, *neg in filters:
         d = _dimension(dim)
         _check_value(d, value)
-        cond = cond & ((F.col(d.name) != value) if (neg and neg[0]) else (F.col(d.name) == value))
+        cond = cond & ((F.col(d) != value) if (neg and neg[0]) else (F.col(d) == value))
     a = view.agg(count_if(cond).alias("students"), F.count(F.lit(1)).alias("all_students"))
     return a.select("students", "all_students",
                     round_half_up_ratio(F.col("students") * 100, F.col("all_students"), 1).alias("share_pct"))
@@ -266,8 +244,7 @@ def savings_reading(view: DataFrame) -> DataFrame:
 
 def overview(view: DataFrame) -> DataFrame:
     """Dataset overview in one row."""
-    cens = sum((count_if(F.col(c) == CENSORED) for c in
-                ("food_expenses", "transport_expenses", "academic_expenses", "other_expenses")), F.lit(0))
+    cens = sum((count_if(F.col(c) == CENSORED) for c in EXPENSES), F.lit(0))
     return view.agg(
         F.count(F.lit(1)).alias("students"),
         round_half_up_ratio(F.sum("total_expenses"), F.count("total_expenses"), 2).alias("avg_total_expenses"),
@@ -276,3 +253,32 @@ def overview(view: DataFrame) -> DataFrame:
         round_half_up_ratio(F.sum("total_expenses") * 100, F.sum("allowance"), 2).alias("aggregate_utilisation_pct"),
         round_half_up_ratio(cens * 100, F.count(F.lit(1)) * 4, 1).alias("censored_cells_pct"),
     )
+
+
+def _caveats() -> list[tuple[str, str, Column]]:
+    """(measure, caveat, the rows it concerns). Each measure has its own; a head count has none."""
+    open_top = "the top answer has no upper end: its midpoint is a floor, so means and totals are too low"
+    c = F.col
+    top = F.lit(False)
+    for e in EXPENSES:
+        top = top | F.coalesce(c(e) == CENSORED, F.lit(False))
+    return [("total_expenses", open_top, top), *[(e, open_top, c(e) == CENSORED) for e in EXPENSES],
+            ("allowance", "its answers are coarser and lower than those on expenses", c("allowance") < c("total_expenses")),
+            ("overspend_amount", "above zero means more spent than received", c("overspend_amount") > 0),
+            ("budget_usage_pct", "a ratio, not a share: the mean of ratios differs from the ratio of the sums", c("budget_usage_pct") > 100),
+            ("savings", "below zero where expenses exceed the allowance: a ranking of savers then says little", c("savings") < 0)]
+
+
+def measure_caveats(view: DataFrame) -> DataFrame:
+    """M1: what to keep in mind about each measure, and how far it holds in these rows, from one aggregation.
+
+    ``measure, caveat, affected, answered, share_pct, applies``: rows concerned, rows with a value, their share (one
+    decimal, null without values) and whether any row is concerned. Nulls are in neither count.
+    """
+    notes = _caveats()
+    a = view.agg(*[count_if(cond).alias(f"a{i}") for i, (_, _, cond) in enumerate(notes)],
+                 *[F.count(MEASURES[m].column).alias(f"n{i}") for i, (m, _, _) in enumerate(notes)])
+    rows = [F.struct(F.lit(m).alias("measure"), F.lit(text).alias("caveat"), F.col(f"a{i}").alias("affected"), F.col(f"n{i}").alias("answered"),
+                     round_half_up_ratio(F.col(f"a{i}") * 100, F.col(f"n{i}"), 1).alias("share_pct"), (F.col(f"a{i}") > 0).alias("applies"))
+            for i, (m, text, _) in enumerate(notes)]
+    return a.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -145,6 +145,7 @@ METRICS = {
     "m_extreme": lambda v: M.metric_query(v, "total_expenses", extreme=True),
     "m_detail": lambda v: M.metric_query(v, "total_expenses", detail=True,
                                          filters=[("accommodation", "PG")], limit=10),
+    "m_caveats": lambda v: M.measure_caveats(v),
     "m_drift": lambda v: M.drift_check(v),
     "i_group_spread": lambda v: M.group_spread(M.metric_query(v, "total_expenses", "avg", ["degree"]),
                                                "degree", "avg_total_expenses"),

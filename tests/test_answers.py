@@ -18,14 +18,14 @@ def view(spark, sf_dir):
 
 
 def request(rng):
-    closed = [d for d in M.DIMENSIONS if M.DIMENSIONS[d].values]
+    closed = [d for d in M.DIMENSIONS if M.DIMENSIONS[d]]
     dims = rng.sample(sorted(M.DIMENSIONS), rng.choice([0, 0, 1, 1, 2]))
     dims = rng.choice([dims, dims, ["year_of_study"]])
     free = [d for d in closed if d not in dims]
-    filters = [(d, rng.choice(M.DIMENSIONS[d].values), rng.random() < 0.4) for d in rng.sample(free, rng.choice([0, 0, 1, 2]))]
+    filters = [(d, rng.choice(M.DIMENSIONS[d]), rng.random() < 0.4) for d in rng.sample(free, rng.choice([0, 0, 1, 2]))]
     shape = rng.choice(["agg"] * 6 + ["detail", "extreme", "compare"])
     measure = rng.choice([*M.MEASURES, None] if shape in ("agg", "detail") else [m for m in M.MEASURES if m != "student_count"])
-    compare = (dims[0], sorted(rng.sample(M.DIMENSIONS[dims[0]].values, 2))) if shape == "compare" and dims and M.DIMENSIONS[dims[0]].values else (None, None)
+    compare = (dims[0], sorted(rng.sample(M.DIMENSIONS[dims[0]], 2))) if shape == "compare" and dims and M.DIMENSIONS[dims[0]] else (None, None)
     return {"measure": measure, "aggregation": rng.choice([*M.AGGREGATIONS, "median"]), "dimensions": dims if shape != "extreme" else [], "filters": filters, "compare_dim": compare[0],
             "compare_values": compare[1], "ranking": rng.choice([None, "asc", "desc"]), "row_limit": rng.choice([1, 3, 50]), "detail": shape == "detail", "extreme": shape == "extreme", "refused": False}
 
