@@ -61,7 +61,7 @@ def scan(docs: DataFrame, phrases: Sequence[Phrase] = PHRASES, anchors: int = 2)
 
     ``score`` grows with the IDF of the anchors of the distinct phrases found, from 0 (none) towards 1.
     A null or empty text has no words and no label; overlapping places all count; repeated rows each get a
-    row; other columns are not read.
+    row; other columns, whatever their names, are not read. Very long texts are read whole; an empty table gives no rows.
     """
     spark = docs.sparkSession
     split = [p.text.split() for p in phrases]

@@ -51,3 +51,14 @@ def test_empty_table(spark):
 
 def test_query_matches_sql(spark, sf_dir, duck):
     assert_matches_oracle(registry.op10_licences(spark, sf_dir), duck, registry.SQL["op10_licences"])
+
+
+def test_empty_table_long_text_and_clashing_columns(spark):
+    from censusflow.llm.licences import scan
+    schema = "doc_id long, text string, uid int, word string, phrase string"
+    assert scan(spark.createDataFrame([], schema)).collect() == []
+    far = "plain " * 300_000 + "CC BY-NC"
+    rows = [(1, far, 7, "mit", "x"), (2, None, 7, None, "x"), (2, None, 7, None, "x"), (3, "", 7, "cc", None)]
+    got = {(r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]): r for r in scan(spark.createDataFrame(rows, schema)).collect()}
+    assert set(got) == {(1, 300_003, 1, 300_000, 300_000, "cc-by-nc"), (2, 0, 0, None, None, ""), (3, 0, 0, None, None, "")}
+    assert all(r["labels"] == "" and r["score"] == 0.0 for k, r in got.items() if k[0] != 1)
