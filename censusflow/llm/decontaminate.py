@@ -89,7 +89,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     A document word inside any occurrence of an item's window is hit; contaminated: some word is hit and
     ``share * n_hit >= n_words``. ``text_key`` is xxhash64(text), so that callers can join rows back by
     (doc_id, text_key). Null or empty texts have no words; items without words or id match nothing; repeated
-    rows (same id or text) each get a row of their own; other columns of ``docs`` are not read.
+    rows (same id or text) each get a row of their own; other columns of ``docs`` are not read. Texts are read whole,
+    however long. An empty ``docs`` gives no rows; against an empty benchmark nothing is hit.
     """
     left, width = window - gram, 2 * window - gram
     items = materialize(benchmark_fingerprints(benchmark, window, gram), "bench")

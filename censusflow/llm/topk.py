@@ -97,6 +97,7 @@ def top_k(vectors: DataFrame, k: int = 20, query_modulus: int = 20, id_col: str
     them, if there are fewer than k) and the query's dimension. Null ids, null vectors and vectors with null
     or non-finite components take no part. Rows that repeat an id count once for each score that they get;
     a query id that is repeated with other vectors gets the best of all of them. Scores beyond the long range stop at its ends.
+    An empty table gives no rows; other columns are not read.
     """
     blocks = materialize(_packed(vectors, id_col, vec_col, query_modulus), "vector-blocks")
     sizes = {r["is_query"]: r["n"] for r in blocks.groupBy("is_query").agg(F.sum("n").alias("n")).collect()}
