@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 # Java regex: (?U) makes \s Unicode-aware, so NBSP and other spaces are trimmed
 # (plain ``trim`` only removes U+0020).
 _EDGE_SPACE = r"(?U)^\s+|\s+$"
+_NONSPACE = r"(?U)\S"
 
 # A plain decimal number as pandas ``to_numeric`` accepts it, without the
 # ``1d`` / ``Infinity`` forms that a Spark cast would also take.
@@ -31,12 +32,13 @@ def ustrip(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    """NULL or whitespace-only after a Unicode trim (never NULL itself)."""
-    return F.coalesce(ustrip(c) == F.lit(""), F.lit(True))
+    """NULL or nothing but Unicode whitespace (never NULL itself)."""
+    return ~nonblank(c)
 
 
 def nonblank(c: Column) -> Column:
-    return ~is_blank(c)
+    # a search that ends at the first character that is no space, instead of a trimmed copy
+    return F.coalesce(c.cast("string").rlike(_NONSPACE), F.lit(False))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -69,17 +71,26 @@ def idiv(a: Column, b: Column) -> Column:
 _EXACT = "decimal(38,0)"
 
 
+def let(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` computed once, outside the generated code (a method of over 8,000 bytecodes is only interpreted)."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def round_half_even_ratio(num: Column, den: Column, scale: int) -> Column:
     """``round(num/den, scale)``, ties to even, exact for integer inputs; NULL if den is 0."""
     p = 10 ** scale
-    n = num.cast(_EXACT) * F.lit(p)
-    d = den.cast(_EXACT)
-    a, b = F.abs(n), F.abs(d)
-    q = idiv(a, b)
-    r = a - q * b
-    bump = F.when((r * 2 > b) | ((r * 2 == b) & (q % 2 == 1)), 1).otherwise(0)
-    sign = F.when((n < 0) != (d < 0), -1).otherwise(1)
-    return F.when(d != 0, (sign * (q + bump)).cast("double") / F.lit(float(p)))
+    given = F.struct((num.cast(_EXACT) * F.lit(p)).alias("n"), den.cast(_EXACT).alias("d"))
+
+    def ratio(x: Column) -> Column:
+        n, d = x["n"], x["d"]
+        a, b = F.abs(n), F.abs(d)
+
+        def rounded(q: Column) -> Column:
+            r = a - q * b
+            return q + F.when((r * 2 > b) | ((r * 2 == b) & (q % 2 == 1)), 1).otherwise(0)
+        sign = F.when((n < 0) != (d < 0), -1).otherwise(1)
+        return F.when(d != 0, (sign * let(idiv(a, b), rounded)).cast("double") / F.lit(float(p)))
+    return let(given, ratio)
 
 
 def round_half_up_ratio(num: Column, den: Column, scale: int) -> Column:

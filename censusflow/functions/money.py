@@ -56,7 +56,20 @@ def _build_fold_tables() -> tuple[dict[str, str], dict[str, str]]:
 
 _FOLD_ONE, _FOLD_MANY = _build_fold_tables()
 _FOLD_SRC, _FOLD_DST = "".join(_FOLD_ONE), "".join(_FOLD_ONE.values())
-_MANY_CLASS = "[" + "".join(_FOLD_MANY) + "]"
+
+
+def _char_class(chars) -> str:
+    """A regex class of the characters, neighbours as ranges: each entry is a test that every character of a text goes through."""
+    cps, out = sorted(map(ord, chars)), []
+    for cp in cps:
+        if out and out[-1][1] == cp - 1:
+            out[-1][1] = cp
+        else:
+            out.append([cp, cp])
+    return "[" + "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}" for a, b in out) + "]"
+
+
+_MANY_CLASS = _char_class(_FOLD_MANY)
 _MANY_DICT = "".join(_SEP + ch + folded for ch, folded in _FOLD_MANY.items())
 # The dictionary's own entries find no later entry of their character and stay.
 _MANY_RE = rf"(?s)({_MANY_CLASS})(?=.*{_SEP}\1([^{_SEP}]*))"
@@ -96,11 +109,15 @@ def _drop_artefacts(c: Column) -> Column:
     return c
 
 
-def fold_compat(c: Column) -> Column:
-    """NFKC for number labels (see module docstring)."""
+def fold_compat(c: Column, source: Column | None = None) -> Column:
+    """NFKC for number labels (see module docstring).
+
+    ``source``, a column whose characters include those of ``c``, tells whether there is one to expand; without
+    it ``c`` is computed once more for that.
+    """
     folded = F.regexp_replace(F.concat(c, F.lit(_MANY_DICT)), F.lit(_MANY_RE), F.lit("$2"))
     several = F.substring(folded, F.lit(1), F.length(folded) - F.lit(len(_MANY_DICT)))
-    return F.translate(F.when(F.regexp_like(c, F.lit(_MANY_CLASS)), several).otherwise(c), _FOLD_SRC, _FOLD_DST)
+    return F.translate(F.when(F.regexp_like(c if source is None else source, F.lit(_MANY_CLASS)), several).otherwise(c), _FOLD_SRC, _FOLD_DST)
 
 
 def strip_currency(c: Column, dtype: str = "string") -> Column:
@@ -111,7 +128,7 @@ def strip_currency(c: Column, dtype: str = "string") -> Column:
     # would survive the last pass.
     plain = F.trim(F.regexp_replace(F.replace(c, F.lit("Rs."), F.lit(" ")), r"[^0-9<>.,\-]+", " "))
     t = _drop_artefacts(c)
-    t = fold_compat(t)  # also maps dashes to '-'
+    t = fold_compat(t, source=c)  # also maps dashes to '-'
     t = _drop_artefacts(t)
     # "replace every disallowed character by a space, squeeze whitespace, trim" in one
     # pass: afterwards the only whitespace left is single U+0020, which ``trim`` removes.
@@ -125,7 +142,7 @@ def _num(token: Column) -> Column:
 
 def label_parts(clean: Column) -> Column:
     """The label's four possible numbers (after ``<``, after ``>``, from, to) from one match; one entry if none matches."""
-    return F.split(F.regexp_replace(clean, _LABEL_RE, "$1|$2|$3|$4"), "[|]", -1)
+    return F.split(F.regexp_replace(clean, _LABEL_RE, "$1|$2|$3|$4"), r"\|", -1)
 
 
 def midpoint_from_parts(p: Column) -> Column:
@@ -147,20 +164,36 @@ def parse_midpoint(c: Column, dtype: str = "string") -> Column:
     return F.when(c.isNotNull(), midpoint_from_parts(label_parts(strip_currency(c))))
 
 
-def with_midpoints(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Add ``out -> midpoint(in)`` columns in three projections: clean, split, compute.
+def _per_cell(columns: list[str], *steps) -> Column:
+    """An array with the steps' result for each cell; one copy of the steps, each result computed once.
 
-    Each projection step is materialised once per row (Spark does not inline an
-    expensive expression that a later step references more than once), so the
-    replace/translate/regex chain runs once per cell instead of once per branch.
+    The steps are lambdas over an array, so they stay out of the generated code: five copies of the cleaning
+    chain made one method of 38,000 bytecodes, and the JVM only interprets methods of more than 8,000.
     """
+    cells = F.array(*[F.col(f"`{c}`") for c in columns])
+    for step in steps:
+        cells = F.transform(cells, step)
+    return cells
+
+
+def with_stripped(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add ``out -> strip_currency(in)`` columns."""
+    types = dict(df.dtypes)
+    text = [o for o, i in columns.items() if types[i] == "string"]
+    out = {o: strip_currency(F.col(f"`{i}`"), types[i]) for o, i in columns.items() if o not in text}
+    if not text:
+        return df.withColumns(out)
+    step = df.withColumn("__cells", _per_cell([columns[o] for o in text], lambda c: strip_currency(c)))
+    return step.withColumns({**out, **{o: F.get("__cells", F.lit(k)) for k, o in enumerate(text)}}).drop("__cells")
+
+
+def with_midpoints(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add ``out -> midpoint(in)`` columns, the labels in three steps per cell: clean, split, compute."""
     types = dict(df.dtypes)
-    text = {o: i for o, i in columns.items() if types[i] == "string"}
-    nums = {o: i for o, i in columns.items() if types[i] != "string"}
-    step = df.withColumns({f"__clean_{o}": F.when(F.col(f"`{i}`").isNotNull(), strip_currency(F.col(f"`{i}`")))
-                           for o, i in text.items()})
-    step = step.withColumns({f"__parts_{o}": label_parts(F.col(f"__clean_{o}")) for o in text})
-    out = {o: F.when(F.col(f"__clean_{o}").isNotNull(), midpoint_from_parts(F.col(f"__parts_{o}"))) for o in text}
-    out.update({o: F.col(f"`{i}`").cast("double") for o, i in nums.items()})
-    step = step.withColumns(out)
-    return step.drop(*[f"__clean_{o}" for o in text], *[f"__parts_{o}" for o in text])
+    text = [o for o, i in columns.items() if types[i] == "string"]
+    out = {o: F.col(f"`{i}`").cast("double") for o, i in columns.items() if o not in text}
+    if not text:
+        return df.withColumns(out)
+    steps = (lambda c: F.when(c.isNotNull(), strip_currency(c)), label_parts, midpoint_from_parts)
+    step = df.withColumn("__cells", _per_cell([columns[o] for o in text], *steps))
+    return step.withColumns({**out, **{o: F.get("__cells", F.lit(k)) for k, o in enumerate(text)}}).drop("__cells")

@@ -182,21 +182,24 @@ def constraint_violations(stage4_text: DataFrame, key: str = "response_id") -> D
     The target table rejects a whole load on the first violation; splitting per
     row keeps the good rows loadable and names every reason for the rest.
     """
+    numbers = [*spec.NON_NEGATIVE_HEADERS, "Budget Usage %"]
+    read = stage4_text.withColumn("__numbers", F.transform(F.array(*[col_of(c).cast("string") for c in numbers]), lambda c: numeric(c)))
+    value = {c: F.get("__numbers", F.lit(i)) for i, c in enumerate(numbers)}
     checks: list[tuple[str, Column]] = []
     for header, allowed in spec.DOMAINS.items():
         col = spec.PUBLISHED_NAMES[header]
         checks.append((f"ck_students_budget_{col}", ~F.coalesce(col_of(header).isin(*allowed), F.lit(False))))
     for header in spec.NON_NEGATIVE_HEADERS:
         col = spec.PUBLISHED_NAMES[header]
-        v = numeric(col_of(header))
+        v = value[header]
         checks.append((f"nn_{col}", v.isNull()))
         checks.append((f"ck_students_budget_{'allowance' if col == 'allowance' else col.split('_')[0]}_non_negative",
                        F.coalesce(v < 0, F.lit(False))))
-    u = numeric(col_of("Budget Usage %"))
+    u = value["Budget Usage %"]
     checks.append(("nn_budget_usage_pct", u.isNull()))
     checks.append(("ck_students_budget_usage_range",
                    F.coalesce((u < spec.BUDGET_USAGE_MIN) | (u > spec.BUDGET_USAGE_MAX), F.lit(False))))
     checks.append(("ck_students_budget_name_not_blank", is_blank(col_of("Student Name"))))
     violated = F.concat_ws(",", *[F.when(cond, F.lit(name)) for name, cond in checks])
-    return (stage4_text.select(col_of(key).alias(key), violated.alias("violations"))
+    return (read.select(col_of(key).alias(key), violated.alias("violations"))
             .filter(F.col("violations") != ""))

@@ -156,7 +156,7 @@ METRICS = {
 
 def _stages() -> dict[str, Query]:
     """Source, cleaning, transformation and publish keys (each reads the driver tables)."""
-    from .functions.money import strip_currency, with_midpoints
+    from .functions.money import with_midpoints, with_stripped
     from .operators import clean as C
     from .operators import publish as L
     from .operators import transform as T
@@ -203,8 +203,7 @@ def _stages() -> dict[str, Query]:
         return publish_projection(T.fill_missing_columns(df))
 
     def strip(spark, d):
-        df = s3(spark, d)
-        return df.select(B.KEY, *[strip_currency(F.col(c)).alias(f"{m}_text") for c, m in zip(long_money, money)])
+        return with_stripped(s3(spark, d), {f"{m}_text": c for c, m in zip(long_money, money)}).select(B.KEY, *[f"{m}_text" for m in money])
 
     def parse(spark, d):
         return with_midpoints(s3(spark, d), dict(zip(money, long_money))).select(B.KEY, *money)

@@ -119,45 +119,41 @@ def survey_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_FULLWIDTH_SRC = "0123456789<>"
-_FULLWIDTH_DST = "".join(chr(0xFF10 + i) for i in range(10)) + chr(0xFF1C) + chr(0xFF1E)
+_FULLWIDTH = {ord(c): 0xFF10 + i for i, c in enumerate("0123456789")} | {ord("<"): 0xFF1C, ord(">"): 0xFF1E}
 _MOJIBAKE = spec.CURRENCY_ARTEFACTS[1:4]
 
 
-def _render_label(bucket: Column, buckets, k: Column) -> Column:
-    """Dirty text of a bucket label; the rendering is chosen by ``k % 8``."""
-    style = k % 8
-    moji = F.when(idiv(k, F.lit(8)) % 3 == 0, _MOJIBAKE[0]) \
-        .when(idiv(k, F.lit(8)) % 3 == 1, _MOJIBAKE[1]).otherwise(_MOJIBAKE[2])
-    out = F.lit(None).cast("string")
-    for i, (kind, lo, hi) in enumerate(buckets):
-        def num(v: int, commas: bool = False) -> str:
-            return f"{v:,}" if commas else str(v)
-        if kind == "lt":
-            base, compact, commas, dash, rev = f"< {lo}", f"<{lo}", f"< {num(lo, True)}", f"< {lo}", None
-        elif kind == "gt":
-            base, compact, commas, dash, rev = f"> {lo}", f">{lo}", f"> {num(lo, True)}", f"> {lo}", None
+def _label_renderings(buckets) -> list[str]:
+    """The dirty texts of each bucket's label in turn, in the order of ``_label_style``."""
+    out = []
+    for kind, lo, hi in buckets:
+        if kind == "range":
+            base, compact, commas, dash, rev = f"{lo} - {hi}", f"{lo}-{hi}", f"{lo:,} - {hi:,}", f"{lo} – {hi}", f"{hi} - {lo}"
         else:
-            base = f"{lo} - {hi}"
-            compact = f"{lo}-{hi}"
-            commas = f"{num(lo, True)} - {num(hi, True)}"
-            dash = f"{lo} – {hi}"
-            rev = f"{hi} - {lo}"
+            sign = "<" if kind == "lt" else ">"
+            base, compact, commas, rev = f"{sign} {lo}", f"{sign}{lo}", f"{sign} {lo:,}", None
+            dash = base
         rupee = base + " ₹"
-        text = (
-            F.when(style == 0, F.lit(rupee))
-            .when(style == 1, F.lit(commas))
-            .when(style == 2, F.lit("Rs. " + base))
-            .when(style == 3, F.lit(dash))
-            .when(style == 4, F.concat(F.lit(base + " "), moji))
-            .when(style == 5, F.lit("  " + compact + "INR  "))
-            .when(style == 6, F.translate(F.lit(base), _FULLWIDTH_SRC, _FULLWIDTH_DST))
-            .otherwise(F.lit(rev if rev is not None else rupee))
-        )
-        out = F.when(bucket == i, text).otherwise(out)
+        out += [rupee, commas, "Rs. " + base, dash, f"{base} {_MOJIBAKE[0]}", "  " + compact + "INR  ", base.translate(_FULLWIDTH),
+                rev if rev is not None else rupee, f"{base} {_MOJIBAKE[1]}", f"{base} {_MOJIBAKE[2]}"]
     return out
 
 
+STYLES = 10
+
+
+def _label_style(k: Column) -> Column:
+    """Which rendering a key's labels take: ``k % 8``, and of the three mojibake forms the one of ``k / 8 % 3``."""
+    turn = idiv(k, F.lit(8)) % 3
+    return (F.when((k % 8).between(0, 7) & (k % 8 != 4), k % 8)
+            .when(k % 8 == 4, F.when(turn == 0, 4).when(turn == 1, 8).otherwise(9)).otherwise(7)).cast("int")
+
+
+def _render_label(bucket: Column, buckets, style: Column) -> Column:
+    """Dirty text of a bucket label: one look into a constant list."""
+    return F.get(F.array(*map(F.lit, _label_renderings(buckets))), bucket * STYLES + style)
+
+
 RAW_HEADERS = {
     # raw header as exported (edge / inner spaces significant) -> amounts column
     "Residential Background ": "background",
@@ -188,6 +184,9 @@ def survey_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("upi_app"))
     ts = F.date_format(F.from_utc_timestamp(F.col("o_orderdate").cast("timestamp"), spec.SOURCE_TIMEZONE),
                        "yyyy-MM-dd HH:mm:ss")
+    # each row's style and buckets are columns of their own, so they are computed once
+    s = s.withColumns({"_style": _label_style(k), **{f"_{c}": _expense_bucket(F.col(c)) for c in ("a", "n", "r", "q")}, "_al": _allowance_bucket(F.col("al"))})
+    style = F.col("_style")
     rows = s.select(
         ts.alias("Timestamp"),
         F.col("c_name").alias("Student Name"),
@@ -198,14 +197,14 @@ def survey_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("background").alias("Residential Background "),
         F.col("work_internship").alias("Part-time Work/Internship "),
         *courses,
-        _render_label(_expense_bucket(F.col("a")), EXPENSE_BUCKETS, k).alias("Food Expenses  (Monthly)"),
-        _render_label(_expense_bucket(F.col("n")), EXPENSE_BUCKETS, k).alias("Transport Expenses  (Monthly)"),
-        _render_label(_expense_bucket(F.col("r")), EXPENSE_BUCKETS, k).alias("Academic Expenses  (Monthly)"),
-        _render_label(_expense_bucket(F.col("q")), EXPENSE_BUCKETS, k).alias("Other Expenses (Monthly)"),
+        _render_label(F.col("_a"), EXPENSE_BUCKETS, style).alias("Food Expenses  (Monthly)"),
+        _render_label(F.col("_n"), EXPENSE_BUCKETS, style).alias("Transport Expenses  (Monthly)"),
+        _render_label(F.col("_r"), EXPENSE_BUCKETS, style).alias("Academic Expenses  (Monthly)"),
+        _render_label(F.col("_q"), EXPENSE_BUCKETS, style).alias("Other Expenses (Monthly)"),
         F.col("preferred_payment").alias("Preferred Payment  "),
         upi.alias("If UPI which app you use?"),
         F.col("track_digitally").alias("Do you track your expenses digitally?"),
-        _render_label(_allowance_bucket(F.col("al")), ALLOWANCE_BUCKETS, k).alias(" Monthly Allowance"),
+        _render_label(F.col("_al"), ALLOWANCE_BUCKETS, style).alias(" Monthly Allowance"),
         F.col("budget_plan").alias("Do you maintain a monthly budget plan?"),
         F.col("study_focus").alias("In which study-related areas do you spend the most each month?"),
         k.alias(KEY),
