@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tokenize import encoder
-from .util import binary_array, materialize, row_slices, string_buffer
+from .util import arrow_rows, binary_array, materialize, row_slices, string_buffer
 
 CAPACITY, WIDTH, UNIT = 2048, 4, 512
 #: Pieces by rank bucket, on average, before a class is ranked in more buckets.
 BUCKET_ROWS = 100_000
+#: Texts that a worker gets at a time.
+TEXT_ROWS = 1000
 
 
 def token_pieces(docs: DataFrame, path: str, rule: str, end_id: int, capacity: int = CAPACITY, unit: int = UNIT, keep_ids: bool = False) -> DataFrame:
@@ -203,4 +205,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, width: int = WIDTH) -> Dat
 def pack_documents(docs: DataFrame, path: str, rule: str = "word", end_id: int = 1, capacity: int = CAPACITY, width: int = WIDTH,
                    unit: int = UNIT, keep_ids: bool = False) -> DataFrame:
     """Tokenise and pack whole documents: one row per piece (see ``token_pieces`` and ``pack``)."""
-    return pack(materialize(token_pieces(docs, path, rule, end_id, capacity, unit, keep_ids), "pieces"), capacity, width)
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        pieces = materialize(token_pieces(docs, path, rule, end_id, capacity, unit, keep_ids), "pieces")
+    return pack(pieces, capacity, width)
