@@ -103,6 +103,16 @@ def _artefact_passes(artefacts) -> list[str]:
 _ARTEFACT_PASSES = _artefact_passes(spec.CURRENCY_ARTEFACTS)
 
 
+# Labels in one of the plain forms, read by one match: at most one artefact before and one after the amounts, no
+# other characters. Nothing in them needs folding but the en dash and full-width forms, and no artefact can start inside
+# an amount, so the artefact passes would find the same. Atomic groups: an artefact is what the passes' order makes it.
+_WIDE_DIGITS = "".join(chr(0xFF10 + i) for i in range(10))
+_PLAIN_NUM = f"([0-9{_WIDE_DIGITS}.,]++)"
+_ARTEFACT = "(?>" + "|".join(_ARTEFACT_PASSES) + ")"
+_PLAIN_RE = (rf"^ *+(?:{_ARTEFACT} *+)?+(?:[<\uff1c] *+{_PLAIN_NUM}|[>\uff1e] *+{_PLAIN_NUM}|{_PLAIN_NUM} *+[-\u2013] *+{_PLAIN_NUM})"
+             rf" *+(?:{_ARTEFACT} *+)?+\z")
+
+
 def _drop_artefacts(c: Column) -> Column:
     for pattern in _ARTEFACT_PASSES:
         c = F.regexp_replace(c, pattern, " ")
@@ -145,6 +155,21 @@ def label_parts(clean: Column) -> Column:
     return F.split(F.regexp_replace(clean, _LABEL_RE, "$1|$2|$3|$4"), r"\|", -1)
 
 
+def _plain_match(c: Column) -> Column:
+    """A label beside its four numbers behind a mark, if it is in a plain form (else twice)."""
+    return F.struct(c.alias("label"), F.regexp_replace(c, _PLAIN_RE, _SEP + "$1|$2|$3|$4").alias("match"))
+
+
+def _parts_of_match(m: Column) -> Column:
+    """``label_parts`` of the cleaned label, without the cleaning chain where ``_plain_match`` read it."""
+    label, match = m["label"], m["match"]
+    # no plain form starts with the mark
+    found = match.startswith(_SEP) & ~label.startswith(_SEP)
+    return F.when(found, F.split(F.substring(F.when(F.octet_length(match) == F.length(match), match)
+                                             .otherwise(F.translate(match, _WIDE_DIGITS, "0123456789")), F.lit(2), F.length(match)), r"\|", -1)) \
+        .when(label.isNotNull(), label_parts(strip_currency(label)))
+
+
 def midpoint_from_parts(p: Column) -> Column:
     """``< x`` -> 0.5x, ``> x`` -> 1.25x, ``a - b`` -> (a + b) / 2; NULL when nothing matched."""
     g1, g2, g3, g4 = (F.get(p, F.lit(i)) for i in range(4))
@@ -188,12 +213,11 @@ def with_stripped(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def with_midpoints(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Add ``out -> midpoint(in)`` columns, the labels in three steps per cell: clean, split, compute."""
+    """Add ``out -> midpoint(in)`` columns, the labels in three steps per cell: match, split (cleaned before, where no plain form), compute."""
     types = dict(df.dtypes)
     text = [o for o, i in columns.items() if types[i] == "string"]
     out = {o: F.col(f"`{i}`").cast("double") for o, i in columns.items() if o not in text}
     if not text:
         return df.withColumns(out)
-    steps = (lambda c: F.when(c.isNotNull(), strip_currency(c)), label_parts, midpoint_from_parts)
-    step = df.withColumn("__cells", _per_cell([columns[o] for o in text], *steps))
+    step = df.withColumn("__cells", _per_cell([columns[o] for o in text], _plain_match, _parts_of_match, midpoint_from_parts))
     return step.withColumns({**out, **{o: F.get("__cells", F.lit(k)) for k, o in enumerate(text)}}).drop("__cells")

@@ -33,8 +33,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     return df.select(*cols) if cols else df
 
 
+def _whole(c: Column) -> Column:
+    """``round(c)`` of a double as a long, halves away from zero: ``round`` goes through a decimal text for every value.
+
+    The part that the cast cuts off is exact in doubles, and so is its comparison with a half.
+    """
+    rest = c - c.cast("long")
+    return c.cast("long") + F.when(rest >= 0.5, 1).when(rest <= -0.5, -1).otherwise(0)
+
+
 def _cents(c: Column) -> Column:
-    return F.round(c * 100).cast("long")
+    return _whole(c * 100)
 
 
 def _expense_bucket(x: Column) -> Column:
@@ -64,7 +73,7 @@ def survey_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
             idiv(F.sum(F.when(F.col("l_returnflag") == flag, _cents(F.col("l_extendedprice")))
                        .otherwise(F.lit(0).cast("long"))), F.lit(3000)).alias(alias)
             for flag, alias in (("A", "a"), ("N", "n"), ("R", "r"))
-        ], (F.sum(F.round(F.col("l_quantity")).cast("long")) * 25).alias("q"))
+        ], (F.sum(_whole(F.col("l_quantity"))) * 25).alias("q"))
     )
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
                         "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -90,9 +99,7 @@ def survey_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(pri == "3-MEDIUM", "3rd Year").otherwise("4th Year"))
     app_slot = idiv(k, F.lit(20)) % 8
     apps = ("GPay", "GPay", "PhonePe", "SBI Pay", "Amazon Pay", "BHIM UPI", "Airtel Thanks App", "Other")
-    app = F.lit("Other")
-    for i in range(6, -1, -1):
-        app = F.when(app_slot == i, apps[i]).otherwise(app)
+    app = F.coalesce(F.get(F.array(*map(F.lit, apps)), app_slot.cast("int")), F.lit("Other"))
     rk = F.col("r_regionkey")
     return base.select(
         k.alias(KEY),
@@ -171,21 +178,18 @@ def survey_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cr = F.when(k % 50 == 0, cn + 1)
     rep = F.when(k % 70 == 0, F.when((cn != 1) & (F.coalesce(cr, F.lit(0)) != 1), 1)
                  .when((cn != 2) & (F.coalesce(cr, F.lit(0)) != 2), 2).otherwise(3))
-    courses = []
-    for i, name in enumerate(spec.COURSE_COLUMNS, start=1):
-        courses.append(
-            F.when(cn == i, F.col("n_name"))
-            .when(cr == i, F.col("r_name"))
-            .when(rep == i, F.concat(F.lit("  "), F.col("n_name"), F.lit(" ")))
-            .when((k % 13 == 0) & (F.lit(i) == 6), F.lit("   "))
-            .alias(name)
-        )
+    # Lambdas over arrays keep the projection out of the joins' generated method, which had become too large to be compiled.
+    courses = F.transform(F.array(*map(F.lit, range(1, len(spec.COURSE_COLUMNS) + 1))), lambda i: (
+        F.when(i == F.col("_cn"), F.col("n_name"))
+        .when(i == F.col("_cr"), F.col("r_name"))
+        .when(i == F.col("_rep"), F.concat(F.lit("  "), F.col("n_name"), F.lit(" ")))
+        .when((k % 13 == 0) & (i == 6), F.lit("   "))))
     upi = F.when(k % 22 == 0, F.lit(None).cast("string")).when(k % 22 == 11, F.lit("  ")) \
         .otherwise(F.col("upi_app"))
     ts = F.date_format(F.from_utc_timestamp(F.col("o_orderdate").cast("timestamp"), spec.SOURCE_TIMEZONE),
                        "yyyy-MM-dd HH:mm:ss")
     # each row's style and buckets are columns of their own, so they are computed once
-    s = s.withColumns({"_style": _label_style(k), **{f"_{c}": _expense_bucket(F.col(c)) for c in ("a", "n", "r", "q")}, "_al": _allowance_bucket(F.col("al"))})
+    s = s.withColumns({"_cn": cn, "_cr": cr, "_rep": rep}).withColumns({"_courses": courses, "_style": _label_style(k), **{f"_{c}": _expense_bucket(F.col(c)) for c in ("a", "n", "r", "q")}, "_al": _allowance_bucket(F.col("al"))})
     style = F.col("_style")
     rows = s.select(
         ts.alias("Timestamp"),
@@ -196,7 +200,7 @@ def survey_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("accommodation").alias("Accommodation Type"),
         F.col("background").alias("Residential Background "),
         F.col("work_internship").alias("Part-time Work/Internship "),
-        *courses,
+        *[F.get("_courses", F.lit(i)).alias(name) for i, name in enumerate(spec.COURSE_COLUMNS)],
         _render_label(F.col("_a"), EXPENSE_BUCKETS, style).alias("Food Expenses  (Monthly)"),
         _render_label(F.col("_n"), EXPENSE_BUCKETS, style).alias("Transport Expenses  (Monthly)"),
         _render_label(F.col("_r"), EXPENSE_BUCKETS, style).alias("Academic Expenses  (Monthly)"),

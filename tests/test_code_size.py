@@ -27,3 +27,17 @@ def test_five_label_columns(spark):
     assert sorted(map(tuple, mid.collect()), key=str) == sorted([(250.0, 750.0, 1500.0, 6250.0, None), (None, None, None, 3500.0, 1.5)], key=str)
     assert {r.t_c for r in text.collect()} == {"2000 - 1000", "1500"} and {r.t_e for r in text.collect()} == {"", "1.-2"}
     assert {r.u for r in usage.collect()} == {33.3, None}
+
+
+def test_raw_export(spark, sf_dir):
+    # the rendering of the export was part of the joins' method (13,493 bytecodes, never compiled)
+    from censusflow.sources.binding import survey_raw
+    held = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        found = sizes(survey_raw(spark, sf_dir))
+    finally:
+        for c, v in held.items():
+            spark.conf.set(c, v)
+    assert found and max(found) <= LIMIT

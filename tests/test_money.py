@@ -99,3 +99,39 @@ def test_every_code_point_that_folds_to_kept_characters(spark):
     assert not bad, (len(bad), bad[:5])
     mid = spark.createDataFrame([("\u2469\u24ea - \u2473\u24ea",)], "label string").select(parse_midpoint(F.col("label"))).first()[0]
     assert mid == 150.0
+
+
+def test_plain_labels_skip_the_cleaning_chain_with_the_same_amounts(spark):
+    import random
+
+    from censusflow.functions.money import _PLAIN_RE
+    from censusflow.sources.binding import ALLOWANCE_BUCKETS, EXPENSE_BUCKETS, _label_renderings
+    rendered = _label_renderings(EXPENSE_BUCKETS) + _label_renderings(ALLOWANCE_BUCKETS)
+    edges = ["₹", "â‚¹", "â,¹", "â¹", "؋", "Rs.", "Rs", "INR", "$", "€", "", " ", "¹", "\x01", "|", "\n"]
+    numbers, signs = ["5", "１０", ".", "1,000", "2.5", ",", ""], ["-", "–", " - ", "<", "> ", "＜", "−", ""]
+    rng = random.Random(3)
+    mixed = ["".join(rng.choice(x) for x in (edges, signs, numbers, signs, numbers, [" ", ""], edges, edges)) for _ in range(4000)]
+    df = spark.createDataFrame([(x,) for x in rendered + mixed], "label string")
+    assert df.limit(len(rendered)).filter(~F.regexp_like("label", F.lit(_PLAIN_RE))).count() == 0
+    both = with_midpoints(df, {"mid": "label"}).withColumn("chain", parse_midpoint(F.col("label")))
+    assert both.filter(~F.col("mid").eqNullSafe(F.col("chain"))).collect() == []
+
+
+def test_usage_ratio_beyond_64_bits_and_whole_cents(spark):
+    import random
+    from censusflow.sources.binding import _whole
+    rng = random.Random(4)
+    pairs = [(rng.randint(-10**e, 10**e), rng.choice([-1, 1]) * rng.randint(1, 10**f)) for e in (2, 5, 12, 16, 17, 18) for f in (1, 4, 16, 18) for _ in range(20)]
+    pairs += [(10**16, 1), (10**16 + 1, 3), (-10**16, 7), (25, 100), (35, 100), (0, 5), (5, 0)]
+    got = spark.createDataFrame(pairs, "t long, a long").select("t", "a", round_half_even_ratio(F.col("t"), F.col("a"), 1).alias("r")).collect()
+    for t, a, r in got:
+        if a == 0:
+            assert r is None
+            continue
+        n, d = abs(t) * 10, abs(a)
+        q, rest = divmod(n, d)
+        q += 2 * rest > d or (2 * rest == d and q % 2 == 1)
+        assert r == float(-q if (t < 0) != (a < 0) else q) / 10.0, (t, a)
+    values = [0.49999999999999994, -0.49999999999999994, 0.5, -0.5, 1.5, 2.0**52 + 0.5, 2.0**53 + 2, 1e17, None, *(rng.randint(0, 10**7) / 100 * 100 for _ in range(500)), *(i + 0.5 for i in range(-9, 9))]
+    v = spark.createDataFrame([(x,) for x in values], "v double")
+    assert v.filter(~_whole(F.col("v")).eqNullSafe(F.round("v").cast("long"))).collect() == []
