@@ -182,9 +182,14 @@ def constraint_violations(stage4_text: DataFrame, key: str = "response_id") -> D
     The target table rejects a whole load on the first violation; splitting per
     row keeps the good rows loadable and names every reason for the rest.
     """
+    return checked_rows(stage4_text, key).filter(F.col("violations") != "")
+
+
+def checked_rows(stage4_text: DataFrame, key: str = "response_id") -> DataFrame:
+    """L10 for a split without a join: ``key`` and ``violations`` (comma-joined, '' if none) of every row."""
     numbers = [*spec.NON_NEGATIVE_HEADERS, "Budget Usage %"]
-    read = stage4_text.withColumn("__numbers", F.transform(F.array(*[col_of(c).cast("string") for c in numbers]), lambda c: numeric(c)))
-    value = {c: F.get("__numbers", F.lit(i)) for i, c in enumerate(numbers)}
+    read = stage4_text.withColumns({f"__number_{i}": numeric(col_of(c)) for i, c in enumerate(numbers)})
+    value = {c: F.col(f"__number_{i}") for i, c in enumerate(numbers)}
     checks: list[tuple[str, Column]] = []
     for header, allowed in spec.DOMAINS.items():
         col = spec.PUBLISHED_NAMES[header]
@@ -201,5 +206,4 @@ def constraint_violations(stage4_text: DataFrame, key: str = "response_id") -> D
                    F.coalesce((u < spec.BUDGET_USAGE_MIN) | (u > spec.BUDGET_USAGE_MAX), F.lit(False))))
     checks.append(("ck_students_budget_name_not_blank", is_blank(col_of("Student Name"))))
     violated = F.concat_ws(",", *[F.when(cond, F.lit(name)) for name, cond in checks])
-    return (read.select(col_of(key).alias(key), violated.alias("violations"))
-            .filter(F.col("violations") != ""))
+    return read.select(col_of(key).alias(key), violated.alias("violations"))

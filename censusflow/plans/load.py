@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col_of
 from ..operators import gate_state as G
 from ..operators import publish as L
 from ..operators import quality as Q
@@ -56,7 +57,7 @@ class VerificationFailed(RuntimeError):
         self.checks = checks
 
 
-ROW = "load_row"
+ROW = "load_row"  # a whole row beside its text
 #: Folder beside a table's parts, and name in its manifests, of the states of its loads' checks.
 GATE = "gate"
 
@@ -64,18 +65,18 @@ GATE = "gate"
 def split_rows(cleaned: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
     """(accepted display frame, rejects with ``key`` and ``reasons``) of a cleaned survey.
 
-    Rows are told apart by a number that they get at the start, so repeated and null keys are split like any other. The
-    parsed rows are written once: their numbers don't change, and neither side evaluates the label parser again.
+    Reasons are found row by row and written beside the rows, so repeated and null keys are split like any other, neither
+    side evaluates the label parser again, and nothing is shuffled.
     """
-    parsed = written(flag_money(shorten_names(cleaned)).withColumn(ROW, F.monotonically_increasing_id()), "load-parsed")
+    parsed = written(flag_money(shorten_names(cleaned)), "load-parsed")
     readable = parsed.filter("failed_columns = ''").drop("failed_columns")
-    staged = written(display_frame(transform_survey(readable), passthrough=(key, ROW)), "load-staged")
-    broken = L.constraint_violations(L.loader_frame(staged, ROW), ROW).select(ROW, F.col("violations").alias("reasons"))
-    broken = staged.select(key, ROW).join(broken, ROW)
-    unread = parsed.filter("failed_columns <> ''").select(key, ROW, F.concat(F.lit("money:"), "failed_columns").alias("reasons"))
-    rejected = written(unread.unionByName(broken.select(key, ROW, "reasons")), "load-rejected")
-    accepted = staged.join(rejected.select(ROW), ROW, "left_anti")
-    return accepted.drop(ROW), rejected.select(key, "reasons")
+    display = display_frame(transform_survey(readable), passthrough=(key,))
+    whole = display.withColumn(ROW, F.struct(*[col_of(c) for c in display.columns]))
+    staged = written(L.checked_rows(L.loader_frame(whole, ROW), ROW).select(f"{ROW}.*", "violations"), "load-staged")
+    unread = parsed.filter("failed_columns <> ''").select(key, F.concat(F.lit("money:"), "failed_columns").alias("reasons"))
+    broken = staged.filter("violations <> ''").select(key, F.col("violations").alias("reasons"))
+    rejected = written(unread.unionByName(broken), "load-rejected")
+    return staged.filter("violations = ''").drop("violations"), rejected
 
 
 def preload_problems(display: DataFrame, key: str = KEY) -> DataFrame:

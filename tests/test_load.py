@@ -184,3 +184,17 @@ def test_loads_with_own_checks(spark, raw):
     assert out.results.filter("name = 'some_rows'").first()["passed"]
     with pytest.raises(ValueError):
         _load(rows, path, append=True)
+
+
+def test_rows_are_split_without_a_shuffle(spark, raw):
+    from censusflow.operators.clean import clean_survey
+    from censusflow.plans.load import split_rows
+    few = raw.filter("response_id >= 0").orderBy("response_id").limit(30)
+    few = few.withColumn("Degree", F.when(F.col("response_id") % 4 == 0, "Diploma").otherwise(F.col("Degree")))
+    n = few.filter("Degree = 'Diploma'").count()
+    accepted, rejected = split_rows(clean_survey(few))
+    for part in (accepted, rejected):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+    assert (accepted.count(), rejected.count()) == (30 - n, n) and n > 0
+    assert {r["reasons"] for r in rejected.collect()} == {"ck_students_budget_degree"}
