@@ -100,6 +100,19 @@ def round_half_even_ratio(num: Column, den: Column, scale: int) -> Column:
     return let(given, ratio)
 
 
+def round_half_even_longs(num: Column, den: Column, scale: int) -> Column:
+    """``round_half_even_ratio`` of two long columns: plain arithmetic where 64 bits suffice, the wide form elsewhere."""
+    p = 10 ** scale
+    limit = F.lit(10 ** (17 - scale))
+    small = num.between(-limit, limit) & den.between(-limit, limit)
+    a, b = F.abs(num * F.lit(p).cast("long")), F.abs(den)
+    q, r = idiv(a, b), a % b
+    up = F.when((r * 2 > b) | ((r * 2 == b) & (q % 2 == 1)), 1).otherwise(0)
+    sign = F.when((num < 0) != (den < 0), -1).otherwise(1)
+    return F.when(small, F.when(den != 0, (sign * (q + up)).cast("double") / F.lit(float(p)))) \
+        .otherwise(round_half_even_ratio(num, den, scale))
+
+
 def round_half_up_ratio(num: Column, den: Column, scale: int) -> Column:
     """``round(num/den, scale)``, ties away from zero (SQL ``round``), exact for integers."""
     p = 10 ** scale

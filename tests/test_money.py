@@ -135,3 +135,14 @@ def test_usage_ratio_beyond_64_bits_and_whole_cents(spark):
     values = [0.49999999999999994, -0.49999999999999994, 0.5, -0.5, 1.5, 2.0**52 + 0.5, 2.0**53 + 2, 1e17, None, *(rng.randint(0, 10**7) / 100 * 100 for _ in range(500)), *(i + 0.5 for i in range(-9, 9))]
     v = spark.createDataFrame([(x,) for x in values], "v double")
     assert v.filter(~_whole(F.col("v")).eqNullSafe(F.round("v").cast("long"))).collect() == []
+
+
+def test_usage_ratio_of_longs(spark):
+    import random
+    from censusflow.functions.columns import round_half_even_longs
+    rnd, edge = random.Random(5), 10 ** 16
+    few = [None, 0, 1, -1, 2, -3, 8, 20, edge, -edge, edge + 1, 3 * 10 ** 17]
+    pairs = [(t, a) for t in few for a in few] + [(rnd.randrange(-10 ** 6, 10 ** 6), rnd.randrange(-5000, 5000)) for _ in range(2000)]
+    df = spark.createDataFrame(pairs, "t long, a long").select(
+        round_half_even_longs(F.col("t"), F.col("a"), 1).alias("plain"), round_half_even_ratio(F.col("t"), F.col("a"), 1).alias("wide"))
+    assert df.filter(~F.col("plain").eqNullSafe(F.col("wide"))).count() == 0 and df.filter("plain is not null").count() > 2000
