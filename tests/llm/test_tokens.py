@@ -33,6 +33,23 @@ def test_ids_equal_the_library(spark, sf_dir, file, rule):
             assert ids[at[k]:at[k + 1]].tolist() == want, texts[k][:60]
 
 
+def test_byte_pieces_end_at_signs_digits_and_newlines():
+    # "word,", "(word" and "word.\nword" were pieces of their own, each encoded anew
+    enc = Encoder(tokenizer_path("byte_bpe_50k.json"), "byte")
+    enc.encode(*string_buffer(pa.array(["word word, (word; word2 word.\nword don't 'tis été,"])))
+    assert sorted(enc.size.tolist()) == sorted(map(len, ids_of(enc, ["word", " word", ",", " (", ";", "2", ".", "\n", " don", "'t", " 'tis", " été"])))
+    rng = random.Random(9)
+    letters = [chr(c) for c in range(0xA0, 0x250)]
+    texts = [f"a{c}1{c}'{c}s.{c}\n{c} {c}, {c}{c}9{c}A" for c in letters]
+    some = [*" \n\n\t'.-<|019aZs", "'ll", "'re", "\n\n", "é", "ÿ", "ȿ", "×", "÷", "\u0301", "\u0660", "\xa0", "\u2028", "\x85", "日", "²"]
+    texts += ["".join(rng.choice(some) for _ in range(rng.randrange(30))) for _ in range(20_000)]
+    for _ in range(2):
+        ids, n = enc.encode(*string_buffer(pa.array(texts)))
+        at = np.append(0, np.cumsum(n))
+        for k, want in enumerate(ids_of(enc, texts)):
+            assert ids[at[k]:at[k + 1]].tolist() == want, texts[k]
+
+
 SPECIAL = ["<|endoftext|>", "<|startoftext|>", "<|endoftext|><|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|endoftext|>", "< |endoftext|>"]
 
 
