@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import spec
+from .columns import let
 
 
 _DASHES = {chr(cp) for cp in (*range(0x2010, 0x2016), 0x2212)}
@@ -107,7 +108,8 @@ _ARTEFACT_PASSES = _artefact_passes(spec.CURRENCY_ARTEFACTS)
 # other characters. Nothing in them needs folding but the en dash and full-width forms, and no artefact can start inside
 # an amount, so the artefact passes would find the same. Atomic groups: an artefact is what the passes' order makes it.
 _WIDE_DIGITS = "".join(chr(0xFF10 + i) for i in range(10))
-_PLAIN_NUM = f"([0-9{_WIDE_DIGITS}.,]++)"
+# the wide digits are a range: ten entries of a class are ten tests for every character
+_PLAIN_NUM = "([0-9.,\uff10-\uff19]++)"
 _ARTEFACT = "(?>" + "|".join(_ARTEFACT_PASSES) + ")"
 _PLAIN_RE = (rf"^ *+(?:{_ARTEFACT} *+)?+(?:[<\uff1c] *+{_PLAIN_NUM}|[>\uff1e] *+{_PLAIN_NUM}|{_PLAIN_NUM} *+[-\u2013] *+{_PLAIN_NUM})"
              rf" *+(?:{_ARTEFACT} *+)?+\z")
@@ -155,21 +157,6 @@ def label_parts(clean: Column) -> Column:
     return F.split(F.regexp_replace(clean, _LABEL_RE, "$1|$2|$3|$4"), r"\|", -1)
 
 
-def _plain_match(c: Column) -> Column:
-    """A label beside its four numbers behind a mark, if it is in a plain form (else twice)."""
-    return F.struct(c.alias("label"), F.regexp_replace(c, _PLAIN_RE, _SEP + "$1|$2|$3|$4").alias("match"))
-
-
-def _parts_of_match(m: Column) -> Column:
-    """``label_parts`` of the cleaned label, without the cleaning chain where ``_plain_match`` read it."""
-    label, match = m["label"], m["match"]
-    # no plain form starts with the mark
-    found = match.startswith(_SEP) & ~label.startswith(_SEP)
-    return F.when(found, F.split(F.substring(F.when(F.octet_length(match) == F.length(match), match)
-                                             .otherwise(F.translate(match, _WIDE_DIGITS, "0123456789")), F.lit(2), F.length(match)), r"\|", -1)) \
-        .when(label.isNotNull(), label_parts(strip_currency(label)))
-
-
 def midpoint_from_parts(p: Column) -> Column:
     """``< x`` -> 0.5x, ``> x`` -> 1.25x, ``a - b`` -> (a + b) / 2; NULL when nothing matched."""
     g1, g2, g3, g4 = (F.get(p, F.lit(i)) for i in range(4))
@@ -178,6 +165,22 @@ def midpoint_from_parts(p: Column) -> Column:
                   .when((g3 != "") & (g4 != ""), (_num(g3) + _num(g4)) / F.lit(2.0)))
 
 
+def _plain_match(c: Column) -> Column:
+    """A label beside its one or two numbers with a bar behind the first, if it is in a plain form (else twice)."""
+    return F.struct(c.alias("label"), F.regexp_replace(c, _PLAIN_RE, "$1$2$3|$4").alias("match"))
+
+
+def _midpoint_of_match(m: Column) -> Column:
+    """The label's midpoint, without the cleaning chain where ``_plain_match`` read it: by plain cuts, as a list of parts costs more than the match."""
+    label, match = m["label"], m["match"]
+    narrow = F.when(F.octet_length(match) == F.length(match), match).otherwise(F.translate(match, _WIDE_DIGITS, "0123456789"))
+    one = _num(F.substring_index(narrow, "|", 1))
+    plain = F.when(~match.endswith("|"), (one + _num(F.substring_index(narrow, "|", -1))) / F.lit(2.0)) \
+        .when(label.contains("<") | label.contains("\uff1c"), one * F.lit(spec.OPEN_LOW_MULTIPLIER)).otherwise(one * F.lit(spec.OPEN_HIGH_MULTIPLIER))
+    # no plain form holds the bar that a match puts in, so a match is never the label itself
+    return F.when(match != label, plain).when(label.isNotNull(), let(label_parts(strip_currency(label)), midpoint_from_parts))
+
+
 def parse_midpoint(c: Column, dtype: str = "string") -> Column:
     """Midpoint (double) of one money label; numbers pass through; anything else is NULL.
 
@@ -213,11 +216,11 @@ def with_stripped(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def with_midpoints(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Add ``out -> midpoint(in)`` columns, the labels in three steps per cell: match, split (cleaned before, where no plain form), compute."""
+    """Add ``out -> midpoint(in)`` columns, the labels in two steps per cell: match, compute (from the cleaned label, where no plain form)."""
     types = dict(df.dtypes)
     text = [o for o, i in columns.items() if types[i] == "string"]
     out = {o: F.col(f"`{i}`").cast("double") for o, i in columns.items() if o not in text}
     if not text:
         return df.withColumns(out)
-    step = df.withColumn("__cells", _per_cell([columns[o] for o in text], _plain_match, _parts_of_match, midpoint_from_parts))
+    step = df.withColumn("__cells", _per_cell([columns[o] for o in text], _plain_match, _midpoint_of_match))
     return step.withColumns({**out, **{o: F.get("__cells", F.lit(k)) for k, o in enumerate(text)}}).drop("__cells")
