@@ -117,6 +117,17 @@ def test_plain_labels_skip_the_cleaning_chain_with_the_same_amounts(spark):
     assert both.filter(~F.col("mid").eqNullSafe(F.col("chain"))).collect() == []
 
 
+def test_plain_labels_give_their_numbers_by_plain_cuts(spark):
+    # a match was four parts behind a mark, split into a list for every label
+    from censusflow.functions.money import _plain_match
+    labels = {"< 1,000 ₹": ("1,000|", 500.0), "＞ ５０００": ("５０００|", 6250.0), "Rs. 2000 – 1000": ("2000|1000", 1500.0), "１０ - 5": ("１０|5", 7.5),
+              ", - 5": (",|5", None), "1.2.3 - 5": ("1.2.3|5", None), "5|": ("5|", None), "1|2": ("1|2", None), "|": ("|", None), "> 5|": ("> 5|", 6.25), "about 2k": ("about 2k", None)}
+    df = with_midpoints(spark.createDataFrame([(x,) for x in labels], "label string"), {"mid": "label"})
+    got = df.select("label", _plain_match(F.col("label"))["match"].alias("match"), "mid").collect()
+    assert {r.label: (r.match, r.mid) for r in got} == labels
+    assert df.filter(~F.col("mid").eqNullSafe(parse_midpoint(F.col("label")))).count() == 0
+
+
 def test_usage_ratio_beyond_64_bits_and_whole_cents(spark):
     import random
     from censusflow.sources.binding import _whole
