@@ -6,13 +6,13 @@ sizes p and q overlap by at most the sum of the coordinate minima, so a link nee
 
 The join is an R-tree over these points, cut so that Spark can deal it out:
 
-* Root: bands of set sizes. A pair lies in one band or in neighbouring ones, so a document is put into its own
-  band and the next.
-* Inner level: the coordinates of a band are cut into ``T + 1 + E`` slices. Points within distance T agree on
-  all counts of ``E + 1`` slices or more, so a slice's counts are a key, and every linked pair shares a key of
-  a slice that is not empty, unless both have more than E empty slices (then those are keys, too).
-* Under a key of at most ``FEW`` sets every pair is weighed by the summed minima of its points, folded to few
-  coordinates, and most chance meetings end here. Under a key of more, every set is tied to the smallest one.
+* Inner level: the coordinates (64-bit groups here) have one order for all sets: those that stand in many sets come last,
+  by group number otherwise. Sets that link share one of the first ``p - t * p + 1`` coordinates of either, so these are the
+  keys. Which coordinates count as common (``_Repeats``) only decides how many sets meet under a key: any order finds all links.
+* Under a key of at most ``FEW`` sets every pair is weighed: where the key is the first that they share, what follows it in
+  either set has to suffice; then by the summed minima of its points, folded to few coordinates. Most chance meetings end here.
+* A key of more sets is split by bands of set sizes. A pair lies in one band or in neighbouring ones, so a set is put into
+  its own band and the next. In a band of more than ``FEW`` sets, every set is tied to the smallest one.
 * Sets connected by these ties form a cluster: a superset of linked sets. In a cluster of more than ``TILE``
   sets all folded points are compared first, in tiles, and it falls apart along the pairs that may link.
   Members are dealt to tiles of at most ``2 * TILE`` (each two blocks of a large cluster meet in one).
@@ -35,8 +35,9 @@ from . import kernels as K
 from .graph import components
 from .util import binary_array, bloom_has, bloom_words, discard, list_array, materialize, materialize_narrow, row_slices, string_buffer
 
-TILE, LEAF, FEW, POINT_TILE = 384, 16, 16, 4096
-_GROUP_BITS = np.uint64(16)
+TILE, LEAF, FEW, POINT_TILE = 384, 16, 128, 4096
+#: Shingles that a task counts at once, and sets from which on a shingle is common.
+COUNTED, COMMON = 1 << 21, 16
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,37 +84,42 @@ def bands(num: int, den: int, largest: int) -> tuple[np.ndarray, np.ndarray]:
     return e[:-1], 2 * (e[1:] - 1) * (den - num) // (den + num)
 
 
-def slice_keys(g: np.ndarray, counts: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slice keys of each set in its own band and the next, and their number by row."""
+def first_keys(g: np.ndarray, counts: np.ndarray, common: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of each set, by the order that puts ``common`` ones last, and their number by row.
+
+    Sets of sizes p and q that link overlap by ``num / den`` of either at least. So the first shingle that they share
+    has as many after it in both, itself included, and is among the first ``p - num * p / den + 1`` of each.
+    """
     n = len(counts)
-    edges, distance = bands(num, den, 1 << max(10, int(counts.max(initial=1)).bit_length()))
-    own = np.searchsorted(edges, counts, side="right") - 1
-    row = np.repeat(np.arange(n), counts)
-    value = K.mix((g >> (np.uint64(64) - _GROUP_BITS)) + np.uint64(1))
-    at = K.mix(g ^ np.uint64(0xE7037ED1A0B428DB))  # apart from the group's bits
-    keys, rows = [], []
-    for up in (0, 1):
-        band = own + up
-        t = distance[band]
-        spare = 1 + t // 16
-        slices = np.where((counts > 0) & (t > 0), t + 1 + spare, 0)  # T = 0: only equal sets link
-        first = np.cumsum(slices) - slices
-        live = slices[row] > 0
-        slot = first[row[live]] + (at[live] % slices[row[live]].astype(np.uint64)).astype(np.int64)
-        total = int(slices.sum())
-        held = np.bincount(slot, minlength=total)
-        sums = np.zeros(total, np.uint64)
-        np.add.at(sums, slot, value[live])
-        of = np.repeat(np.arange(n), slices)
-        j = np.arange(total) - first[of]
-        empty = np.bincount(of[held == 0], minlength=n)
-        keep = (held > 0) | (empty > spare)[of]
-        tag = K.mix(band[of].astype(np.uint64) * np.uint64(1 << 32) + j.astype(np.uint64) + np.uint64(1))
-        keys.append(K.mix(sums + tag)[keep])
-        rows.append(of[keep])
-    keys, rows = np.concatenate(keys), np.concatenate(rows)
-    order = np.argsort(rows, kind="stable")
-    return keys[order].view(np.int64), np.bincount(rows, minlength=n)
+    row, first = np.repeat(np.arange(n), counts), np.cumsum(counts) - counts
+    rare = np.zeros(len(g) + 1, np.int64)
+    np.cumsum(~common, out=rare[1:])
+    before = rare[:-1] - rare[first][row]  # the row's rare ones before each
+    held = (rare[first + counts] - rare[first])[row]
+    at = np.where(common, held + np.arange(len(g)) - first[row] - before, before)
+    wanted = np.where(counts > 0, counts + counts * num // -den + 1, 0)
+    keep = at < wanted[row]
+    keys = np.empty(int(wanted.sum()), np.uint64)
+    keys[(np.cumsum(wanted) - wanted)[row[keep]] + at[keep]] = g[keep]
+    return keys.view(np.int64), wanted
+
+
+class _Repeats:
+    """Shingles that more than one set of a task has, counted ``COUNTED`` at a time: a shingle of very many sets shows in every task."""
+
+    def __init__(self):
+        self.held: list[np.ndarray] = []
+
+    def add(self, g: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Values and counts, whenever enough have come together."""
+        self.held.append(g)
+        return self.end() if sum(map(len, self.held)) >= COUNTED else []
+
+    def end(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        g, self.held = np.sort(np.concatenate([*self.held, np.empty(0, np.uint64)])), []
+        first = np.flatnonzero(np.append(True, g[1:] != g[:-1])[:len(g)])
+        times = np.diff(np.append(first, len(g)))
+        return [(g[first[times > 1]], times[times > 1])] if (times > 1).any() else []
 
 
 def folded_points(g: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,17 +228,39 @@ def tile_links(sets: list[np.ndarray], num: int, den: int, ask: np.ndarray | Non
     return links
 
 
-def _over_sets(n: int, run):
-    """A mapInArrow function: ``run(rows, sets, counts, seen)`` for each slice of texts; ``seen`` lives as long as the task."""
+def _over_sets(n: int, run, pick=None, end=None):
+    """A mapInArrow function: the batches of ``run(rows, sets, counts, task)`` for each slice of texts (of rows that ``pick(batch)``
+    marks), then those of ``end(task)``. ``task`` lives as long as the task."""
     def over(it):
-        seen: set[int] = set()
+        task = _Task()
         for batch in it:
+            if pick is not None:
+                batch = batch.filter(pa.array(pick(batch)))
             buf, offs = string_buffer(batch.column("text"))
             for i, j in row_slices(offs):
-                yield run(batch.slice(i, j - i), *shingle_sets(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], n), seen)
+                yield from run(batch.slice(i, j - i), *shingle_sets(buf[offs[i]:offs[j]], offs[i:j + 1] - offs[i], n), task)
+        if end is not None:
+            yield from end(task)
     return over
 
 
+class _Task:
+    """Ids of the sets that a task has met, and its repeated shingles."""
+
+    def __init__(self):
+        self.seen: set[int] = set()
+        self.repeats = _Repeats()
+
+    def new(self, ids: np.ndarray, counts: np.ndarray, doc_id: pa.Array) -> np.ndarray:
+        """Sets of documents with an id that are met for the first time."""
+        out = np.zeros(len(counts), bool)
+        for k, s in enumerate(ids.tolist()):
+            out[k] = counts[k] > 0 and s not in self.seen and doc_id[k].is_valid
+            if out[k]:
+                self.seen.add(s)
+        return out
+
+
 def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int = 10, row_keys: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row: rows link when ``den * |a & b| >= num * |a | b|``.
 
@@ -246,34 +274,54 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
 
-    def size(batch, g, counts, seen):
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(set_ids(g, counts)), binary_array(*folded_points(g, counts)), batch.column("text_key")],
-                                          ["doc_id", "n_shingles", "sig", "point", "text_key"])
+    names = ["doc_id", "n_shingles", "sig", "point", "text_key", "common", "times"]
+
+    def repeated(found):
+        for g, times in found:  # a row of its own
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())),
+                                              *(list_array(x.view(np.int64), np.array([len(x)]), pa.int64()) for x in (g, times))], names)
 
-    seen = materialize(docs.mapInArrow(_over_sets(shingle, size), "doc_id long, n_shingles long, sig long, point binary, text_key long"), "sets")
+    def size(batch, g, counts, task):
+        ids = set_ids(g, counts)
+        none = pa.nulls(len(counts), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(ids), binary_array(*folded_points(g, counts)), batch.column("text_key"), none, none], names)
+        yield from repeated(task.repeats.add(g[np.repeat(task.new(ids, counts, batch.column("doc_id")), counts)]))
+
+    sized = docs.mapInArrow(_over_sets(shingle, size, end=lambda task: repeated(task.repeats.end())),
+                            "doc_id long, n_shingles long, sig long, point binary, text_key long, common array<long>, times array<long>")
+    sized = materialize(sized, "sets")
+    seen = sized.filter("common is null").drop("common", "times")
+    counted = sized.filter("common is not null").select(F.explode(F.arrays_zip("common", "times")).alias("c")).select("c.*")
+    counted = materialize_narrow(counted.groupBy("common").agg(F.sum("times").alias("n")).filter(F.col("n") > COMMON), "common")
+    common = docs.sparkSession.sparkContext.broadcast(bloom_words(counted, "common"))
     held = seen.filter("n_shingles > 0 and doc_id is not null")
     classes = materialize_narrow(held.groupBy("sig").agg(F.min(F.struct("doc_id", "n_shingles", "point")).alias("r"))
                                  .select("sig", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), "r.point"), "classes")
 
-    def keyed(batch, g, counts, seen):
+    def keyed(batch, g, counts, task):
         ids = set_ids(g, counts)
-        new = np.zeros(len(counts), bool)
-        for k, s in enumerate(ids.tolist()):  # a task sends a set's keys once
-            new[k] = counts[k] > 0 and s not in seen and batch.column("doc_id")[k].is_valid
-            if new[k]:
-                seen.add(s)
-        keys, per = slice_keys(g[np.repeat(new, counts)], counts[new], num, den)
-        return pa.RecordBatch.from_arrays([pa.array(ids[new]), list_array(keys, per, pa.int64())], ["sig", "keys"])
+        new = task.new(ids, counts, batch.column("doc_id"))  # a task sends a set's keys once
+        g, counts = g[np.repeat(new, counts)], counts[new]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[new]), pa.array(counts), list_array(*first_keys(g, counts, bloom_has(common.value, g), num, den), pa.int64())], ["sig", "n", "keys"])
 
     # Keys are made anew from the texts and go straight into the shuffle: written, they would take as much
-    # disk as the texts.
-    rows = docs.mapInArrow(_over_sets(shingle, keyed), "sig long, keys array<long>").select("sig", F.explode("keys").alias("key"))
-    under = Window.partitionBy("key").orderBy("sig")
-    rows = rows.withColumn("k", F.count("*").over(under.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).filter("k > 1")
+    # disk as the texts. A set's size and the key's place in it go as one number.
+    rows = docs.select("doc_id", "text").mapInArrow(_over_sets(shingle, keyed), "sig long, n long, keys array<long>").select("sig", "n", F.posexplode("keys").alias("at", "key"))
+    rows = rows.select("key", "sig", (F.shiftleft("n", 32) + F.col("at")).alias("place"))
+    rows = rows.withColumn("k", F.count("*").over(Window.partitionBy("key"))).filter("k > 1").select("key", "sig", "place").distinct()
+    rows = rows.withColumn("k", F.count("*").over(Window.partitionBy("key"))).filter("k > 1").withColumn("n", F.shiftright("place", 32))
+    edges = bands(num, den, 1 << 40)[0].tolist()
+    band = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col("n")))
+    rows = rows.withColumn("band", F.explode(F.when(F.col("k") > FEW, F.array(band, band + 1)).otherwise(F.array(F.lit(0)))))
+    under = Window.partitionBy("key", "band").orderBy("sig")
+    rows = rows.withColumn("k", F.count("*").over(under.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     pivot = F.min("sig").over(under.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    before = F.collect_list("sig").over(under.rowsBetween(1 - FEW, -1))
-    met = rows.select("sig", (F.col("k") <= FEW).alias("few"), F.when(F.col("k") <= FEW, before).otherwise(F.array(pivot)).alias("a"))
-    met = met.select(F.explode("a").alias("a"), F.col("sig").alias("b"), "few").filter("a <> b").groupBy("a", "b").agg(F.min("few").alias("few"))
+    before = F.collect_list(F.struct("sig", "place")).over(under.rowsBetween(1 - FEW, -1))
+    met = rows.select("sig", "place", "n", (F.col("k") <= FEW).alias("few"), F.when(F.col("k") <= FEW, before).otherwise(F.array(F.struct(pivot.alias("sig"), "place"))).alias("a"))
+    met = met.select(F.explode("a").alias("a"), F.col("sig").alias("b"), "place", "n", "few").filter("a.sig <> b")
+    left = lambda place: F.shiftright(place, 32) - F.col(place).bitwiseAND((1 << 32) - 1)  # noqa: E731  the key and what follows it
+    suffices = (num + den) * F.least(left("a.place"), left("place")) >= num * (F.shiftright("a.place", 32) + F.col("n"))
+    met = met.filter(~F.col("few") | suffices).select("a.sig", "b", "few").toDF("a", "b", "few").groupBy("a", "b").agg(F.min("few").alias("few"))
     met = materialize(met, "met")
 
     def weigh(it):
@@ -304,7 +352,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int
     parts = components(materialize(large.groupBy("comp", "i", "j").applyInArrow(apart, "a long, b long"), "near-points"), "parts")
     small = clusters.join(sizes.filter(F.col("c") <= TILE).select("comp"), "comp", "left_semi").select("sig", "comp")
     whole = materialize_narrow(small.unionByName(parts.select(F.col("node").alias("sig"), "comp")), "clusters")
-    for old in (met, clusters, sizes):
+    for old in (met, clusters, sizes, counted):
         discard(old)
     clusters = whole
 
@@ -314,14 +362,16 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, num: int = 9, den: int
                .withColumn("block", F.pmod(F.xxhash64(F.lit(5), "sig"), F.col("blocks")).cast("int")))
     members = materialize_narrow(members, "members")
     wanted = docs.sparkSession.sparkContext.broadcast(bloom_words(members, "sig"))
+    reps = docs.sparkSession.sparkContext.broadcast(bloom_words(members.select(F.xxhash64("rep").alias("rep")), "rep"))
 
-    def again(batch, g, counts, seen):
+    def again(batch, g, counts, task):
         ids = set_ids(g, counts)
         keep = bloom_has(wanted.value, ids) & (counts > 0)
         own = g[np.repeat(keep, counts)]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id").filter(pa.array(keep)), pa.array(ids[keep]), binary_array(own.view(np.uint8), counts[keep] * 8)], ["rep", "sig", "set"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").filter(pa.array(keep)), pa.array(ids[keep]), binary_array(own.view(np.uint8), counts[keep] * 8)], ["rep", "sig", "set"])
 
-    sets = docs.mapInArrow(_over_sets(shingle, again), "rep long, sig long, set binary")
+    of_rep = lambda batch: bloom_has(reps.value, batch.column("rep_key").to_numpy())
+    sets = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("rep_key")).mapInArrow(_over_sets(shingle, again, of_rep), "rep long, sig long, set binary")
     placed = members.join(sets, ["sig", "rep"]).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     placed = placed.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sig", "set")
 

@@ -165,3 +165,53 @@ def test_point_links_keep_what_may_link():
             for b in range(len(sets)):
                 if a != b and (ask is None or ask[a]) and ngram_join.may_link(points[a], points[b], int(size[a]), int(size[b]), 8, 10):
                     assert group[a] == group[b]
+
+
+def test_common_passages_do_not_cluster_sets(spark, monkeypatch):
+    """Documents that share a passage, but are no copies, are not tied to each other: a tie of all grows with the square of the table."""
+    rng = random.Random(12)
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(120)) + " " + passage) for k in range(400)]
+    rows += [(1000 + k, rows[k][1] + " end") for k in range(0, 40, 4)]
+    tied = []
+
+    def counted(edges, name):
+        tied.append(edges.count())
+        return components(edges, name)
+
+    monkeypatch.setattr(ngram_join, "components", counted)
+    check(spark, rows, 5, 8, 10)
+    assert tied[0] <= 40
+
+
+@pytest.mark.parametrize("few,common,counted", [(3, 16, 50), (3, 10**6, 1 << 21), (128, 2, 7)])
+def test_keys_of_many_sets(spark, monkeypatch, few, common, counted):
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    monkeypatch.setattr(ngram_join, "COMMON", common)
+    monkeypatch.setattr(ngram_join, "COUNTED", counted)
+    rng = random.Random(4)
+    texts = [t for size in (9, 30, 31, 40, 90) for _ in range(3) for t in corpus(rng, size, 12, size // 15 + 1)]
+    texts += [" ".join(rng.choice("ab") for _ in range(rng.randrange(1, 40))) for _ in range(120)]
+    check(spark, [(k, t) for k, t in enumerate(texts)], 3, 8, 10)
+
+
+def test_first_keys_of_linked_sets_meet():
+    rng = np.random.default_rng(9)
+    pool = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2))
+    often = rng.random(len(pool)) < 0.3
+    linked = 0
+    for size in (1, 2, 5, 30, 400):
+        for num, den in ((8, 10), (9, 10), (1, 2), (1, 1)):
+            for _ in range(20):
+                a = np.sort(rng.choice(pool, size, replace=False))
+                b = np.unique(np.concatenate([a[rng.random(size) < 0.95], rng.choice(pool, size // 20)]))
+                g, counts = np.concatenate([a, [], b]).astype(np.uint64), np.array([len(a), 0, len(b)])
+                keys, n = ngram_join.first_keys(g, counts, often[np.searchsorted(pool, g)], num, den)
+                both = len(np.intersect1d(a, b))
+                assert n[1] == 0 and len(keys) == n.sum()
+                x, y = keys[:n[0]].tolist(), keys[n[0]:].tolist()
+                if den * both >= num * (len(a) + len(b) - both) and both:
+                    linked += 1
+                    i, j = next((x.index(k), y.index(k)) for k in x if k in y)
+                    assert (num + den) * min(len(a) - i, len(b) - j) >= num * (len(a) + len(b))
+    assert linked > 100
