@@ -57,9 +57,12 @@ def shingle_sets(buf: np.ndarray, offs: np.ndarray, n: int) -> tuple[np.ndarray,
             gs.append(short)
             rs.append(np.repeat(rows[pick], per))
     g, r = np.concatenate(gs), np.concatenate(rs)
-    order = np.argsort(g)
-    order = order[np.argsort(r[order].astype(np.int32), kind="stable")]
-    g, r = g[order], r[order]
+    if len(gs) > 1:
+        order = np.argsort(r, kind="stable")
+        g, r = g[order], r[order]
+    ends = np.cumsum(np.bincount(r, minlength=len(counts)))
+    for i, j in zip([0, *ends.tolist()], ends.tolist()):  # short runs: faster than one sort by row and hash
+        g[i:j].sort()
     first = np.ones(len(g), bool)
     first[1:] = (g[1:] != g[:-1]) | (r[1:] != r[:-1])
     return g[first], np.bincount(r[first], minlength=len(counts))
